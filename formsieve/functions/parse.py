@@ -11,7 +11,8 @@ NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 def number(c: Column | str) -> Column:
     """Plain decimal or scientific notation, nothing else; 'nan' and 'inf' are not numbers here."""
-    return let(strip(col(c).cast("string")), lambda s: F.when(s.rlike(NUMBER), s.try_cast("double")))
+    s = strip(col(c).cast("string"))
+    return F.when(s.rlike(NUMBER), s.try_cast("double"))
 
 
 def safe_int(c: Column | str) -> Column:
@@ -29,18 +30,16 @@ def _iso(c: Column, fmt: str) -> Column:
 def date_or_null(c: Column | str) -> Column:
     """ISO date of M/D/YYYY, M/D/YY (69-99 in the 1900s), YYYY-M-D, D/M/YYYY where M/D fails, M-D-YYYY."""
 
-    def by_shape(s: Column) -> Column:
-        year = F.regexp_extract(s, r"/(\d{2})$", 1)
-        long_year = F.concat(F.regexp_extract(s, r"^(.*/)\d{2}$", 1),
-                             F.when(year >= "69", F.lit("19")).otherwise(F.lit("20")), year)
-        return (
-            F.when(s.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.coalesce(_iso(s, "M/d/yyyy"), _iso(s, "d/M/yyyy")))
-            .when(s.rlike(r"^\d{1,2}/\d{1,2}/\d{2}$"), _iso(long_year, "M/d/yyyy"))
-            .when(s.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), _iso(s, "yyyy-M-d"))
-            .when(s.rlike(r"^\d{1,2}-\d{1,2}-\d{4}$"), _iso(s, "M-d-yyyy"))
-        )
-
-    return let(strip(c), by_shape)
+    s = strip(c)
+    year = F.right(s, F.lit(2))
+    long_year = F.concat(F.regexp_extract(s, r"^(.*/)\d{2}$", 1), F.when(year >= "69", F.lit("19")).otherwise(F.lit("20")), year)
+    dated = (
+        F.when(s.rlike(r"^\d{1,2}/\d{1,2}/\d{4}$"), F.coalesce(_iso(s, "M/d/yyyy"), _iso(s, "d/M/yyyy")))
+        .when(s.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), _iso(s, "yyyy-M-d"))
+        .when(s.rlike(r"^\d{1,2}/\d{1,2}/\d{2}$"), _iso(long_year, "M/d/yyyy"))
+        .when(s.rlike(r"^\d{1,2}-\d{1,2}-\d{4}$"), _iso(s, "M-d-yyyy"))
+    )
+    return F.when(F.length(s).between(6, 10), dated)
 
 
 def parse_date(c: Column | str) -> Column:

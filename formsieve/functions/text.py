@@ -4,8 +4,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whitespace as Unicode defines it; Java's \s alone is ASCII.
-WS = r"[\s\x1c-\x1f\x85\xa0  -     　]"
+# Whitespace as Unicode defines it; neither Java's regex class nor trim alone knows all of it.
+SPACES = " \t\n\r\f\v\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+WS = f"[{SPACES}]"
 
 
 def col(c: Column | str) -> Column:
@@ -18,7 +19,7 @@ def let(value: Column, body) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    return F.regexp_replace(col(c), rf"^{WS}+|{WS}+$", "")
+    return F.btrim(col(c), F.lit(SPACES))
 
 
 def squeeze(c: Column | str) -> Column:

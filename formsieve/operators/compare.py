@@ -3,13 +3,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.parse import compare_date, number
-from ..functions.text import col, let, norm_compare
+from ..functions.text import norm_compare
+from ..session import materialize
 from . import leaves
-from .ordered import number_rows
 
 # List items are matched by the first of these keys that the first expected item has.
 SORT_KEYS = ["Name", "BuildingNumber", "ClaimNumber", "FileName", "LocationNumber", "Email"]
@@ -24,13 +24,18 @@ def _truth(value: Column, vtype: Column) -> Column:
             .when(vtype.isin("null", "object", "array"), False).otherwise(F.coalesce(value, F.lit("")) != ""))
 
 
-def verdict(gt: Column | str, gt_type: Column | str, out: Column | str, out_type: Column | str, strict_bool: bool = False) -> Column:
-    """CORRECT, WRONG, MISSING, EXTRA or N/A of one leaf. A missing output has a NULL type.
+def with_verdict(rows: DataFrame, strict_bool: bool = False) -> DataFrame:
+    """Add `verdict` (CORRECT, WRONG, MISSING, EXTRA, N/A) to rows of gt_value, gt_type, out_value, out_type.
 
-    A flag compares by truthiness, so any text counts as true; `strict_bool` reads no/false/0/n/off text as false.
+    A missing output has a NULL type. A flag compares by truthiness, so any text counts as true; `strict_bool` reads
+    no/false/0/n/off text as false. What several rules read is computed in a projection of its own.
     """
-    gt, out, gt_type = col(gt), col(out), F.coalesce(col(gt_type), F.lit("null"))
-    out_type = F.coalesce(col(out_type), F.lit("null"))
+    gt, out, gt_type, out_type = F.col("gt_value"), F.col("out_value"), F.col("_gt"), F.col("_ot")
+    prepared = rows.withColumns({"_gt": F.coalesce("gt_type", F.lit("null")), "_ot": F.coalesce("out_type", F.lit("null"))}).withColumns({
+        "_gn": F.when(gt_type == "number", number(gt)),
+        "_on": F.when((gt_type == "number") & ~out_type.isin(CONTAINER), number(F.translate(out, ",$", ""))),
+        "_gd": F.when(gt_type == "string", compare_date(gt)), "_od": F.when(gt_type == "string", compare_date(out)),
+        "_gs": F.when(gt_type == "string", norm_compare(gt)), "_os": F.when(gt_type == "string", norm_compare(out))})
     gt_text = gt_type == "string"
     out_blank = (out_type == "null") | ((out_type == "string") & (out == ""))
     out_empty = out_blank | out_type.isin("object", "array")
@@ -38,35 +43,28 @@ def verdict(gt: Column | str, gt_type: Column | str, out: Column | str, out_type
     out_truth = _truth(out, out_type)
     if strict_bool:
         out_truth = F.when((out_type == "string") & F.lower(out).isin("no", "false", "0", "n", "off"), False).otherwise(out_truth)
-    flag = _truth(gt, gt_type) == out_truth
-
-    def close(g: Column, o: Column) -> Column:
-        gap = F.abs(g - o)
-        return F.coalesce((gap < ABSOLUTE) | ((g != 0) & (gap / F.abs(F.nullif(g, F.lit(0.0))) < RELATIVE)), F.lit(False))
-
-    out_number = F.when(~out_type.isin(CONTAINER), number(F.translate(out, ",$", "")))
-    numeric = let(number(gt), lambda g: let(out_number, lambda o: close(g, o)))
-    same_text = let(norm_compare(gt), lambda g: let(norm_compare(out), lambda o: (
-        (g == o) | ((F.length(gt) > LONG_TEXT) & F.contains(o, g)))))
-    text = let(compare_date(gt), lambda gd: let(compare_date(out), lambda od: F.when(
-        gd.isNotNull() & od.isNotNull(), gd == od).otherwise(F.coalesce(same_text, F.lit(False)))))
+    g, o = F.col("_gn"), F.col("_on")
+    gap = F.abs(g - o)
+    numeric = (gap < ABSOLUTE) | ((g != 0) & (gap / F.nullif(F.abs(g), F.lit(0.0)) < RELATIVE))
+    same_text = (F.col("_gs") == F.col("_os")) | ((F.length(gt) > LONG_TEXT) & F.contains("_os", "_gs"))
+    text = F.when(F.col("_gd").isNotNull() & F.col("_od").isNotNull(), F.col("_gd") == F.col("_od")).otherwise(same_text)
 
     def ok(c: Column) -> Column:
         return F.when(c, "CORRECT").otherwise("WRONG")
 
-    return (F.when((gt_type == "null") | (gt_text & (gt == "")), F.when(out_empty | out_false, "CORRECT").otherwise("EXTRA"))
-            .when(gt_text & (gt == ANY_VALUE), F.when(out_empty, "MISSING").otherwise("CORRECT"))
-            .when(gt_text & (gt == NOT_SCORED), "N/A").when(out_blank, "MISSING")
-            .when((gt_type == "boolean") | (out_type == "boolean"), ok(flag)).when(gt_type == "number", ok(numeric))
-            .otherwise(ok(text)))
+    verdict = (F.when((gt_type == "null") | (gt_text & (gt == "")), F.when(out_empty | out_false, "CORRECT").otherwise("EXTRA"))
+               .when(gt_text & (gt == ANY_VALUE), F.when(out_empty, "MISSING").otherwise("CORRECT"))
+               .when(gt_text & (gt == NOT_SCORED), "N/A").when(out_blank, "MISSING")
+               .when((gt_type == "boolean") | (out_type == "boolean"), ok(_truth(gt, gt_type) == out_truth))
+               .when(gt_type == "number", ok(numeric)).otherwise(ok(text)))
+    return prepared.select(*rows.columns, verdict.alias("verdict"))
 
 
 def compare_leaves(gt: DataFrame, out: DataFrame, keys: list[str], strict_bool: bool = False) -> DataFrame:
     """(keys, gt_value, out_value, verdict) for flat leaves (keys, value, vtype): every expected leaf."""
     g = gt.select(*keys, F.col("value").alias("gt_value"), F.col("vtype").alias("gt_type"))
     o = out.select(*keys, F.col("value").alias("out_value"), F.col("vtype").alias("out_type"))
-    return g.join(o, keys, "left").select(
-        *keys, "gt_value", "out_value", verdict("gt_value", "gt_type", "out_value", "out_type", strict_bool).alias("verdict"))
+    return with_verdict(g.join(o, keys, "left"), strict_bool).select(*keys, "gt_value", "out_value", "verdict")
 
 
 def _list_positions(depth: int) -> Column:
@@ -79,27 +77,29 @@ def _align(nodes: DataFrame, doc: list[str], depth: int, mode: str) -> DataFrame
     """Replace the item numbers of the `depth`-th list level by their rank under the list's sort key.
 
     nodes: (doc..., side, steps, value, vtype). Items sort by the normalized text of the key; ties keep their order.
-    mode 'key' pairs by the key text itself instead, so that one missing item does not shift the others.
+    mode 'key' pairs by the key text itself instead, so that one missing item does not shift the others. A list is part
+    of one record, so the windows below never hold more than one input value.
     """
     rows = nodes.withColumn("_p", _list_positions(depth))
     inside = rows.where("_p IS NOT NULL").withColumn("_list", F.slice("steps", 1, F.col("_p"))).withColumn(
         "_i", F.get("steps", F.col("_p"))["idx"]).withColumn("_k", F.get("steps", F.col("_p") + 1)["key"])
     group = [*doc, "_list"]
-    rank_of = reduce(lambda acc, kv: F.when(F.col("_k") == kv[1], kv[0]).otherwise(acc), enumerate(SORT_KEYS), F.lit(None))
-    chosen = inside.where("side = 'gt' AND _i = 0").groupBy(*group).agg(F.min(rank_of).alias("_key")).where("_key IS NOT NULL")
-    direct = F.size("steps") == F.col("_p") + 2
-    truthy = _truth(F.col("value"), F.col("vtype"))
-    keyed = inside.select(*group, "side", "_i", rank_of.alias("_key"), F.when(direct & truthy, norm_compare(
-        F.when(F.col("vtype") == "boolean", "true").otherwise(F.col("value")))).alias("_text"))
-    items = inside.select(*group, "side", "_i").distinct().join(chosen, group)
-    texts = keyed.where("_key IS NOT NULL AND _text IS NOT NULL").groupBy(*group, "side", "_i", "_key").agg(F.min("_text").alias("_text"))
-    sorted_items = items.join(texts, [*group, "side", "_i", "_key"], "left").withColumn("_text", F.coalesce("_text", F.lit("")))
+    direct = (F.size("steps") == F.col("_p") + 2) & _truth(F.col("value"), F.col("vtype"))
+    text = norm_compare(F.when(F.col("vtype") == "boolean", "true").otherwise(F.col("value")))
+    items = inside.groupBy(*group, "side", "_i").agg(*[c for n, k in enumerate(SORT_KEYS) for c in (
+        F.max(F.col("_k") == k).alias(f"_has{n}"), F.max(F.when(direct & (F.col("_k") == k), text)).alias(f"_t{n}"))])
+    own = reduce(lambda acc, n: F.when(F.col(f"_has{n}"), n).otherwise(acc), reversed(range(len(SORT_KEYS))), F.lit(None))
+    first = F.when((F.col("side") == "gt") & (F.col("_i") == 0), own)
+    items = items.withColumn("_key", F.max(first).over(Window.partitionBy(*group)))
+    chosen = reduce(lambda acc, n: F.when(F.col("_key") == n, F.col(f"_t{n}")).otherwise(acc), range(len(SORT_KEYS)), F.lit(None))
+    items = items.where("_key IS NOT NULL").withColumn("_text", F.coalesce(chosen, F.lit("")))
     if mode == "key":
-        nth = number_rows(sorted_items, [*group, "side", "_text"], ["_i"], "_n")
-        base = nth.where("side = 'gt'").select(*group, "_text", "_n", F.col("_i").alias("_new"))
-        placed = nth.join(base, [*group, "_text", "_n"], "left").withColumn("_new", F.coalesce("_new", F.lit(1_000_000) + F.col("_i")))
+        nth = items.withColumn("_n", F.row_number().over(Window.partitionBy(*group, "side", "_text").orderBy("_i")))
+        same = Window.partitionBy(*group, "_text", "_n")
+        new = F.coalesce(F.max(F.when(F.col("side") == "gt", F.col("_i"))).over(same), F.lit(1_000_000) + F.col("_i"))
+        placed = nth.withColumn("_new", new)
     else:
-        placed = number_rows(sorted_items, [*group, "side"], ["_text", "_i"], "_n").withColumn("_new", F.col("_n") - 1)
+        placed = items.withColumn("_new", F.row_number().over(Window.partitionBy(*group, "side").orderBy("_text", "_i")) - 1)
     moved = inside.join(placed.select(*group, "side", "_i", F.col("_new").cast("int").alias("_new")), [*group, "side", "_i"], "left")
     step = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.coalesce("_new", "_i").cast("int").alias("idx")))
     rest = F.slice("steps", F.col("_p") + 2, F.greatest(F.size("steps") - F.col("_p") - 1, F.lit(0)))
@@ -120,15 +120,16 @@ def compare_records(gt: DataFrame, out: DataFrame, keys: list[str], json: str =
     cols = [*keys, "side", "steps", "value", "vtype"]
     nodes = g.withColumn("side", F.lit("gt")).select(*cols).unionByName(o.withColumn("side", F.lit("out")).select(*cols))
     for depth in range(1, list_levels + 1):
-        nodes = _align(nodes, keys, depth, mode)
+        # Every level reads its nodes three times; deeper levels would multiply that.
+        nodes = _align(materialize(nodes) if depth > 1 else nodes, keys, depth, mode)
     nodes = nodes.withColumn("path", leaves.path_text(F.col("steps")))
     both = nodes.groupBy(*keys, "path").agg(
         F.min_by(F.when(F.col("side") == "gt", F.struct("value", "vtype")), F.when(F.col("side") == "gt", 0)).alias("g"),
         F.min_by(F.when(F.col("side") == "out", F.struct("value", "vtype")), F.when(F.col("side") == "out", 0)).alias("o"),
         F.first("steps").alias("steps"))
-    leaf = both.where("g IS NOT NULL AND g.vtype NOT IN ('o', 'a', 'object', 'array')").select(
-        *keys, "path", F.col("g.value").alias("gt_value"), F.col("o.value").alias("out_value"),
-        verdict("g.value", "g.vtype", "o.value", "o.vtype", strict_bool).alias("verdict"))
+    leaf = with_verdict(both.where("g IS NOT NULL AND g.vtype NOT IN ('o', 'a', 'object', 'array')").select(
+        *keys, "path", F.col("g.value").alias("gt_value"), F.col("g.vtype").alias("gt_type"), F.col("o.value").alias("out_value"),
+        F.col("o.vtype").alias("out_type")), strict_bool).drop("gt_type", "out_type")
     # An output item without a counterpart is EXTRA when the expected record has a list in that place.
     item = both.where("g IS NULL").where(F.element_at("steps", -1)["idx"].isNotNull()).select(
         *keys, "path", leaves.path_text(F.slice("steps", 1, F.size("steps") - 1)).alias("_list"))

@@ -13,6 +13,8 @@ ADAPTIVE = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Java's own case mapping: about ten times the speed of ICU's on page text.
+    "spark.sql.icu.caseMappings.enabled": "false",
 }
 
 
