@@ -146,31 +146,35 @@ def path_text(steps: Column) -> Column:
     return F.regexp_replace(joined, r"^\.", "")
 
 
-def json_literal(value: Column, vtype: Column) -> Column:
-    """Leaf value back to JSON text."""
-    quoted = F.regexp_extract(F.to_json(F.struct(value.alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
-    return (F.when(vtype == "string", quoted).when(vtype == "null", F.lit("null"))
-            .when(vtype == "object", F.lit("{}")).when(vtype == "array", F.lit("[]")).otherwise(value))
-
+def nest(rows: list[dict]) -> str:
+    """JSON text of leaf rows in document order; array items close ranks over dropped ones."""
+    root: list = ["leaf", None]
+    for row in rows:
+        node = root
+        for step in row["steps"]:
+            kind, name = ("a", step["idx"]) if step["key"] is None else ("o", step["key"])
+            if node[0] != kind:
+                node[:] = [kind, {}]
+            node = node[1].setdefault(name, ["leaf", None])
+        text, kind = row["value"], row["vtype"]
+        node[:] = ["leaf", json.dumps(text, ensure_ascii=False) if kind == "string" else "null" if kind == "null" else text]
+
+    def render(node: list) -> str:
+        kind, inside = node
+        if kind == "o":
+            return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{render(v)}" for k, v in inside.items()) + "}"
+        return "[" + ",".join(render(v) for v in inside.values()) + "]" if kind == "a" else inside
+
+    return render(root)
+
+
+def _nest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = pa.array([nest(rows) for rows in batch.columns[-1].to_pylist()], pa.string())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], texts], names=[*batch.schema.names[:-1], "content"])
 
-def rebuild(leaves: DataFrame, keys: list[str], max_depth: int = 8) -> DataFrame:
-    """(keys, content): JSON text per key from its leaves; array items close ranks over dropped ones.
 
-    One aggregation per level, deepest first; rows that are already higher up pass through as groups of one. What a
-    group concatenates is one JSON value of the output.
-    """
-    rows = leaves.select(*keys, "steps", F.array("ord").alias("at"), json_literal(F.col("value"), F.col("vtype")).alias("js"))
-    for depth in range(max_depth, 0, -1):
-        here = F.size("steps") == depth
-        member = F.element_at("steps", -1)
-        name = F.regexp_extract(F.to_json(F.struct(member["key"].alias("v"))), r'(?s)^\{"v":(.*)\}$', 1)
-        item = F.when(here & member["idx"].isNull(), F.concat(name, F.lit(":"), F.col("js"))).otherwise(F.col("js"))
-        body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "item"))), lambda s: s["item"]), ",")
-        rows = rows.select(
-            *keys, F.when(here, F.slice("steps", 1, depth - 1)).otherwise(F.col("steps")).alias("steps"), "at", item.alias("item"),
-            F.when(here, F.when(member["idx"].isNull(), "o").otherwise("a")).otherwise("-").alias("wrap"),
-        ).groupBy(*keys, "steps", "wrap").agg(F.min("at").alias("at"), body.alias("body")).select(
-            *keys, "steps", "at",
-            F.when(F.col("wrap") == "o", F.concat(F.lit("{"), "body", F.lit("}")))
-            .when(F.col("wrap") == "a", F.concat(F.lit("["), "body", F.lit("]"))).otherwise(F.col("body")).alias("js"))
-    return rows.select(*keys, F.col("js").alias("content"))
+def rebuild(leaves: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, content): JSON text per key from its leaves. What a group gathers is one JSON value of the output."""
+    rows = leaves.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("ord", "steps", "value", "vtype"))).alias("rows"))
+    return rows.mapInArrow(_nest_batches, _key_schema(leaves, keys) + "content string")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import col, let, norm_dedup, norm_raw, strip
 from ..rules import fields as rules
+from ..session import materialize
 from . import leaves, scrub
 
 PAGE = ["doc_id", "page_no"]
@@ -49,13 +50,14 @@ def candidates(responses: DataFrame, json: str = "content") -> DataFrame:
 
 def scrub_candidates(cands: DataFrame) -> DataFrame:
     """Drop empty and garbage values; deeper values lose their garbage and go when nothing is left."""
-    nested = F.col("vtype").isin("o", "a")
+    cands, nested = materialize(cands), F.col("vtype").isin("o", "a")
     zero = (F.col("branch") == "array") & (F.col("vtype") == "string") & F.col("value").isin(rules.ZERO_TEXTS)
     null_text = (F.col("branch") == "scalar") & (F.col("vtype") == "string") & F.col("value").isin(rules.NULL_TEXTS)
     flat = cands.where(~nested & scrub.survives_scrub("value", "vtype") & ~zero & ~null_text)
     deep = cands.where(nested)
-    rebuilt = scrub.scrub_json(deep.select(*PAGE, "ord", F.col("value").alias("content")), [*PAGE, "ord"])
-    return flat.unionByName(deep.drop("value").join(rebuilt.withColumnRenamed("content", "value"), [*PAGE, "ord"]).select(*flat.columns))
+    rebuilt = scrub.scrub_json(deep.select(*PAGE, F.col("ord").alias("cand"), F.col("value").alias("content")), [*PAGE, "cand"])
+    rebuilt = rebuilt.select(*PAGE, F.col("cand").alias("ord"), F.col("content").alias("value"))
+    return flat.unionByName(deep.drop("value").join(rebuilt, [*PAGE, "ord"]).select(*flat.columns))
 
 
 def short_pieces(text: Column | str) -> Column:
@@ -80,7 +82,7 @@ def gap_fills(primary: DataFrame, cands: DataFrame) -> DataFrame:
     Values of four or more normalized characters are dropped when a box text equals them. Shorter ones are dropped when
     a box text, or a model text kept before them, contains them as a word.
     """
-    rows = cands.withColumn("norm", F.when(~F.col("vtype").isin("o", "a"), norm_dedup("value")))
+    rows = materialize(cands.withColumn("norm", F.when(~F.col("vtype").isin("o", "a"), norm_dedup("value"))))
     boxes = primary.where("v_str IS NOT NULL")
     box_norms = boxes.select(*PAGE, norm_dedup("v_str").alias("norm")).where("norm <> ''").distinct()
     rows = rows.join(box_norms, [*PAGE, "norm"], "left_anti")
@@ -118,7 +120,7 @@ def gap_fills_legacy(primary: DataFrame, cands: DataFrame) -> DataFrame:
     empty = F.col("vtype").isin("null", "object", "array") | (F.coalesce("value", F.lit("")) == "") | falsy
     zero = (F.col("branch") == "array") & F.col("value").isin(rules.ZERO_TEXTS)
     null_text = (F.col("branch") == "scalar") & F.col("value").isin(rules.NULL_TEXTS)
-    rows = cands.where(~empty & ~zero & ~null_text)
+    rows = materialize(cands.where(~empty & ~zero & ~null_text))
     # Positions are written in private-use digits, so that no value can match them.
     mark, stop, digits = "\x01", "\x02", "".join(chr(0xE000 + d) for d in range(10))
     texts = primary.where("v_str IS NOT NULL").select(*PAGE, F.lit(-1).cast("bigint").alias("ord"), F.col("v_str").alias("text")).unionByName(

@@ -10,7 +10,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..rules.tables import frame
-from ..session import tune
+from ..session import spread, tune
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
           "pages", "benchmark", "labels", "conversations"]
@@ -22,12 +22,14 @@ class Inputs:
     folder: str
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return spread(self.spark.read.parquet(f"{self.folder}/{name}.parquet"))
 
     def sql(self, template: str) -> DataFrame:
-        for name in TABLES:
-            template = template.replace("{" + name + "}", f"parquet.`{self.folder}/{name}.parquet`")
-        return self.spark.sql(template)
+        used = [name for name in TABLES if "{" + name + "}" in template]
+        text = template.replace("{", "{{").replace("}", "}}")
+        for name in used:
+            text = text.replace("{{" + name + "}}", "{" + name + "}")
+        return self.spark.sql(text, **{name: self.table(name) for name in used})
 
     def rows(self, schema: str, rows: list[tuple]) -> DataFrame:
         return frame(self.spark, schema, rows)

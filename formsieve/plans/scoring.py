@@ -90,7 +90,7 @@ def _(t: Inputs):
 
 @query("leaf1_rebuild", NESTED)
 def _(t: Inputs):
-    return leaves.rebuild(leaves.flatten(t.sql(NESTED), ["doc_id"]), ["doc_id"], max_depth=4)
+    return leaves.rebuild(leaves.flatten(t.sql(NESTED), ["doc_id"]), ["doc_id"])
 
 
 # Nested records with keyed lists: the output lists the buildings in another order, misses one or has one more.

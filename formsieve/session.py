@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,11 +41,27 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
     return tune(spark)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write `df` to the cluster's checkpoint folder so that several branches read it back instead of recomputing it."""
-    spark = df.sparkSession
+def scratch_folder(spark: SparkSession) -> str:
+    """The shared folder the cluster names; a temporary one only in local mode."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="formsieve-"))
-    return df.checkpoint()
+    if configured:
+        return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="formsieve-")
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write `df` as a table into the shared folder and read it back: several branches use it, none recomputes it, and a
+    lost executor does not reach behind it. Readers prune its columns and know its size."""
+    path = f"{scratch_folder(df.sparkSession)}/formsieve-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than the cluster has cores; any larger scan stays as it is, unshuffled."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() * 2 <= cores else scan
