@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.parse import number, safe_float, safe_int
 from ..functions.text import blank_to_null, strip
 from ..rules import schedules as rules
+from ..session import materialize
 from .ordered import number_rows
 
 SHEET = ["doc_id", "sheet"]
@@ -86,6 +87,7 @@ def schedule_rows(cells: DataFrame, columns: dict[str, list[str]] | None = None,
 def numbered_rows(rows: DataFrame) -> DataFrame:
     """Add location_number: the location column where the sheet has one (rows without a number go), else row order over
     the rows that have a name or street."""
+    rows = materialize(rows)
     own = rows.where("has_loc").withColumn("location_number", safe_int("loc")).where("location_number IS NOT NULL")
     bare = rows.where(~F.col("has_loc") & F.coalesce("named", "street").isNotNull())
     return own.unionByName(number_rows(bare, SHEET, ["row_no"], "location_number"))
