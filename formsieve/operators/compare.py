@@ -120,8 +120,8 @@ def compare_records(gt: DataFrame, out: DataFrame, keys: list[str], json: str =
     cols = [*keys, "side", "steps", "value", "vtype"]
     nodes = g.withColumn("side", F.lit("gt")).select(*cols).unionByName(o.withColumn("side", F.lit("out")).select(*cols))
     for depth in range(1, list_levels + 1):
-        # Every level reads its nodes three times; deeper levels would multiply that.
-        nodes = _align(materialize(nodes) if depth > 1 else nodes, keys, depth, mode)
+        # Every level reads its nodes three times; recomputing would multiply the parsing by that per level.
+        nodes = _align(materialize(nodes), keys, depth, mode)
     nodes = nodes.withColumn("path", leaves.path_text(F.col("steps")))
     both = nodes.groupBy(*keys, "path").agg(
         F.min_by(F.when(F.col("side") == "gt", F.struct("value", "vtype")), F.when(F.col("side") == "gt", 0)).alias("g"),

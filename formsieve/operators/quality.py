@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import col
 from ..rules import coverage as rules
+from ..session import materialize
 from . import leaves
 
 PAGE = ["doc_id", "page_no"]
@@ -47,6 +48,7 @@ def coverage(presence: DataFrame, documents: DataFrame, keys: list[str], schema_
 
     Items are counted, never multiplied by fields: a field's total is its section's item count. mark: all, some, none.
     """
+    presence = materialize(presence)
     items = presence.where("item <> ''").select(*keys, "section", "item").distinct().groupBy(*keys, "section").agg(
         F.count(F.lit(1)).alias("n_items"))
     counts = presence.where("populated").groupBy(*keys, "section", "field").agg(

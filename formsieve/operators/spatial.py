@@ -118,19 +118,21 @@ def lines(words: DataFrame) -> DataFrame:
     seg = words.withColumn("row", F.bround("top")).join(_break_rows(words), [*PAGE, "row"])
     ordered = F.array_sort(F.collect_list(F.struct(geo.reading_order("top", "x0", "ord").alias("at"), F.col("top"), F.col("x0"),
                                                    F.col("ord"), F.col("text"))))
-    step = F.aggregate(
-        ordered, F.struct(F.lit(None).cast("double").alias("start"), F.lit(0).alias("n"),
-                          F.array().cast("array<struct<n:int,x0:double,ord:bigint,text:string>>").alias("out")),
+    # The fold keeps only where lines start; the words of a line are then a slice of the ordered words.
+    starts = F.aggregate(
+        "_w", F.struct(F.lit(None).cast("double").alias("top"), F.lit(0).alias("i"), F.array().cast("array<int>").alias("starts")),
         lambda acc, w: F.when(
-            F.abs(w["top"] - acc["start"]) < geo.LINE_TOLERANCE,
-            F.struct(acc["start"].alias("start"), acc["n"].alias("n"), F.concat(acc["out"], F.array(F.struct(
-                acc["n"].alias("n"), w["x0"].alias("x0"), w["ord"].cast("bigint").alias("ord"), w["text"].alias("text")))).alias("out"))
-        ).otherwise(F.struct(w["top"].alias("start"), (acc["n"] + 1).alias("n"), F.concat(acc["out"], F.array(F.struct(
-            (acc["n"] + 1).alias("n"), w["x0"].alias("x0"), w["ord"].cast("bigint").alias("ord"), w["text"].alias("text")))).alias("out"))))
-    placed = seg.groupBy(*PAGE, "segment").agg(step["out"].alias("w")).select(*PAGE, "segment", F.explode("w").alias("w"))
-    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("w.x0", "w.ord", "w.text"))), lambda x: x["text"]), " ")
-    out = placed.groupBy(*PAGE, "segment", F.col("w.n").alias("n")).agg(strip(text).alias("text")).where("text <> ''")
-    return out.select(*PAGE, F.struct("segment", "n").alias("line_no"), "text")
+            F.abs(w["top"] - acc["top"]) < geo.LINE_TOLERANCE,
+            F.struct(acc["top"].alias("top"), (acc["i"] + 1).alias("i"), acc["starts"].alias("starts"))
+        ).otherwise(F.struct(w["top"].alias("top"), (acc["i"] + 1).alias("i"), F.concat(acc["starts"], F.array(acc["i"])).alias("starts"))))
+    def line(start: Column, n: Column) -> Column:
+        end = F.coalesce(F.get("_s", n + 1), F.size("_w"))
+        members = F.transform(F.slice("_w", start + 1, end - start), lambda w: F.struct(w["x0"].alias("x0"), w["ord"].alias("ord"), w["text"].alias("text")))
+        return F.array_join(F.transform(F.array_sort(members), lambda w: w["text"]), " ")
+
+    folded = seg.groupBy(*PAGE, "segment").agg(ordered.alias("_w")).withColumn("_s", starts["starts"])
+    placed = folded.select(*PAGE, "segment", F.posexplode(F.transform("_s", line)).alias("n", "text"))
+    return placed.select(*PAGE, F.struct("segment", "n").alias("line_no"), strip("text").alias("text")).where("text <> ''")
 
 
 def prefixed_lines(words: DataFrame, prefix: str = rules.OVERFLOW_PREFIX, mark: str = rules.OVERFLOW_MARK) -> DataFrame:
