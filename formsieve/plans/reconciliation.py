@@ -92,7 +92,8 @@ def _(t: Inputs):
 FORM = [("form_a", 0, 0, "Party_LegalEntity_LimitedLiabilityCorporationIndicator_A[0]", "/Btn"), ("form_a", 0, 1, "Bill_DirectBillIndicator_B", "/Btn"), ("form_a", 0, 2, "Name_A", "/Tx")]
 LABEL_ROWS = ["limited liability corporation", *rules.CHECKBOX_SYNONYMS["limitedliabilitycorporation"], "direct bill", "direct", *rules.CHECKBOX_CONSTANTS]
 IN_LABELS = ", ".join("'" + x.replace("'", "''") + "'" for x in LABEL_ROWS)
-PAGES = "SELECT o_orderkey AS doc_id, 1 AS page_no, 'form_a' AS template, 0 AS tpage FROM {orders} WHERE o_orderkey % 2 = 0"
+# Every other page shows the form whose option labels are known.
+PAGES = "SELECT o_orderkey AS doc_id, 1 AS page_no, CASE WHEN o_orderkey % 2 = 0 THEN 'form_a' ELSE 'form_b' END AS template, CAST(o_orderkey * 0 AS INT) AS tpage FROM {orders}"
 
 
 def form(t: Inputs):
