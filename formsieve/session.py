@@ -42,26 +42,39 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only in local mode."""
+    """The shared folder the cluster names in spark.checkpoint.dir. Only a local master, which has no other machines, may
+    leave it unset; it then gets a folder of its own for this process."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="formsieve-")
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+def run_folder(spark: SparkSession) -> str:
+    """Folder of everything this application writes on the way; it goes when the application ends, or with `release`."""
+    folder = f"{scratch_folder(spark)}/formsieve-{spark.sparkContext.applicationId}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the intermediate tables written so far, once the results that read them are out."""
+    discard(spark, run_folder(spark))
+
+
+def discard(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Write `df` as a table into the shared folder and read it back: several branches use it, none recomputes it, and a
+    """Write `df` as a table into the run's folder and read it back: several branches use it, none recomputes it, and a
     lost executor does not reach behind it. Readers prune its columns and know its size."""
-    path = f"{scratch_folder(df.sparkSession)}/formsieve-{uuid.uuid4().hex}"
+    path = f"{run_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than the cluster has cores; any larger scan stays as it is, unshuffled."""
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() * 2 <= cores else scan
