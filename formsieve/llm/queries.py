@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import simhash, substring
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,3 +23,9 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), radius=2, width=3)
     return found.select(F.col("id").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
                         F.col("component").alias("component_id"))
+
+
+@query
+def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.deduplicate(table(spark, sf_dir, "documents"), window=50)
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.col("kept").alias("kept_sha256"))

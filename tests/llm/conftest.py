@@ -1,0 +1,8 @@
+import pytest
+
+
+@pytest.fixture(autouse=True)
+def shared_folder(spark, tmp_path_factory):
+    """Intermediate tables go to a folder of the tests."""
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        spark.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
