@@ -3,10 +3,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash, substring
+from . import simhash, substring, tokens
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +30,9 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.deduplicate(table(spark, sf_dir, "documents"), window=50)
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+
+
+@query
+def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = tokens.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, vocabulary=49_408)
+    return tokens.read_back(manifest).select(F.col("id").alias("doc_id"), "start", "n_tokens", F.col("crc32").alias("ids_crc32"))
