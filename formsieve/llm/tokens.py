@@ -14,14 +14,14 @@ from __future__ import annotations
 
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import folder_for, local_path, materialize
+from .common import folder_for, local_path, materialize, texts
 
 MAGIC = b"EFTOK1\0\0"
 HEADER = 8
@@ -115,13 +115,13 @@ class Encoder:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, int] = {}
+        self.known: dict[bytes, int] = {}
         self.mark, self.mark_id = next(((c, ids[0]) for c in MARKS if len(ids := self.tokenizer.encode(c, add_special_tokens=False).ids) == 1), ("", -1))
         self.flat, self.at = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def learn(self, words: list[str]) -> None:
+    def learn(self, words: list[bytes]) -> None:
         base = len(self.at) - 1
-        made = [self._together(words[i:i + CALL]) for i in range(0, len(words), CALL)]
+        made = [self._together([w.decode() for w in words[i:i + CALL]]) for i in range(0, len(words), CALL)]
         self.flat = np.concatenate([self.flat, *(m[0] for m in made)])
         self.at = np.concatenate((self.at, self.at[-1] + np.cumsum(np.concatenate([m[1] for m in made]))))
         self.known.update(zip(words, range(base, base + len(words))))
@@ -141,18 +141,18 @@ class Encoder:
         found = [c if f is None else f for f, c in zip(found, cut)]
         return np.concatenate(found), np.array([len(f) for f in found], np.int64)
 
-    def encode(self, texts: list[str | None], end_id: int) -> list[np.ndarray]:
+    def encode(self, texts: Iterable[bytes | None], end_id: int) -> list[np.ndarray]:
         """One id array per text, its end id included. Texts that are small together are looked up together."""
         out, held, size = [], [], 0
         for text in texts:
-            held.append((text or "").split())
+            held.append((text or b"").split())
             size += len(held[-1])
             if size >= REMEMBER // 4:
                 out += self._batch(held, end_id)
                 held, size = [], 0
         return out + self._batch(held, end_id)
 
-    def _batch(self, split: list[list[str]], end_id: int) -> list[np.ndarray]:
+    def _batch(self, split: list[list[bytes]], end_id: int) -> list[np.ndarray]:
         if not split:
             return []
         counts = np.fromiter(map(len, split), np.int64, len(split))
@@ -164,7 +164,7 @@ class Encoder:
         first = np.concatenate(([0], last[:-1]))
         return [np.append(ids[a:b], np.uint32(end_id)) for a, b in zip(first.tolist(), last.tolist())]
 
-    def _sized(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _sized(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words one after another, and how many each has."""
         slots = [self.known.get(w) for w in words] if len(self.known) <= REMEMBER else [None]
         if None in slots:
@@ -224,7 +224,7 @@ def _write(folder: str, tokenizer: str, end_id: int, width: int, limit: int):
             return pa.RecordBatch.from_pydict({"shard": [partition * 10_000 + part], "file": [name], "n_docs": [len(ids)], "n_tokens": [total]})
 
         for batch in stream:
-            for key, array in zip(batch.column(0).to_pylist(), encode.encode(batch.column(1).to_pylist(), end_id)):
+            for key, array in zip(batch.column(0).to_pylist(), encode.encode(texts(batch.column(1)), end_id)):
                 ids.append(key)
                 arrays.append(array)
                 total += len(array)
