@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash, substring, tokens
-from .common import table
+from . import langid, simhash, substring, tokens, toxicity
+from .common import crc_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,3 +36,20 @@ def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = tokens.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, vocabulary=49_408)
     return tokens.read_back(manifest).select(F.col("id").alias("doc_id"), "start", "n_tokens", F.col("crc32").alias("ids_crc32"))
+
+
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    machine = toxicity.learn(docs, labels.where(crc_remainder(F.col("doc_id")) != 2))
+    held_out = F.coalesce(crc_remainder(F.col("id")) == 2, F.lit(False))
+    return toxicity.score(docs, machine).select(F.col("id").alias("doc_id"), held_out.alias("held_out"), "score",
+                                                (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    training = docs.where(crc_remainder(F.col("doc_id")) != 2)
+    held_out = F.coalesce(crc_remainder(F.col("id")) == 2, F.lit(False))
+    return langid.identify(docs, training).select(F.col("id").alias("doc_id"), held_out.alias("held_out"), "lang_pred", "score")
