@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import folder_for, local_path, materialize, texts
+from .common import folder_for, local_path, lower_ascii, materialize, texts
 
 MAGIC = b"EFTOK1\0\0"
 HEADER = 8
@@ -105,6 +105,17 @@ class EliasFano:
         return (high << np.uint64(self.low)) | (lows << np.arange(self.low, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
 
 
+def _stem(word: bytes) -> tuple[bytes, int]:
+    """The word in lower case and without a last stop or comma behind an ASCII letter, and that sign. A word that may hold a
+    special token stays as it is."""
+    if b"<" in word:
+        return word, 0
+    low = lower_ascii(word)
+    if len(low) > 1 and low[-1] in b".," and 97 <= low[-2] <= 122:
+        return low[:-1], low[-1]
+    return (word, 0) if low == word else (low, 0)
+
+
 class Encoder:
     """Ids of whole texts from a tokenizer whose tokens never span white space: distinct words are encoded once and kept.
 
@@ -118,13 +129,37 @@ class Encoder:
         self.known: dict[bytes, int] = {}
         self.mark, self.mark_id = next(((c, ids[0]) for c in MARKS if len(ids := self.tokenizer.encode(c, add_special_tokens=False).ids) == 1), ("", -1))
         self.flat, self.at = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        alone = {ord(c): self.tokenizer.encode(c, add_special_tokens=False).ids for c in ".,"}
+        if any(len(ids) != 1 for ids in alone.values()):
+            raise ValueError("a stop or comma is not one token")
+        self.signs = {0: -1} | {c: ids[0] for c, ids in alone.items()}
 
     def learn(self, words: list[bytes]) -> None:
+        """Encode words that are new. A word in capitals, or with a stop or comma behind a letter, is made from what it is
+        without them: the tokenizer lowers case, and it cuts between a letter and a sign."""
+        plain = [_stem(w) for w in words]
+        new = [w for w in dict.fromkeys(p for p, _ in plain) if w not in self.known]
+        made = [self._together([w.decode() for w in new[i:i + CALL]]) for i in range(0, len(new), CALL)]
         base = len(self.at) - 1
-        made = [self._together([w.decode() for w in words[i:i + CALL]]) for i in range(0, len(words), CALL)]
-        self.flat = np.concatenate([self.flat, *(m[0] for m in made)])
-        self.at = np.concatenate((self.at, self.at[-1] + np.cumsum(np.concatenate([m[1] for m in made]))))
-        self.known.update(zip(words, range(base, base + len(words))))
+        flat = np.concatenate([self.flat, *(m[0] for m in made)])
+        at = np.concatenate([self.at, *(m[1] for m in made)])
+        at[len(self.at):] = self.at[-1] + np.cumsum(at[len(self.at):])
+        self.known.update(zip(new, range(base, base + len(new))))
+
+        other = [(w, p, sign) for w, (p, sign) in zip(words, plain) if w is not p and w not in self.known]
+        slots = np.array([self.known[p] for _, p, _ in other], np.int64)
+        sign = np.array([self.signs[s] for _, _, s in other], np.int64)
+        begin = at[slots] if len(other) else slots
+        count = at[slots + 1] - begin if len(other) else slots
+        size = count + (sign >= 0)
+        ends = np.cumsum(size)
+        more = np.empty(int(ends[-1]) if len(other) else 0, np.uint32)
+        place = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+        more[place + np.repeat(ends - size, count)] = flat[place + np.repeat(begin, count)]
+        more[ends[sign >= 0] - 1] = sign[sign >= 0]
+        base = len(at) - 1
+        self.flat, self.at = np.concatenate((flat, more)), np.concatenate((at, at[-1] + ends))
+        self.known.update(zip((w for w, _, _ in other), range(base, base + len(other))))
 
     def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words and their numbers. The words go through the tokenizer as few texts, a mark between any two."""
@@ -166,12 +201,13 @@ class Encoder:
 
     def _sized(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words one after another, and how many each has."""
-        slots = [self.known.get(w) for w in words] if len(self.known) <= REMEMBER else [None]
+        slots = list(map(self.known.get, words))
         if None in slots:
-            if len(self.known) > REMEMBER:
+            if len(self.known) > REMEMBER:  # forget all, these words are learnt anew
                 self.known, self.flat, self.at = {}, np.zeros(0, np.uint32), np.zeros(1, np.int64)
-            self.learn([w for w in dict.fromkeys(words) if w not in self.known])
-            slots = [self.known[w] for w in words]
+                slots = [None] * len(words)
+            self.learn(list({w for w, s in zip(words, slots) if s is None}))
+            slots = [self.known[w] if s is None else s for w, s in zip(words, slots)]
         slots = np.array(slots, np.int64)
         begin = self.at[slots]
         count = self.at[slots + 1] - begin

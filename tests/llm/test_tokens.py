@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from formsieve.llm import tokens
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
-ODD = ["", " ", "Hello, World's end", "it's they'LL we've I'd", "<|endoftext|> a<|startoftext|>b", "é̀ ñ Ǆ ΣΑΣ", "a b　c d", "☃ ☃☃ x☃",
+ODD = ["", " ", "Hello, World's end", "it's they'LL we've I'd", "<|endoftext|> a<|startoftext|>b <|ENDOFTEXT|> x<|endoftext|>.", "é̀ ñ Ǆ ΣΑΣ", "a b　c d", "☃ ☃☃ x☃",
        "...!!! $$$the&&& 12345", "\x00\x1f a", "word " * 50, "日本語 テキスト", "́ combining ́x", "👍🏽 ok"]
 
 
