@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, simhash, substring, tokens, toxicity
+from . import langid, licenses, mixing, simhash, substring, tokens, toxicity
 from .common import crc_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,3 +53,15 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     training = docs.where(crc_remainder(F.col("doc_id")) != 2)
     held_out = F.coalesce(crc_remainder(F.col("id")) == 2, F.lit(False))
     return langid.identify(docs, training).select(F.col("id").alias("doc_id"), held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(table(spark, sf_dir, "documents"), weights=(3, 1, 2), share=1.5, most=2)
+    return found.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", F.size("spans").alias("n_spans"))
