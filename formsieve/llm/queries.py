@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, licenses, mixing, simhash, substring, tokens, toxicity
+from . import contamination, langid, licenses, mixing, simhash, substring, tokens, toxicity
 from .common import crc_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,29 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.scan(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", F.size("spans").alias("n_spans"))
+
+
+@query
+def op4_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), F.col("start").cast("long").alias("start"),
+                        F.col("length").cast("long").alias("item_words"), F.col("matched").cast("long").alias("matched"))
+
+
+# Brute force by another way: of any 15 words with at most 2 replaced, 4 consecutive ones are unchanged.
+ORACLES["op4_contamination"] = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark),
+ds AS (SELECT doc_id, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] || ' ' || w[p + 3] AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS p FROM d)),
+bs AS (SELECT item_id, p, w[p] || ' ' || w[p + 1] || ' ' || w[p + 2] || ' ' || w[p + 3] AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 2)) AS p FROM b WHERE len(w) >= 5)),
+places AS (SELECT DISTINCT ds.doc_id, bs.item_id, ds.p - bs.p AS start FROM ds JOIN bs USING (s)),
+eq AS (SELECT x.doc_id, x.item_id, x.start, len(b.w) AS n, q, CAST(d.w[x.start + q] = b.w[q] AS INT) AS e
+       FROM (SELECT places.*, unnest(range(1, len(b.w) + 1)) AS q FROM places JOIN b USING (item_id)) x JOIN b USING (item_id) JOIN d USING (doc_id)
+       WHERE x.start + q BETWEEN 1 AND len(d.w)),
+win AS (SELECT doc_id, item_id, start, n, least(n, 15) AS span, sum(e) OVER w15 AS m15, count(*) OVER w15 AS c15,
+        sum(e) OVER wall AS mall, count(*) OVER wall AS cnt FROM eq
+        WINDOW w15 AS (PARTITION BY doc_id, item_id, start ORDER BY q ROWS 14 PRECEDING), wall AS (PARTITION BY doc_id, item_id, start)),
+best AS (SELECT doc_id, item_id, start, n, max(CASE WHEN n >= 15 AND c15 = 15 THEN m15 WHEN n < 15 AND cnt = n THEN mall END) AS matched FROM win GROUP BY ALL)
+SELECT doc_id, item_id, CAST(min(start) AS BIGINT) AS start, CAST(n AS BIGINT) AS item_words, CAST(max(matched) AS BIGINT) AS matched
+FROM best WHERE matched >= CASE WHEN n < 15 THEN n ELSE 13 END GROUP BY doc_id, item_id, n
+"""
