@@ -227,7 +227,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     repeated = materialize(runs.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("anchor"))
     alive = materialize(runs.join(repeated, "anchor"))
     same = materialize(alive.groupBy("anchor", "run").agg(F.min("id").alias("least")))
-    open_anchor = same.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor", F.lit(True).alias("open"))
+    open_anchor = materialize(same.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor", F.lit(True).alias("open")))
     settled = materialize(same.join(open_anchor, "anchor", "left").select("anchor", "run", "least", "open"))
     judged = alive.join(settled, ["anchor", "run"]).where("id > least or open")
     lists = judged.groupBy("id", "seq").agg(
