@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, langid, licenses, mixing, simhash, substring, tokens, toxicity
+from . import contamination, embeddings, langid, licenses, mixing, simhash, substring, tokens, toxicity
 from .common import crc_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,25 @@ best AS (SELECT doc_id, item_id, start, n, max(CASE WHEN n >= 15 AND c15 = 15 TH
 SELECT doc_id, item_id, CAST(min(start) AS BIGINT) AS start, CAST(n AS BIGINT) AS item_words, CAST(max(matched) AS BIGINT) AS matched
 FROM best WHERE matched >= CASE WHEN n < 15 THEN n ELSE 13 END GROUP BY doc_id, item_id, n
 """
+
+
+@query
+def op2_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.98)
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"),
+                        F.coalesce(F.col("id") == F.col("component"), F.lit(False)).alias("kept"))
+
+
+# All pairs within a label, then labels handed down until nothing changes.
+ORACLES["op2_embeddings"] = """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+ok AS (SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+       AND list_sum(list_transform(e, lambda x: x * x)) > 0),
+pairs AS (SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(vec_id, c) AS (SELECT vec_id, vec_id FROM v UNION SELECT p.b, r.c FROM reach r JOIN pairs p ON p.a = r.vec_id WHERE r.c < p.b),
+least AS (SELECT vec_id, min(c) AS component_id FROM reach GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM pairs GROUP BY a)
+SELECT v.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, l.component_id, v.vec_id = l.component_id AS kept
+FROM v LEFT JOIN n USING (vec_id) JOIN least l USING (vec_id)
+"""
