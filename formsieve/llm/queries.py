@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, embeddings, langid, licenses, mixing, simhash, substring, tokens, toxicity
+from . import contamination, embeddings, langid, licenses, mixing, simhash, substring, tokens, toxicity, warc
 from .common import crc_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,11 @@ n AS (SELECT a AS vec_id, count(*) AS n_links FROM pairs GROUP BY a)
 SELECT v.vec_id, CAST(coalesce(n.n_links, 0) AS BIGINT) AS n_links, l.component_id, v.vec_id = l.component_id AS kept
 FROM v LEFT JOIN n USING (vec_id) JOIN least l USING (vec_id)
 """
+
+
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The table has no time of capture; a second per page number stands in for it.
+    pages = table(spark, sf_dir, "pages").withColumn("captured_at", F.timestamp_seconds(F.lit(1_577_836_800) + F.col("page_id")))
+    return warc.read_back(warc.archive(pages, least_bytes=0)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", F.col("urlkey").alias("url_key"))

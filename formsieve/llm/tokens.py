@@ -253,7 +253,7 @@ def _write(folder: str, tokenizer: str, end_id: int, width: int, limit: int):
 
         def flush() -> pa.RecordBatch:
             name = f"{root}/{partition:06d}-{part:04d}-{uuid.uuid4().hex}.eftok"
-            with store.open_output_stream(name) as out:
+            with store.open_output_stream(name, compression=None) as out:
                 out.write(shard_bytes(ids, [len(a) for a in arrays], width))
                 for a in arrays:
                     out.write(a.astype(kind).tobytes())
