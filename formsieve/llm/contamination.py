@@ -92,3 +92,10 @@ def overlaps(docs: DataFrame, tests: DataFrame, id_col: str = "doc_id", text_col
     judged = equal.where(F.size("equal") >= span).select("id", "key", "item", "start", "length", most.alias("matched"))
     enough = F.col("matched") >= F.when(F.col("length") < window, F.col("length")).otherwise(window - substitutions)
     return judged.where(enough).groupBy("id", "key", "item").agg(F.min("start").alias("start"), F.max("length").alias("length"), F.max("matched").alias("matched"))
+
+
+def remove(docs: DataFrame, tests: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that share no passage with a test item, with all their columns."""
+    found = materialize(overlaps(docs, tests, id_col, text_col, item_col, item_text_col).select(F.col("id").alias("i"), F.col("key").alias("k")).distinct())
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("key"))
+    return rows.join(found, F.col("id").eqNullSafe(F.col("i")) & (F.col("key") == F.col("k")), "left_anti").select("row.*")

@@ -115,13 +115,15 @@ def plan(sized: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float =
     return materialize(_with(planned, edge, "left").select("source", "source_size", "target", "scale", "lo", "rest", "cut"))
 
 
-def copies(docs: DataFrame, planned: DataFrame, id_col: Column, source_col: Column, size: Column, most: int = 2, seed: int = 17) -> DataFrame:
-    """Add `_copies` (and the plan's columns) to every row of `docs` by the plan of its source."""
-    keyed = docs.select("*", id_col.cast("long").alias("id"), size.alias("size"), source_col.cast("string").alias("_source"))
-    rows = keyed.join(planned.withColumnRenamed("source", "_s"), keyed["_source"].eqNullSafe(F.col("_s")))
-    ranked = _ranked(rows, most, seed)
+def copies(rows: DataFrame, planned: DataFrame, most: int = 2, seed: int = 17) -> DataFrame:
+    """Add `copies` (and the plan's columns) to rows with (id, source, size) by the plan of their source."""
+    ranked = _ranked(_with(rows, planned), most, seed)
     within = (F.col("rest") > 0) & ((F.col("rank") < F.col("lo")) | (F.col("cut").isNotNull() & (F.struct("rank", "id", "size") <= F.col("cut"))))
-    return ranked.withColumn("_copies", (F.col("certain") + F.coalesce((F.col("rank").isNotNull() & within).cast("int"), F.lit(0))).cast("long"))
+    return ranked.withColumn("copies", (F.col("certain") + F.coalesce((F.col("rank").isNotNull() & within).cast("int"), F.lit(0))).cast("long"))
+
+
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, *more: Column) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"), words_in(F.col(text_col)).alias("size"), *more)
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[float] = (3, 1, 2),
@@ -132,7 +134,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     draw, so repeated rows are taken alike. The words a source gives miss its target by half a document at most. No rows
     give none. Other columns are ignored. Equal inputs give equal results, however they are partitioned.
     """
-    sized = materialize(docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"), words_in(F.col(text_col)).alias("size")))
-    planned = plan(sized, weights, share, most, seed)
-    rows = copies(sized.select(F.col("id").alias("i"), F.col("source").alias("so"), F.col("size").alias("z")), planned, F.col("i"), F.col("so"), F.col("z"), most, seed)
-    return rows.select("id", "size", "source_size", "target", (F.col("_copies") * F.col("size")).alias("taken"))
+    sized = materialize(_sized(docs, id_col, text_col, source_col))
+    rows = copies(sized, plan(sized, weights, share, most, seed), most, seed)
+    return rows.select("id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def repeat(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[float] = (3, 1, 2),
+           share: float = 1.5, most: int = 2, seed: int = 17) -> DataFrame:
+    """The mix itself: every row of `docs` as often as `mix` takes it, with all its columns."""
+    planned = plan(materialize(_sized(docs, id_col, text_col, source_col)), weights, share, most, seed)
+    rows = _sized(docs, id_col, text_col, source_col, F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    return copies(rows, planned, most, seed).select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select("row.*")

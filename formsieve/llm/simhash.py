@@ -9,7 +9,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import batches, lower_ascii, materialize, texts, word_pieces
@@ -67,14 +67,15 @@ def fingerprint(text: bytes | None, width: int = 3, seed: int = SEED) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """(id, fp): one row per input row. A null or blank text has fingerprint 0."""
-    schema = pa.schema([("id", pa.int64()), ("fp", pa.int64())])
+    """(id, key, fp): one row per input row, `key` being the hash of its text. A null or blank text has fingerprint 0."""
+    schema = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("fp", pa.int64())])
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [fingerprint(t, width) for t in texts(batch.column(1))]
-        return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(found, pa.int64())], schema=schema)
+        found = [fingerprint(t, width) for t in texts(batch.column(2))]
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.int64())], schema=schema)
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")).mapInArrow(batches(work), "id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("key"), F.col(text_col).cast("string").alias("t"))
+    return rows.mapInArrow(batches(work), "id long, key long, fp long")
 
 
 def masks(radius: int, bits: int = BITS) -> list[int]:
@@ -134,7 +135,8 @@ def _near_points(distinct: DataFrame, radius: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 2, width: int = 3) -> DataFrame:
-    """(id, fp, component): component is the smallest id reachable by links of at most `radius` differing bits, itself included.
+    """(id, key, fp, root, component): component is the smallest id reachable by links of at most `radius` differing bits,
+    itself included; root names the component also where no row has an id, and key is the hash of the text.
 
     Links hold between fingerprints, so equal ones are one node and copies are never paired. Repeated ids stay rows of their
     own; a null id never is the smallest unless its component has no other id. No rows give none. Other columns are ignored.
@@ -144,5 +146,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = components(links(classes.select("fp"), radius)).withColumnRenamed("node", "fp")
     placed = materialize(classes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
     lowest = placed.groupBy("root").agg(F.min("least").alias("component"))
-    of_class = materialize(placed.join(lowest, "root").select("fp", "component"))
-    return marked.join(of_class, "fp").select("id", "fp", "component")
+    of_class = materialize(placed.join(lowest, "root").select("fp", "root", "component"))
+    return marked.join(of_class, "fp").select("id", "key", "fp", "root", "component")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 2, width: int = 3) -> DataFrame:
+    """The rows of `docs` without near-duplicates: of each component the row with the smallest id stays (without ids, that
+    with the smallest text hash), and one of rows that repeat it. Columns are kept as they are."""
+    chosen = near_duplicates(docs, id_col, text_col, radius, width).groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("first"))
+    chosen = materialize(chosen.select(F.col("first")["id"].alias("i"), F.col("first")["key"].alias("k")))
+    rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("key"))
+    kept = rows.join(chosen, F.col("id").eqNullSafe(F.col("i")) & (F.col("key") == F.col("k")), "left_semi")
+    again = F.row_number().over(Window.partitionBy("id", "key").orderBy("key"))
+    return kept.withColumn("again", again).where("again = 1").select("row.*")

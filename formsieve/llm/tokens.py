@@ -348,4 +348,5 @@ def read_back(manifest: DataFrame) -> DataFrame:
                                                           pa.array(ends[first:last] - starts[first:last]), pa.array(crcs, pa.int64())], schema=schema)
 
     files = manifest.select("file", "start")
-    return files.repartition(F.col("file")).mapInArrow(run, "id long, start long, n_tokens long, crc32 long")
+    tasks = max(1, min(files.count(), 4 * files.sparkSession.sparkContext.defaultParallelism))  # a row here is a file's work: not to be coalesced
+    return files.repartition(tasks, "file").mapInArrow(run, "id long, start long, n_tokens long, crc32 long")

@@ -157,3 +157,13 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
         return pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array([machine.score(t) for t in texts(batch.column(1))], pa.float64())], schema=schema)
 
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("t")).mapInArrow(batches(work), "id long, score double")
+
+
+def reject(docs: DataFrame, machine: Machine, threshold: float, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that score below `threshold`, with all their columns."""
+    at = docs.columns.index(text_col)
+
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.filter(pa.array([machine.score(t) < threshold for t in texts(batch.column(at).cast(pa.string()))]))
+
+    return docs.mapInArrow(batches(work), docs.schema)

@@ -281,5 +281,7 @@ def read_back(index: DataFrame) -> DataFrame:
         if source is not None:
             source.close()
 
-    by_file = index.select("urlkey", "ts", "file", "offset", "length").repartition(F.col("file")).sortWithinPartitions("file", "offset")
+    archives = index.select("file").distinct().count()
+    tasks = max(1, min(archives, 4 * index.sparkSession.sparkContext.defaultParallelism))  # a row here is a record's work: not to be coalesced
+    by_file = index.select("urlkey", "ts", "file", "offset", "length").repartition(tasks, "file").sortWithinPartitions("file", "offset")
     return by_file.mapInArrow(run, "urlkey string, ts string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
