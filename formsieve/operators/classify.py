@@ -130,9 +130,7 @@ def with_page_kind(pages: DataFrame, loss_signals=None, schedule_signals=None) -
 def page_runs(kinds: DataFrame) -> DataFrame:
     """(doc_id, run_no, kind, first_page, last_page, n_pages): consecutive pages of one kind."""
     rows = kinds.select("doc_id", "page_no", "kind")
-    marked = running(rows, ["doc_id"], "page_no", previous={"_before": F.col("kind")})
-    change = (~F.col("kind").eqNullSafe(F.col("_before"))).cast("int")
-    numbered = running(marked, ["doc_id"], "page_no", sums={"run_no": change})
+    numbered = running(rows, ["doc_id"], "page_no", changes={"run_no": F.col("kind")})
     return numbered.groupBy("doc_id", "run_no").agg(
         F.min("kind").alias("kind"), F.min("page_no").alias("first_page"), F.max("page_no").alias("last_page"),
         F.count(F.lit(1)).alias("n_pages"))

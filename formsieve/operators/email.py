@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parse import date_or_null, email_timestamp, group, suffix_money
-from ..functions.text import blank_to_null, squeeze, strip
+from ..functions.text import blank_to_null, strip
 from ..rules import email as rules
 from .ordered import running
 
@@ -28,17 +28,16 @@ def date_received(cells: DataFrame) -> DataFrame:
     return stamps.where("ts IS NOT NULL").groupBy("doc_id").agg(F.max_by("ts", F.struct("row_no", "col_no")).alias("date_received"))
 
 
-def quote_deadline(paragraphs: DataFrame, reach: int = 40) -> DataFrame:
+def quote_deadline(paragraphs: DataFrame) -> DataFrame:
     """(doc_id, quote_needed_by): 'ASAP', an ISO date, or the date text as written.
 
-    A phrase may run over a paragraph end, so each paragraph is read behind the ends of the two before it.
+    A phrase may run over paragraph ends. Paragraphs of blanks and colons stand inside a phrase without ending it and are
+    left out; of the one before, all that can matter is the opening word it ends with.
     """
-    rows = paragraphs.where("text IS NOT NULL AND text <> ''").select("doc_id", "ord", F.lower("text").alias("t"))
-    tail = lambda c: F.right(squeeze(c), F.lit(reach))
-    rows = running(rows, ["doc_id"], "ord", previous={"p1": tail("t")})
-    rows = running(rows, ["doc_id"], "ord", previous={"p2": F.col("p1")})
+    rows = paragraphs.where(F.col("text").isNotNull()).select("doc_id", "ord", F.lower("text").alias("t")).where(~F.rlike("t", F.lit(rules.INSIDE_PHRASE)))
+    rows = running(rows, ["doc_id"], "ord", previous={"open": F.regexp_extract("t", rules.OPEN_PHRASE, 0)})
     urgent = reduce(lambda a, b: a | b, [F.contains("t", F.lit(w)) for w in rules.URGENT])
-    found = group(F.concat_ws(" ", "p2", "p1", "t"), rules.DEADLINE, 1)
+    found = group(F.concat_ws(" ", "open", "t"), rules.DEADLINE, 1)
     hits = rows.select("doc_id", "ord", urgent.alias("urgent"), found.alias("found"))
     facts = hits.groupBy("doc_id").agg(F.bool_or("urgent").alias("urgent"), F.min_by("found", F.when(F.col("found").isNotNull(), F.col("ord"))).alias("found"))
     return facts.select("doc_id", F.when(F.col("urgent"), rules.URGENT_LABEL).otherwise(F.coalesce(date_or_null("found"), F.col("found"))).alias(
@@ -93,15 +92,15 @@ def merge_signatures(sigs: DataFrame) -> DataFrame:
     return merged.unionByName(sigs.where("name IS NULL").select(*merged.columns))
 
 
-def contacts(sigs: DataFrame, existing: DataFrame) -> DataFrame:
+def contacts(sigs: DataFrame, existing: DataFrame, agent_side: str = rules.AGENT_SIDE) -> DataFrame:
     """(doc_id, side, type, name, title, email, phone) of the contacts to add.
 
-    Company or title words place a contact on the agent's side, the rest on the insured's. A contact whose e-mail the
+    Company or title words (`agent_side`) place a contact on the agent's side, the rest on the insured's. A contact whose e-mail the
     side already has is left out; contacts without an e-mail are always added, and so are two new ones sharing one.
     existing: (doc_id, side, email).
     """
     words = lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))
-    agent = words("company").rlike(rules.AGENT_SIDE) | words("title").rlike(rules.AGENT_SIDE)
+    agent = words("company").rlike(agent_side) | words("title").rlike(agent_side)
     rows = sigs.select("doc_id", F.when(agent, "agent").otherwise("insured").alias("side"),
                        F.when(agent, rules.CONTACT_TYPE).alias("type"), "name", "title", "email", "phone")
     known = existing.where("email IS NOT NULL AND email <> ''").select("doc_id", "side", "email").distinct()

@@ -1,76 +1,71 @@
 """Ordered computations that stay parallel when one group holds a large share of all rows.
 
-A plain window puts a whole group into one task. Here a group is cut into blocks of consecutive positions, every block
-is its own window partition, and only one summary row per block meets the other blocks of its group.
+A plain window puts a whole group into one task. Here rows are dealt by ranges of (group, position), so every range has
+about the same number of rows however positions are spaced. What a range holds of a group is a block: a window partition of
+its own, of which one summary row meets the other blocks of the group. There are as many blocks as ranges, so they grow with
+the data; a group of a few rows is one block, a large one many, by the same path.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 4096
-HOT_GROUP = 1_000_000
-SPLITS = 512
+from ..session import materialize
 
 
-def running(df: DataFrame, keys: list[str], pos: str, sums: dict | None = None, maxes: dict | None = None,
-            previous: dict | None = None, block_size: int = BLOCK) -> DataFrame:
-    """Add running sums and maxima (current row included) and previous-row values over `pos` within `keys`.
+def _blocks(df: DataFrame, keys: list[str], order: list[str], ranges: int | None) -> DataFrame:
+    """`df` with the range each row fell into as `_b`. It is written: a range is drawn once, whoever reads it."""
+    dealt = df.repartitionByRange(*([ranges] if ranges else []), *keys, *order)
+    return materialize(dealt.withColumn("_b", F.spark_partition_id()))
 
-    `pos` is an integer that is unique within `keys`; gaps are fine.
+
+def running(df: DataFrame, keys: list[str], pos: str, sums: dict | None = None, maxes: dict | None = None, previous: dict | None = None,
+            changes: dict | None = None, ranges: int | None = None) -> DataFrame:
+    """Add, over `pos` within `keys`, running sums and maxima (current row included), previous-row values, and `changes`:
+    how many rows so far, the first one included, differ from the row before (nulls are equal).
+
+    `pos` is unique within `keys`; its values and gaps do not matter. `ranges` overrides the session's shuffle partitions.
     """
-    sums, maxes, previous = sums or {}, maxes or {}, previous or {}
-    # The explicit repartition matters: rows that arrive clustered by `keys` alone would satisfy the window as they are.
-    rows = df.withColumn("_b", F.floor(F.col(pos) / block_size)).repartition(*keys, "_b")
+    sums, maxes, previous, changes = sums or {}, maxes or {}, previous or {}, changes or {}
+    rows = _blocks(df, keys, [pos], ranges)
     inner = Window.partitionBy(*keys, "_b").orderBy(pos)
     upto = inner.rowsBetween(Window.unboundedPreceding, 0)
-    summary = [F.sum(e).alias(f"_s_{n}") for n, e in sums.items()]
-    summary += [F.max(e).alias(f"_m_{n}") for n, e in maxes.items()]
-    summary += [F.max_by(F.struct(e.alias("v")), pos).alias(f"_p_{n}") for n, e in previous.items()]
+    boxed = {n: F.struct(e.alias("v")) for n, e in {**previous, **changes}.items()}
+    marked = rows.select("*", *[b.alias(f"_v_{n}") for n, b in boxed.items()], *[F.lag(b).over(inner).alias(f"_q_{n}") for n, b in boxed.items()])
+    # The first row of a block is compared with the block before, which only the summaries know.
+    turned = marked.select("*", *[(F.col(f"_q_{n}").isNotNull() & ~F.col(f"_v_{n}")["v"].eqNullSafe(F.col(f"_q_{n}")["v"])).cast("long").alias(f"_c_{n}") for n in changes])
+    local = turned.select(
+        *df.columns, "_b", *[f"_q_{n}" for n in previous],
+        *[F.sum(e).over(upto).alias(f"_l_{n}") for n, e in sums.items()], *[F.max(e).over(upto).alias(f"_x_{n}") for n, e in maxes.items()],
+        *[F.sum(f"_c_{n}").over(upto).alias(f"_t_{n}") for n in changes])
+    summary = [F.sum(e).alias(f"_s_{n}") for n, e in sums.items()] + [F.max(e).alias(f"_m_{n}") for n, e in maxes.items()]
+    summary += [F.max_by(f"_v_{n}", pos).alias(f"_p_{n}") for n in boxed]
+    summary += [c for n in changes for c in (F.min_by(f"_v_{n}", pos).alias(f"_f_{n}"), F.sum(f"_c_{n}").alias(f"_n_{n}"))]
     across = Window.partitionBy(*keys).orderBy("_b")
     before = across.rowsBetween(Window.unboundedPreceding, -1)
-    blocks = rows.groupBy(*keys, "_b").agg(*summary).select(
-        *keys, "_b",
-        *[F.sum(f"_s_{n}").over(before).alias(f"_s_{n}") for n in sums],
-        *[F.max(f"_m_{n}").over(before).alias(f"_m_{n}") for n in maxes],
-        *[F.lag(f"_p_{n}").over(across).alias(f"_p_{n}") for n in previous])
-    out = rows.select(
-        "*",
-        *[F.sum(e).over(upto).alias(f"_l_{n}") for n, e in sums.items()],
-        *[F.max(e).over(upto).alias(f"_x_{n}") for n, e in maxes.items()],
-        *[F.lag(F.struct(e.alias("v"))).over(inner).alias(f"_q_{n}") for n, e in previous.items()])
-    return out.join(blocks, [*keys, "_b"], "left").select(
+    met = turned.groupBy(*keys, "_b").agg(*(summary or [F.lit(0)])).select("*", *[F.lag(f"_p_{n}").over(across).alias(f"_o_{n}") for n in boxed])
+    met = met.select("*", *[(F.col(f"_o_{n}").isNull() | ~F.col(f"_f_{n}")["v"].eqNullSafe(F.col(f"_o_{n}")["v"])).cast("long").alias(f"_e_{n}") for n in changes])
+    blocks = met.select(
+        *keys, "_b", *[F.sum(f"_s_{n}").over(before).alias(f"_s_{n}") for n in sums], *[F.max(f"_m_{n}").over(before).alias(f"_m_{n}") for n in maxes],
+        *[F.col(f"_o_{n}") for n in previous],
+        *[(F.coalesce(F.sum(F.col(f"_n_{n}") + F.col(f"_e_{n}")).over(before), F.lit(0)) + F.col(f"_e_{n}")).alias(f"_n_{n}") for n in changes])
+    return local.join(blocks, [*keys, "_b"]).select(
         *df.columns,
         *[(F.coalesce(f"_l_{n}", F.lit(0)) + F.coalesce(f"_s_{n}", F.lit(0))).alias(n) for n in sums],
         *[F.greatest(f"_x_{n}", f"_m_{n}").alias(n) for n in maxes],
-        *[F.coalesce(f"_q_{n}", f"_p_{n}")["v"].alias(n) for n in previous])
+        *[F.coalesce(f"_q_{n}", f"_o_{n}")["v"].alias(n) for n in previous],
+        *[(F.col(f"_t_{n}") + F.col(f"_n_{n}")).alias(n) for n in changes])
 
 
-def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str = "rn", hot_group: int = HOT_GROUP,
-                splits: int = SPLITS) -> DataFrame:
-    """1-based position of every row within `keys` by `order`, which must be unique within a group.
-
-    Groups above `hot_group` rows are cut at boundaries drawn by a hash of the order values: the same boundaries in
-    every run and retry, about `splits` of them per group. Smaller groups are numbered by one window.
-    """
-    key = F.struct(*[F.col(c) for c in order])
+def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str = "rn", ranges: int | None = None) -> DataFrame:
+    """1-based position of every row within `keys` by `order`, which is unique within a group. No keys: one group."""
     if not keys:
-        df, keys = df.withColumn("_all", F.lit(0)), ["_all"]
-        return number_rows(df, keys, order, name, hot_group, splits).drop("_all")
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_group)
-    picked = df.select(*keys, key.alias("_k")).join(sizes, keys).where(
-        F.pmod(F.xxhash64("_k"), F.greatest(F.lit(1), F.floor(F.col("_n") / splits))) == 0)
-    bounds = picked.groupBy(*keys).agg(F.array_sort(F.collect_list("_k")).alias("_bounds"))
-    rows = df.withColumn("_k", key).join(bounds, keys, "left").withColumn(
-        "_b", F.when(F.col("_bounds").isNull(), 0).otherwise(
-            F.size(F.filter("_bounds", lambda b: b <= F.col("_k"))))).repartition(*keys, "_b")
-    local = rows.select(*df.columns, "_b", F.row_number().over(
-        Window.partitionBy(*keys, "_b").orderBy(*order)).alias("_r"))
+        return number_rows(df.withColumn("_all", F.lit(0)), ["_all"], order, name, ranges).drop("_all")
+    rows = _blocks(df, keys, order, ranges)
+    local = rows.select("*", F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(*order)).alias("_r"))
     before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = rows.where(F.col("_bounds").isNotNull()).groupBy(*keys, "_b").count().select(
-        *keys, "_b", F.sum("count").over(before).alias("_off"))
-    return local.join(offsets, [*keys, "_b"], "left").select(
-        *df.columns, (F.col("_r") + F.coalesce("_off", F.lit(0))).cast("bigint").alias(name))
+    offsets = rows.groupBy(*keys, "_b").count().select(*keys, "_b", F.sum("count").over(before).alias("_off"))
+    return local.join(offsets, [*keys, "_b"]).select(*df.columns, (F.col("_r") + F.coalesce("_off", F.lit(0))).cast("bigint").alias(name))
 
 
 def first_by(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -341,5 +341,5 @@ def _(t: Inputs):
 def _(t: Inputs):
     from ..operators.ordered import number_rows
     rows = t.sql("SELECT l_suppkey AS doc_id, l_orderkey, l_linenumber, l_partkey FROM {lineitem}")
-    numbered = number_rows(rows, ["doc_id"], ["l_orderkey", "l_linenumber", "l_partkey"], hot_group=500, splits=8)
+    numbered = number_rows(rows, ["doc_id"], ["l_orderkey", "l_linenumber", "l_partkey"])
     return numbered.groupBy("doc_id", "l_orderkey", "l_linenumber", "l_partkey").agg(F.count(F.lit(1)).alias("n"), F.max("rn").alias("rn"))

@@ -5,6 +5,10 @@ URGENT = ["asap", "rush"]
 URGENT_LABEL = "ASAP"
 DEADLINE = r"(?:need\s+by|deadline|due|by)[:\s]+(\d{1,2}/\d{1,2}(?:/\d{2,4})?)"
 
+# What an opened phrase ends a paragraph with, and a paragraph that may stand inside one.
+OPEN_PHRASE = r"(?:deadline|due|by)[:\s]*$"
+INSIDE_PHRASE = r"^[:\s]*$"
+
 OPENER = r"(?i)^(thank you|thanks|--|best regards|sincerely|kind regards|cheers|warm regards)[,.!]?\s*$"
 CLOSER = (r"(?i)^(from:|sent:|to:|subject:|cc:|bcc:|date:|on\s+\w+,\s+\w+|this e-mail|this email|please send|to unsubscribe|"
           r"please consider|disclaimer|confidentiality|wrote:)")
