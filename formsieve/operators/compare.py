@@ -1,14 +1,16 @@
 """Scoring a record against ground truth, leaf by leaf."""
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parse import compare_date, number
-from ..functions.text import norm_compare
-from ..session import materialize
+from ..functions.text import SPACES, WS, norm_compare
 from . import leaves
 
 # List items are matched by the first of these keys that the first expected item has.
@@ -17,6 +19,7 @@ ABSOLUTE, RELATIVE, LONG_TEXT = 1.0, 0.005, 30
 ANY_VALUE, NOT_SCORED = "*", "N/A"
 
 CONTAINER = ["o", "a"]
+WHITE = re.compile(f"{WS}+")
 
 
 def _truth(value: Column, vtype: Column) -> Column:
@@ -67,76 +70,88 @@ def compare_leaves(gt: DataFrame, out: DataFrame, keys: list[str], strict_bool:
     return with_verdict(g.join(o, keys, "left"), strict_bool).select(*keys, "gt_value", "out_value", "verdict")
 
 
-def _list_positions(depth: int) -> Column:
-    """Index of the `depth`-th list step of a node, 0-based; NULL when the node lies in fewer lists."""
-    at = F.filter(F.transform("steps", lambda s, i: F.when(s["idx"].isNotNull(), i)), lambda i: i.isNotNull())
-    return F.get(at, F.lit(depth - 1))
+def _sort_text(item, key: str) -> str:
+    """Normalized text of an item's sort key; items without one, or with an empty one, share the empty text."""
+    value = item.get(key) if isinstance(item, dict) else None
+    if not value:
+        return ""
+    return WHITE.sub(" ", ("true" if value is True else leaves.text_of(value)[0]).strip(SPACES).lower())
 
 
-def _align(nodes: DataFrame, doc: list[str], depth: int, mode: str) -> DataFrame:
-    """Replace the item numbers of the `depth`-th list level by their rank under the list's sort key.
+def _paired(expected: list, got: list, mode: str) -> tuple[list[tuple], list[int]]:
+    """((number, expected item, whether there is an output item, that item)..., numbers of surplus output items)."""
+    first = expected[0] if expected else None
+    key = next((k for k in SORT_KEYS if k in first), None) if isinstance(first, dict) else None
+    if key is not None and mode == "key":
+        free: dict[str, list[int]] = {}
+        for i in reversed(range(len(got))):
+            free.setdefault(_sort_text(got[i], key), []).append(i)
+        own = [held.pop() if (held := free.get(_sort_text(item, key))) else None for item in expected]
+        surplus = len(got) - sum(i is not None for i in own)
+        return [(n, item, i is not None, None if i is None else got[i]) for n, (item, i) in enumerate(zip(expected, own))], list(
+            range(len(expected), len(expected) + surplus))
+    if key is not None:
+        expected, got = (sorted(side, key=lambda item: _sort_text(item, key)) for side in (expected, got))
+    return [(n, item, n < len(got), got[n] if n < len(got) else None) for n, item in enumerate(expected)], list(range(len(expected), len(got)))
 
-    nodes: (doc..., side, steps, value, vtype). Items sort by the normalized text of the key; ties keep their order.
-    mode 'key' pairs by the key text itself instead, so that one missing item does not shift the others. A list is part
-    of one record, so the windows below never hold more than one input value.
+
+def pairs(expected, has_output: bool, output, mode: str) -> Iterator[tuple]:
+    """(path, expected text, type, output text, type, surplus) of every expected leaf and every surplus list item.
+
+    Lists are aligned where they are met, at any depth; the walk keeps its own stack.
     """
-    rows = nodes.withColumn("_p", _list_positions(depth))
-    inside = rows.where("_p IS NOT NULL").withColumn("_list", F.slice("steps", 1, F.col("_p"))).withColumn(
-        "_i", F.get("steps", F.col("_p"))["idx"]).withColumn("_k", F.get("steps", F.col("_p") + 1)["key"])
-    group = [*doc, "_list"]
-    direct = (F.size("steps") == F.col("_p") + 2) & _truth(F.col("value"), F.col("vtype"))
-    text = norm_compare(F.when(F.col("vtype") == "boolean", "true").otherwise(F.col("value")))
-    items = inside.groupBy(*group, "side", "_i").agg(*[c for n, k in enumerate(SORT_KEYS) for c in (
-        F.max(F.col("_k") == k).alias(f"_has{n}"), F.max(F.when(direct & (F.col("_k") == k), text)).alias(f"_t{n}"))])
-    own = reduce(lambda acc, n: F.when(F.col(f"_has{n}"), n).otherwise(acc), reversed(range(len(SORT_KEYS))), F.lit(None))
-    first = F.when((F.col("side") == "gt") & (F.col("_i") == 0), own)
-    items = items.withColumn("_key", F.max(first).over(Window.partitionBy(*group)))
-    chosen = reduce(lambda acc, n: F.when(F.col("_key") == n, F.col(f"_t{n}")).otherwise(acc), range(len(SORT_KEYS)), F.lit(None))
-    items = items.where("_key IS NOT NULL").withColumn("_text", F.coalesce(chosen, F.lit("")))
-    if mode == "key":
-        nth = items.withColumn("_n", F.row_number().over(Window.partitionBy(*group, "side", "_text").orderBy("_i")))
-        same = Window.partitionBy(*group, "_text", "_n")
-        new = F.coalesce(F.max(F.when(F.col("side") == "gt", F.col("_i"))).over(same), F.lit(1_000_000) + F.col("_i"))
-        placed = nth.withColumn("_new", new)
-    else:
-        placed = items.withColumn("_new", F.row_number().over(Window.partitionBy(*group, "side").orderBy("_text", "_i")) - 1)
-    moved = inside.join(placed.select(*group, "side", "_i", F.col("_new").cast("int").alias("_new")), [*group, "side", "_i"], "left")
-    step = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.coalesce("_new", "_i").cast("int").alias("idx")))
-    rest = F.slice("steps", F.col("_p") + 2, F.greatest(F.size("steps") - F.col("_p") - 1, F.lit(0)))
-    moved = moved.select(*[F.concat("_list", step, rest).alias("steps") if c == "steps" else F.col(c) for c in nodes.columns])
-    return rows.where("_p IS NULL").select(*nodes.columns).unionByName(moved)
-
-
-def compare_records(gt: DataFrame, out: DataFrame, keys: list[str], json: str = "content", list_levels: int = 3,
-                    mode: str = "rank", strict_bool: bool = False, max_depth: int = leaves.MAX_DEPTH) -> DataFrame:
+    stack = [("", expected, has_output, output)]
+    while stack:
+        path, g, has, o = stack.pop()
+        if isinstance(g, dict):
+            inside = o if has and isinstance(o, dict) else {}
+            stack.extend((f"{path}.{k}" if path else k, v, k in inside, inside.get(k)) for k, v in reversed(g.items()) if not k.startswith("_"))
+        elif isinstance(g, list):
+            paired, surplus = _paired(g, o if has and isinstance(o, list) else [], mode)
+            yield from ((f"{path}[{n}]", None, None, "(extra item)", None, True) for n in surplus)
+            stack.extend((f"{path}[{n}]", item, there, other) for n, item, there, other in reversed(paired))
+        else:
+            yield path, *leaves.text_of(g), *(leaves.text_of(o) if has else (None, None)), False
+
+
+def _pair_batches(mode: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, source, found = batch.columns[:-2], [], []
+
+            def flush() -> pa.RecordBatch:
+                take = pa.array(source, pa.int64())
+                kinds = [pa.string()] * 5 + [pa.bool_()]
+                return pa.RecordBatch.from_arrays([k.take(take) for k in keys] + [pa.array(c, t) for c, t in zip(zip(*found), kinds)],
+                                                  names=[*batch.schema.names[:-2], "path", "gt_value", "gt_type", "out_value", "out_type", "surplus"])
+
+            for row, (gt, out) in enumerate(zip(batch.columns[-2].to_pylist(), batch.columns[-1].to_pylist())):
+                ok, expected = leaves.parse(gt)
+                if ok:
+                    for pair in pairs(expected, *leaves.parse(out), mode):
+                        source.append(row)
+                        found.append(pair)
+                        if len(found) >= leaves.ROWS_PER_BATCH:
+                            yield flush()
+                            source, found = [], []
+            if found:
+                yield flush()
+    return run
+
+
+def compare_records(gt: DataFrame, out: DataFrame, keys: list[str], json: str = "content", mode: str = "rank", strict_bool: bool = False) -> DataFrame:
     """(keys, path, gt_value, out_value, verdict) of two nested records per key.
 
     Every expected leaf gets a verdict; items beyond the expected length of a list count as EXTRA; keys starting with an
-    underscore and surplus object keys are ignored. Lists nested deeper than `list_levels` pair by position.
+    underscore and surplus object keys are ignored. Lists of any depth are aligned: items sort by the normalized text of the
+    sort key, ties keep their order, and pair by rank; mode 'key' pairs equal key texts instead, so that one missing item
+    does not shift the others. One join brings two records together; everything after it stays in its task.
     """
-    g = leaves.flatten(gt, keys, json, max_depth, containers=True).where(
-        ~F.exists("steps", lambda s: F.startswith(F.coalesce(s["key"], F.lit("")), F.lit("_"))))
-    o = leaves.flatten(out, keys, json, max_depth, containers=True)
-    cols = [*keys, "side", "steps", "value", "vtype"]
-    nodes = g.withColumn("side", F.lit("gt")).select(*cols).unionByName(o.withColumn("side", F.lit("out")).select(*cols))
-    for depth in range(1, list_levels + 1):
-        # Every level reads its nodes three times; recomputing would multiply the parsing by that per level.
-        nodes = _align(materialize(nodes), keys, depth, mode)
-    nodes = nodes.withColumn("path", leaves.path_text(F.col("steps")))
-    both = nodes.groupBy(*keys, "path").agg(
-        F.min_by(F.when(F.col("side") == "gt", F.struct("value", "vtype")), F.when(F.col("side") == "gt", 0)).alias("g"),
-        F.min_by(F.when(F.col("side") == "out", F.struct("value", "vtype")), F.when(F.col("side") == "out", 0)).alias("o"),
-        F.first("steps").alias("steps"))
-    leaf = with_verdict(both.where("g IS NOT NULL AND g.vtype NOT IN ('o', 'a', 'object', 'array')").select(
-        *keys, "path", F.col("g.value").alias("gt_value"), F.col("g.vtype").alias("gt_type"), F.col("o.value").alias("out_value"),
-        F.col("o.vtype").alias("out_type")), strict_bool).drop("gt_type", "out_type")
-    # An output item without a counterpart is EXTRA when the expected record has a list in that place.
-    item = both.where("g IS NULL").where(F.element_at("steps", -1)["idx"].isNotNull()).select(
-        *keys, "path", leaves.path_text(F.slice("steps", 1, F.size("steps") - 1)).alias("_list"))
-    lists = both.where("g.vtype IN ('a', 'array')").select(*keys, F.col("path").alias("_list"))
-    extra = item.join(lists, [*keys, "_list"], "left_semi").select(
-        *keys, "path", F.lit(None).cast("string").alias("gt_value"), F.lit("(extra item)").alias("out_value"), F.lit("EXTRA").alias("verdict"))
-    return leaf.unionByName(extra)
+    both = gt.select(*keys, F.col(json).alias("_gt")).join(out.select(*keys, F.col(json).alias("_out")), keys, "left").select(*keys, "_gt", "_out")
+    columns = "path string, gt_value string, gt_type string, out_value string, out_type string, surplus boolean"
+    rows = both.mapInArrow(_pair_batches(mode), leaves.key_schema(gt, keys) + columns)
+    judged = with_verdict(rows, strict_bool)
+    return judged.select(*keys, "path", "gt_value", "out_value", F.when(F.col("surplus"), "EXTRA").otherwise(F.col("verdict")).alias("verdict"))
 
 
 def score(verdicts: DataFrame, keys: list[str] | None = None) -> DataFrame:

@@ -13,7 +13,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_DEPTH = 64
 ROWS_PER_BATCH = 50_000
 STEP = "struct<key: string, idx: int>"
 _LEAF = f"ord bigint, steps array<{STEP}>, path string, value string, vtype string"
@@ -42,29 +41,29 @@ def _dump(value) -> str:
     return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
 
 
-def walk(value, max_depth: int, containers: bool) -> Iterator[tuple[tuple, str | None, str]]:
+def text_of(value) -> tuple[str | None, str]:
+    """(text, type) of a node: JSON text of containers with content (type o/a), the plain value of leaves."""
+    if isinstance(value, (dict, list)):
+        kind = "object" if isinstance(value, dict) else "array"
+        return (_dump(value), kind[0]) if value else ("{}" if kind == "object" else "[]", kind)
+    if value is None:
+        return None, "null"
+    if isinstance(value, bool):
+        return "true" if value else "false", "boolean"
+    return (value, "string") if isinstance(value, str) else (repr(value), "number")
+
+
+def walk(value, max_depth: int | None, containers: bool) -> Iterator[tuple[tuple, str | None, str]]:
     """(steps, text, type) of every node in document order; steps are keys (str) and item numbers (int)."""
     stack = [((), value)]
     while stack:
         steps, v = stack.pop()
-        if isinstance(v, (dict, list)):
-            kind = "object" if isinstance(v, dict) else "array"
-            opened = bool(v) and len(steps) < max_depth
-            if not v:
-                yield steps, "{}" if kind == "object" else "[]", kind
-            elif containers or not opened:
-                yield steps, _dump(v), kind[0]
-            if opened:
-                members = list(v.items()) if kind == "object" else list(enumerate(v))
-                stack.extend(((*steps, k), x) for k, x in reversed(members))
-        elif v is None:
-            yield steps, None, "null"
-        elif isinstance(v, bool):
-            yield steps, "true" if v else "false", "boolean"
-        elif isinstance(v, str):
-            yield steps, v, "string"
-        else:
-            yield steps, repr(v), "number"
+        opened = isinstance(v, (dict, list)) and bool(v) and (max_depth is None or len(steps) < max_depth)
+        if containers or not opened:
+            yield steps, *text_of(v)
+        if opened:
+            members = list(v.items()) if isinstance(v, dict) else list(enumerate(v))
+            stack.extend(((*steps, k), x) for k, x in reversed(members))
 
 
 def _path(steps: tuple) -> str:
@@ -72,7 +71,7 @@ def _path(steps: tuple) -> str:
     return out[1:] if out.startswith(".") else out
 
 
-def _leaf_batches(max_depth: int, containers: bool) -> Callable:
+def _leaf_batches(max_depth: int | None, containers: bool) -> Callable:
     """Arrow function: key columns and JSON text in, key columns and leaf columns out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -109,19 +108,19 @@ def _leaf_batches(max_depth: int, containers: bool) -> Callable:
     return run
 
 
-def _key_schema(df: DataFrame, keys: list[str]) -> str:
+def key_schema(df: DataFrame, keys: list[str]) -> str:
     types = dict(df.dtypes)
     return "".join(f"`{k}` {types[k]}, " for k in keys)
 
 
-def flatten(df: DataFrame, keys: list[str], json: str = "content", max_depth: int = MAX_DEPTH, containers: bool = False) -> DataFrame:
+def flatten(df: DataFrame, keys: list[str], json: str = "content", max_depth: int | None = None, containers: bool = False) -> DataFrame:
     """(keys, ord, steps, path, value, vtype) for every leaf of the JSON text in column `json`, in document order.
 
     vtype: string, number, boolean, null, and object/array for empty containers. With `containers`, objects and arrays
-    with content appear as well (vtype o/a). Content below `max_depth` levels stays one row of JSON text (vtype o/a).
+    with content appear as well (vtype o/a). Content below `max_depth` levels, if that is given, stays one row of JSON text (vtype o/a).
     Text that is not JSON gives no rows.
     """
-    return df.select(*keys, json).mapInArrow(_leaf_batches(max_depth, containers), _key_schema(df, keys) + _LEAF)
+    return df.select(*keys, json).mapInArrow(_leaf_batches(max_depth, containers), key_schema(df, keys) + _LEAF)
 
 
 def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,13 +129,13 @@ def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         for text in batch.columns[-1].to_pylist():
             ok, value = parse(text)
             texts.append(" ".join(" ".join([*(s for s in steps if isinstance(s, str)), leaf or ""])
-                                  for steps, leaf, _ in walk(value, MAX_DEPTH, False)) if ok else None)
+                                  for steps, leaf, _ in walk(value, None, False)) if ok else None)
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*batch.schema.names[:-1], "digest"])
 
 
 def digest(df: DataFrame, keys: list[str], json: str = "content") -> DataFrame:
     """(keys, digest): key names and leaf values of the JSON text, space-separated, for substring checks."""
-    return df.select(*keys, json).mapInArrow(_digest_batches, _key_schema(df, keys) + "digest string")
+    return df.select(*keys, json).mapInArrow(_digest_batches, key_schema(df, keys) + "digest string")
 
 
 def path_text(steps: Column) -> Column:
@@ -177,4 +176,4 @@ def _nest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def rebuild(leaves: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, content): JSON text per key from its leaves. What a group gathers is one JSON value of the output."""
     rows = leaves.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("ord", "steps", "value", "vtype"))).alias("rows"))
-    return rows.mapInArrow(_nest_batches, _key_schema(leaves, keys) + "content string")
+    return rows.mapInArrow(_nest_batches, key_schema(leaves, keys) + "content string")

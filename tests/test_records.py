@@ -39,7 +39,7 @@ def test_record_against_itself_is_perfect(spark):
     record = json.dumps({"Locations": [{"LocationNumber": n, "Buildings": [{"BuildingNumber": b, "v": f"{n}-{b}"} for b in (2, 1)]} for n in (3, 1, 2)], "_m": 1})
     shuffled = json.dumps({"Locations": [{"LocationNumber": n, "Buildings": [{"BuildingNumber": b, "v": f"{n}-{b}"} for b in (1, 2)]} for n in (1, 2, 3)]})
     gt, out = (spark.createDataFrame([(1, x)], "doc_id int, content string") for x in (record, shuffled))
-    got = compare.score(compare.compare_records(gt, out, ["doc_id"], list_levels=2)).first()
+    got = compare.score(compare.compare_records(gt, out, ["doc_id"])).first()
     assert (got["correct"], got["wrong"], got["missing"], got["extra"], got["precision"], got["recall"]) == (15, 0, 0, 0, 1.0, 1.0)
 
 
@@ -188,3 +188,20 @@ def test_first_arrivals(spark, tmp_path):
     q = stream.writeStream.format("memory").queryName("arrivals").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "c")).start()
     q.awaitTermination(120)
     assert spark.table("arrivals").count() == 3
+
+
+def test_scoring_has_no_depth_limit(spark):
+    from formsieve.operators import compare
+    deep = lambda inner: '{"a":[' * 70 + inner + ']}' * 70
+    gt = spark.createDataFrame([(1, deep('{"v":1}')), (2, deep('[{"Name":"b","v":"x"},{"Name":"a","v":"y"}]'))], "doc_id long, content string")
+    out = spark.createDataFrame([(1, '{"a":[]}'), (2, deep('[{"Name":"a","v":"y"},{"Name":"b","v":"x"},{"Name":"c"}]'))], "doc_id long, content string")
+    got = {(r.doc_id, r.verdict): r.n for r in compare.compare_records(gt, out, ["doc_id"]).groupBy("doc_id", "verdict").agg(F.count("*").alias("n")).collect()}
+    assert got == {(1, "MISSING"): 1, (2, "CORRECT"): 4, (2, "EXTRA"): 1}
+
+
+def test_list_items_paired_by_key(spark):
+    from formsieve.operators import compare
+    gt = [{"Name": "a", "v": 1}, {"Name": "B ", "v": 2}, {"Name": "b", "v": 3}, "text"]
+    paired, surplus = compare._paired(gt, [{"Name": "b", "v": 2}, {"Name": "x"}, {"Name": "A", "v": 1}], "key")
+    assert [(n, there, o) for n, _, there, o in paired] == [(0, True, {"Name": "A", "v": 1}), (1, True, {"Name": "b", "v": 2}), (2, False, None), (3, False, None)]
+    assert surplus == [4]
