@@ -12,6 +12,7 @@ bits, so about 2 + log2(max / n) bits per document replace a 64-bit table. A sam
 """
 from __future__ import annotations
 
+import json
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -26,9 +27,11 @@ from .common import folder_for, local_path, lower_ascii, materialize, texts
 MAGIC = b"EFTOK1\0\0"
 HEADER = 8
 SAMPLE = 256
-#: Words whose ids a worker remembers, and words per call of the tokenizer.
-REMEMBER, CALL = 800_000, 20_000
+#: Words whose ids a worker remembers (some 300 bytes each), and words per call of the tokenizer.
+REMEMBER, CALL = 600_000, 20_000
 #: Signs of which the tokenizer has to know one as a token of its own; it stands between words that are encoded together.
+#: Signs that are cut off behind a letter.
+SIGNS = b"!\"#$%&()*+,-./:;=?@[]^_`{|}~"
 MARKS = "☃★♥♪✨☀▶"
 
 
@@ -105,15 +108,16 @@ class EliasFano:
         return (high << np.uint64(self.low)) | (lows << np.arange(self.low, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
 
 
-def _stem(word: bytes) -> tuple[bytes, int]:
-    """The word in lower case and without a last stop or comma behind an ASCII letter, and that sign. A word that may hold a
-    special token stays as it is."""
-    if b"<" in word:
-        return word, 0
+def _stem(word: bytes) -> tuple[bytes, bytes]:
+    """The word in lower case without the ASCII signs behind its last letter, and those signs. A word that may hold a special
+    token or a short form ('s) stays as it is."""
+    if b"<" in word or b"'" in word:
+        return word, b""
     low = lower_ascii(word)
-    if len(low) > 1 and low[-1] in b".," and 97 <= low[-2] <= 122:
-        return low[:-1], low[-1]
-    return (word, 0) if low == word else (low, 0)
+    plain = low.rstrip(SIGNS)
+    if plain and 97 <= plain[-1] <= 122:
+        return plain, low[len(plain):]
+    return low, b""
 
 
 class Encoder:
@@ -128,44 +132,79 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, int] = {}
         self.mark, self.mark_id = next(((c, ids[0]) for c in MARKS if len(ids := self.tokenizer.encode(c, add_special_tokens=False).ids) == 1), ("", -1))
-        self.flat, self.at = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-        alone = {ord(c): self.tokenizer.encode(c, add_special_tokens=False).ids for c in ".,"}
-        if any(len(ids) != 1 for ids in alone.values()):
-            raise ValueError("a stop or comma is not one token")
-        self.signs = {0: -1} | {c: ids[0] for c, ids in alone.items()}
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool) if suffix else None
+        for token, number in vocabulary.items() if suffix else ():
+            self.ends[number] = token.endswith(suffix)
+        self.flat, self.at, self.used = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0, bool)
+
+    def _forget(self) -> None:
+        """Drop words that did not come back since the last time; if nearly all did, drop all."""
+        slots = np.fromiter(self.known.values(), np.int64, len(self.known))
+        kept = self.used[slots]
+        if kept.mean() > 0.6:
+            kept[:] = False
+        names = [w for w, k in zip(self.known, kept.tolist()) if k]
+        begin = self.at[slots[kept]]
+        count = self.at[slots[kept] + 1] - begin
+        ends = np.cumsum(count)
+        self.flat = self.flat[np.arange(int(count.sum())) + np.repeat(begin - (ends - count), count)]
+        self.at, self.known = np.concatenate(([0], ends)), dict(zip(names, range(len(names))))
+        self.used = np.zeros(len(names), bool)
 
     def learn(self, words: list[bytes]) -> None:
-        """Encode words that are new. A word in capitals, or with a stop or comma behind a letter, is made from what it is
-        without them: the tokenizer lowers case, and it cuts between a letter and a sign."""
-        plain = [_stem(w) for w in words]
-        new = [w for w in dict.fromkeys(p for p, _ in plain) if w not in self.known]
+        """Encode words that are new. A word in capitals, or with signs behind its last letter, is made from what it is
+        without them and from the signs: the tokenizer lowers case, and it cuts between a letter and a sign."""
+        cut = [_stem(w) for w in words]
+        new = [w for w in dict.fromkeys(part for pair in cut for part in pair) if w and w not in self.known]
         made = [self._together([w.decode() for w in new[i:i + CALL]]) for i in range(0, len(new), CALL)]
         base = len(self.at) - 1
         flat = np.concatenate([self.flat, *(m[0] for m in made)])
-        at = np.concatenate([self.at, *(m[1] for m in made)])
-        at[len(self.at):] = self.at[-1] + np.cumsum(at[len(self.at):])
+        at = np.concatenate((self.at, self.at[-1] + np.cumsum(np.concatenate([m[1] for m in made] or [np.zeros(0, np.int64)]))))
         self.known.update(zip(new, range(base, base + len(new))))
 
-        other = [(w, p, sign) for w, (p, sign) in zip(words, plain) if w is not p and w not in self.known]
-        slots = np.array([self.known[p] for _, p, _ in other], np.int64)
-        sign = np.array([self.signs[s] for _, _, s in other], np.int64)
-        begin = at[slots] if len(other) else slots
-        count = at[slots + 1] - begin if len(other) else slots
-        size = count + (sign >= 0)
-        ends = np.cumsum(size)
-        more = np.empty(int(ends[-1]) if len(other) else 0, np.uint32)
-        place = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-        more[place + np.repeat(ends - size, count)] = flat[place + np.repeat(begin, count)]
-        more[ends[sign >= 0] - 1] = sign[sign >= 0]
+        other = [(w, stem, signs) for w, (stem, signs) in zip(words, cut) if signs or w not in self.known]
+        halves = np.array([(self.known[stem], self.known[signs] if signs else -1) for _, stem, signs in other], np.int64).reshape(-1, 2)
+        begin, count = at[halves], at[halves + 1] - at[halves]
+        count[halves < 0] = 0
+        sizes = count.ravel()
+        ends = np.cumsum(sizes)
+        more = flat[np.arange(int(sizes.sum())) + np.repeat(begin.ravel() - (ends - sizes), sizes)]
         base = len(at) - 1
-        self.flat, self.at = np.concatenate((flat, more)), np.concatenate((at, at[-1] + ends))
+        self.flat, self.at = np.concatenate((flat, more)), np.concatenate((at, at[-1] + ends[1::2]))
         self.known.update(zip((w for w, _, _ in other), range(base, base + len(other))))
+        self.used = np.concatenate((self.used, np.zeros(len(self.at) - 1 - len(self.used), bool)))
 
     def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all words and their numbers. The words go through the tokenizer as few texts, a mark between any two."""
+        """Ids of all words and their numbers. The words go through the tokenizer as few texts.
+
+        A word of letters is one piece of text to the tokenizer, which marks the token that ends a piece: so the ids of many
+        show where each ends. Between other words stands a sign that is a token of its own.
+        """
+        simple = [w.isalpha() for w in words] if self.ends is not None else [False] * len(words)
+        letters = [w for w, s in zip(words, simple) if s]
+        made = self._ids([" ".join(letters[i:i + 500]) for i in range(0, len(letters), 500)])
+        last = np.flatnonzero(self.ends[made]) if letters else np.zeros(0, np.int64)
+        if len(last) != len(letters):
+            return self._marked(words)
+        if len(letters) == len(words):
+            return made, np.diff(np.concatenate(([-1], last)))
+        rest, rest_sizes = self._marked([w for w, s in zip(words, simple) if not s])
+        sizes, simple = np.zeros(len(words), np.int64), np.array(simple)
+        sizes[simple], sizes[~simple] = np.diff(np.concatenate(([-1], last))), rest_sizes
+        of_simple = np.repeat(simple, sizes)
+        ids = np.zeros(len(of_simple), np.uint32)
+        ids[of_simple], ids[~of_simple] = made, rest
+        return ids, sizes
+
+    def _ids(self, texts: list[str]) -> np.ndarray:
+        made = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return np.concatenate([np.zeros(0, np.uint32), *(np.array(e.ids, np.uint32) for e in made)])
+
+    def _marked(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         plain = [w if self.mark and self.mark not in w else "" for w in words]
-        pieces = [f" {self.mark} ".join(plain[i:i + 500]) + f" {self.mark}" for i in range(0, len(plain), 500)]
-        made = np.concatenate([np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)])
+        made = self._ids([f" {self.mark} ".join(plain[i:i + 500]) + f" {self.mark}" for i in range(0, len(plain), 500)])
         marks = np.flatnonzero(made == self.mark_id)
         flat, sizes = np.delete(made, marks), np.diff(np.concatenate(([-1], marks))) - 1
         if len(sizes) == len(words) and all(plain):
@@ -203,9 +242,10 @@ class Encoder:
         """Ids of the words one after another, and how many each has."""
         slots = list(map(self.known.get, words))
         if None in slots:
-            if len(self.known) > REMEMBER:  # forget all, these words are learnt anew
-                self.known, self.flat, self.at = {}, np.zeros(0, np.uint32), np.zeros(1, np.int64)
-                slots = [None] * len(words)
+            if len(self.known) > REMEMBER:
+                self._forget()
+                slots = list(map(self.known.get, words))
+            self.used[np.array([s for s in slots if s is not None], np.int64)] = True
             self.learn(list({w for w, s in zip(words, slots) if s is None}))
             slots = [self.known[w] if s is None else s for w, s in zip(words, slots)]
         slots = np.array(slots, np.int64)
