@@ -91,11 +91,6 @@ def after_colon(c: Column | str) -> Column:
     return F.when(F.contains(c, F.lit(":")), strip(F.split(c, ":", 2)[1])).otherwise(c)
 
 
-def after_last_colon(c: Column | str) -> Column:
-    c = col(c)
-    return F.when(F.contains(c, F.lit(":")), strip(F.substring_index(c, ":", -1))).otherwise(c)
-
-
 def blank_to_null(c: Column | str) -> Column:
     c = col(c)
     return F.when(c != "", c)

@@ -220,13 +220,15 @@ def aggregate_income(buildings: DataFrame) -> DataFrame:
     return buildings.groupBy("doc_id").agg(F.nullif(F.sum("business_income"), F.lit(0.0)).alias("aggregate_income"))
 
 
-def operations_text(paragraphs: DataFrame, limit: int = rules.OPERATIONS_LIMIT, block: int = 1024) -> DataFrame:
-    """(doc_id, operations): paragraphs joined by spaces, first `limit` characters.
+def operations_text(paragraphs: DataFrame, limit: int | None = None, block: int = 1024) -> DataFrame:
+    """(doc_id, operations): paragraphs joined by spaces, the whole text or its first `limit` characters.
 
-    Blocks of paragraphs are joined and cut first; of a document only the blocks that reach into the limit are joined.
+    With a limit, blocks of paragraphs are joined and cut first; of a document only the blocks that reach into it are joined.
     """
     rows = paragraphs.where("text IS NOT NULL AND text <> ''").withColumn("_b", F.floor(F.col("ord") / block))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "text"))), lambda p: p["text"]), " ")
+    if limit is None:
+        return rows.groupBy("doc_id").agg(text.alias("operations"))
     parts = rows.groupBy("doc_id", "_b").agg(F.left(text, F.lit(limit)).alias("t"))
     before = Window.partitionBy("doc_id").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     near = parts.withColumn("_n", F.coalesce(F.sum(F.length("t") + 1).over(before), F.lit(0))).where(F.col("_n") < limit)

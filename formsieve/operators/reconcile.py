@@ -213,7 +213,7 @@ def compare_runs(run_a: DataFrame, run_b: DataFrame) -> DataFrame:
 
 
 def inspector(tmpl_fields: DataFrame, page_map: DataFrame, merged: DataFrame) -> DataFrame:
-    """Every template field of every mapped page with its extracted value, marker and listing order."""
+    """Every template field of every mapped page with its extracted value, a short preview of it, and its state."""
     listed = page_map.join(tmpl_fields, ["template", "tpage"]).select(*PAGE, "name", F.col("ftype").alias("kind"))
     got = merged.select(*PAGE, "name", "v_str", "v_bool", F.lit(True).alias("_got"))
     rows = listed.join(got, [*PAGE, "name"], "left")
@@ -222,7 +222,7 @@ def inspector(tmpl_fields: DataFrame, page_map: DataFrame, merged: DataFrame) ->
     state = (F.when(F.col("_got").isNull(), "absent").when(F.col("v_bool"), "checked").when(~F.col("v_bool"), "unchecked").otherwise("text"))
     preview = (F.when(F.col("_got").isNull(), "(no extracted value)").when(F.col("v_bool"), "true").when(~F.col("v_bool"), "false").otherwise(cut))
     populated = F.coalesce(F.col("_got") & (F.col("v_bool") | F.col("v_str").isNotNull()), F.lit(False))
-    return rows.select(*PAGE, "name", "kind", state.alias("state"), preview.alias("preview"), populated.alias("populated"))
+    return rows.select(*PAGE, "name", "kind", state.alias("state"), preview.alias("preview"), F.col("v_str").alias("value"), populated.alias("populated"))
 
 
 def listing_order(rows: DataFrame) -> DataFrame:

@@ -110,7 +110,7 @@ def _break_rows(words: DataFrame) -> DataFrame:
 
 
 def lines(words: DataFrame) -> DataFrame:
-    """(doc_id, page_no, line_no, text): words within 4 units of the first word of the running line form a line.
+    """(doc_id, page_no, line_no from 1, text): words within 4 units of the first word of the running line form a line.
 
     The fold is sequential, but rounded rows five or more apart can never share a line. A page is cut there first, over
     its distinct rows only, and the fold runs per segment.
@@ -132,7 +132,8 @@ def lines(words: DataFrame) -> DataFrame:
 
     folded = seg.groupBy(*PAGE, "segment").agg(ordered.alias("_w")).withColumn("_s", starts["starts"])
     placed = folded.select(*PAGE, "segment", F.posexplode(F.transform("_s", line)).alias("n", "text"))
-    return placed.select(*PAGE, F.struct("segment", "n").alias("line_no"), strip("text").alias("text")).where("text <> ''")
+    kept = placed.select(*PAGE, "segment", "n", strip("text").alias("text")).where("text <> ''")
+    return kept.select(*PAGE, F.row_number().over(Window.partitionBy(*PAGE).orderBy("segment", "n")).alias("line_no"), "text")
 
 
 def prefixed_lines(words: DataFrame, prefix: str = rules.OVERFLOW_PREFIX, mark: str = rules.OVERFLOW_MARK) -> DataFrame:
@@ -301,7 +302,7 @@ def combined_marks(marks: DataFrame, ratios: DataFrame | None = None, threshold:
 def page_fields(words: DataFrame, tmpl_fields: DataFrame, offsets: DataFrame, ratios: DataFrame | None = None,
                 mode: str = "center", only_checked: bool = False) -> DataFrame:
     """fields(doc_id, page_no, ord, name, v_str, v_bool, ftype, tooltip, source): checkboxes with their explicit state
-    (legacy `only_checked`: the true ones), text boxes where they hold text."""
+    (legacy `only_checked`: the true ones), text boxes where they hold text. Of boxes that share a name the last one counts."""
     checks = combined_marks(box_marks(words, tmpl_fields, offsets, mode), ratios)
     if only_checked:
         checks = checks.where("checked")
@@ -310,4 +311,7 @@ def page_fields(words: DataFrame, tmpl_fields: DataFrame, offsets: DataFrame, ra
     texts = box_text(words, tmpl_fields, offsets).select(
         *PAGE, "ord", "name", F.col("value").alias("v_str"), F.lit(None).cast("boolean").alias("v_bool"),
         F.lit("text").alias("ftype"), "tooltip", F.lit("bbox").alias("source"))
-    return checks.unionByName(texts)
+    read = checks.unionByName(texts)
+    rest = [c for c in read.columns if c not in (*PAGE, "name")]
+    last = read.groupBy(*PAGE, "name").agg(F.max_by(F.struct(*rest), "ord").alias("_last"))
+    return last.select(*PAGE, "name", "_last.*").select(*read.columns)

@@ -141,11 +141,11 @@ def _(t: Inputs):
 
 @query("cls10_content_override", f"""WITH {PRIMARY}, names AS ({FILE_NAMES}), n AS (SELECT doc_id, {BY_NAME} AS by_name FROM names)
 SELECT n.doc_id, CASE prim.kind WHEN 'ACORD_FORM' THEN 'acord_application' WHEN 'LOSS_RUN' THEN 'loss_run' ELSE n.by_name END AS doc_type
-FROM n JOIN prim ON n.doc_id = prim.doc_id""")
+FROM n LEFT JOIN prim ON n.doc_id = prim.doc_id""")
 def _(t: Inputs):
     kinds = classify.primary_kind(classify.with_page_kind(page_text(t)))
     names = t.sql(FILE_NAMES).select("doc_id", classify.file_type("file_name").alias("by_name"))
-    return names.join(kinds, "doc_id").select("doc_id", classify.routed_type("by_name", "primary_kind").alias("doc_type"))
+    return names.join(kinds, "doc_id", "left").select("doc_id", F.coalesce(classify.routed_type("by_name", "primary_kind"), "by_name").alias("doc_type"))
 
 
 SUFFIX = r"lower(regexp_extract(file_name, '^.+(\.[^.]*)$', 1))"

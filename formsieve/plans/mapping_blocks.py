@@ -1,13 +1,17 @@
 """Queries of the canonical mapping, sinks, coverage, checks and incremental work."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..functions import parse, text
 from ..operators import incremental, lossrun, mapping, quality
 from ..rules import coverage as cov_rules
 from ..rules import mapping as rules
+from ..session import run_folder
 from ..sources import readers, sinks
+from ..streaming import continuous
 from . import reconciliation
 from .registry import Inputs, query, rule_case, values
 
@@ -320,15 +324,27 @@ SHAPES = """SELECT o_orderkey AS doc_id, CASE o_orderkey % 3 WHEN 0 THEN '{"page
   ELSE '{"vlm_pages":[{"page":3,"data":{"v":' || o_custkey || '}}],"pages":[]}' END AS content FROM {orders}"""
 
 
+@query("inc2_continuous", "SELECT user_id AS doc_id, count(*) AS n, max(event_id) AS last_event FROM {events} GROUP BY user_id")
+def _(t: Inputs):
+    # Every file of the events table is an extraction file; users are the documents.
+    folder = f"{run_folder(t.spark)}/inc2-{uuid.uuid4().hex}"
+    source = t.table("events").select("user_id", "event_id").withColumnRenamed("user_id", "doc_id")
+    source.write.parquet(f"{folder}/arrived-1")
+    stream = continuous.document_stream(t.spark, f"{folder}/arrived-*", "doc_id bigint, event_id bigint", files_per_trigger=1_000_000)
+    stream = stream.withColumn(continuous.ARRIVAL, F.struct(F.lit(1).alias("one")))  # the parts of one arrival belong together
+    continuous.upsert_by_document(stream, f"{folder}/table", f"{folder}/progress").awaitTermination()
+    return continuous.read_latest(t.spark, f"{folder}/table").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last_event"))
+
+
 @query("src2_page_shapes", """SELECT o_orderkey AS doc_id, CASE o_orderkey % 3 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 3 END AS page_no, CASE o_orderkey % 3 WHEN 0 THEN 'merged' WHEN 1 THEN 'list' ELSE 'bundle' END AS shape, '{"v":' || o_custkey || '}' AS content FROM {orders}""")
 def _(t: Inputs):
     return readers.document_pages(t.sql(SHAPES))
 
 
-@query("set1_tagged_union", "SELECT o_orderkey AS doc_id, 'a' AS source_file FROM {orders} WHERE o_orderstatus = 'F' UNION ALL SELECT o_orderkey, 'b' FROM {orders} WHERE o_orderstatus = 'O'")
+@query("set1_tagged_union", "SELECT o_orderkey AS doc_id, 'a' AS source_file FROM {orders} WHERE o_orderstatus = 'F' UNION ALL SELECT o_orderkey, 'b' FROM {orders} WHERE o_orderstatus = 'O' UNION ALL SELECT o_orderkey, 'c' FROM {orders} WHERE o_orderstatus NOT IN ('F', 'O')")
 def _(t: Inputs):
-    part = lambda s: t.sql(f"SELECT o_orderkey AS doc_id FROM {{orders}} WHERE o_orderstatus = '{s}'")
-    return lossrun.tag_sources((part("F"), "a"), (part("O"), "b"))
+    part = lambda test: t.sql(f"SELECT o_orderkey AS doc_id FROM {{orders}} WHERE o_orderstatus {test}")
+    return lossrun.tag_sources((part("= 'F'"), "a"), (part("= 'O'"), "b"), (part("NOT IN ('F', 'O')"), "c"))
 
 
 @query("dst1_first_per_key", "SELECT o_custkey AS doc_id, min(o_orderkey) AS ord, arg_min(o_orderpriority, o_orderkey) AS value FROM {orders} GROUP BY o_custkey")

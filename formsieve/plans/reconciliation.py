@@ -251,7 +251,7 @@ INSPECT = [("form_a", 0, i, n, k) for i, (n, k) in enumerate([("Amount_A[0]", "/
 
 
 @query("rec10_inspector", f"""WITH f AS ({FIELDS}), m AS ({PAGES}), i AS (SELECT m.doc_id, m.page_no, x.name, x.ftype AS kind FROM m JOIN {values('x', 'template, tpage, ord, name, ftype', INSPECT)} ON m.template = x.template AND m.tpage = x.tpage)
-SELECT i.*, CASE WHEN f.name IS NULL THEN 'absent' WHEN f.v_bool THEN 'checked' WHEN NOT f.v_bool THEN 'unchecked' ELSE 'text' END AS state, CASE WHEN f.name IS NULL THEN '(no extracted value)' WHEN f.v_bool THEN 'true' WHEN NOT f.v_bool THEN 'false' ELSE f.v_str END AS preview,
+SELECT i.*, CASE WHEN f.name IS NULL THEN 'absent' WHEN f.v_bool THEN 'checked' WHEN NOT f.v_bool THEN 'unchecked' ELSE 'text' END AS state, CASE WHEN f.name IS NULL THEN '(no extracted value)' WHEN f.v_bool THEN 'true' WHEN NOT f.v_bool THEN 'false' ELSE f.v_str END AS preview, f.v_str AS value,
 coalesce(f.v_bool, f.v_str IS NOT NULL) AS populated FROM i LEFT JOIN f ON i.doc_id = f.doc_id AND i.page_no = f.page_no AND i.name = f.name""")
 def _(t: Inputs):
     fields = t.rows("template string, tpage int, ord int, name string, ftype string", INSPECT)

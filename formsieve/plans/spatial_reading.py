@@ -89,9 +89,7 @@ LINES = f"w AS ({WORDS}), ln AS (SELECT doc_id, page_no, CAST(floor(ord / 100000
 
 @query("spa5_lines", f"WITH {LINES} SELECT doc_id, page_no, row_number() OVER (PARTITION BY doc_id, page_no ORDER BY l) AS n, text FROM ln")
 def _(t: Inputs):
-    rows = spatial.lines(words(t))
-    numbered = rows.select("doc_id", "page_no", (F.col("line_no.segment") + 1).cast("bigint").alias("n"), "text")
-    return numbered
+    return spatial.lines(words(t)).select("doc_id", "page_no", F.col("line_no").cast("bigint").alias("n"), "text")
 
 
 STARRED = "CASE WHEN doc_id % 4 = 0 AND ord % 100000 = 0 AND length(text) % 2 = 0 THEN '* Code ' || text WHEN doc_id % 4 = 0 AND ord % 100000 = 1 THEN '* Description ' || text ELSE text END"

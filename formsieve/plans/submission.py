@@ -11,9 +11,15 @@ from ..sources.readers import ingest_responses
 
 
 def form_fields(words: DataFrame, page_text: DataFrame, template_pages: DataFrame, tmpl_words: DataFrame, tmpl_fields: DataFrame,
-                responses: DataFrame, ratios: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(merged fields, discrepancies) of application forms: page map, box reading, model values, merge."""
-    page_map = materialize(classify.page_map(page_text, template_pages))
+                responses: DataFrame, ratios: DataFrame | None = None, available: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(merged fields, discrepancies) of application forms: page map, box reading, model values, merge.
+
+    `available` names the templates that exist (by default those of `template_pages`): an edition without one falls back to
+    its older one, and a page of neither stays unmapped.
+    """
+    if available is None:
+        available = [r.template for r in template_pages.select("template").distinct().collect()]  # one name per known form
+    page_map = materialize(classify.page_map(page_text, template_pages, available))
     offsets = materialize(spatial.anchor_offset(words, tmpl_words, page_map))
     boxes = materialize(spatial.page_fields(words, tmpl_fields, offsets, ratios))
     parsed = ingest_responses(responses).where("status = 'OK'").select("doc_id", "page_no", F.col("data").alias("content"))

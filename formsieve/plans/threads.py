@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from ..operators import email, mapping
 from ..rules import email as rules
+from ..rules import mapping as mapping_rules
 from ..sources import readers
 from .registry import Inputs, query
 
@@ -93,7 +94,7 @@ PARAGRAPHS = "SELECT doc_id, CAST(generate_subscripts(ls, 1) - 1 AS BIGINT) AS o
 
 @query("map16_operations_text", f"SELECT doc_id, left(string_agg(text, ' ' ORDER BY ord), 2000) AS operations FROM ({PARAGRAPHS}) WHERE text <> '' GROUP BY doc_id")
 def _(t: Inputs):
-    return mapping.operations_text(t.sql(SPARK_PARAGRAPHS), block=4)
+    return mapping.operations_text(t.sql(SPARK_PARAGRAPHS), limit=mapping_rules.OPERATIONS_LIMIT, block=4)
 
 
 @query("src5_clean_paragraphs", f"SELECT doc_id, ord, trim(text) AS text FROM ({PARAGRAPHS}) WHERE trim(text) <> ''")

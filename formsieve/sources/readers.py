@@ -10,7 +10,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import strip
 from ..operators.classify import suffix
-from ..rules.fields import RAW_LIMIT
 
 PAGE = ["doc_id", "page_no"]
 
@@ -115,8 +114,9 @@ def _spans(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"object": [_span(t, "{", "}") for t in texts], "array": [_span(t, "[", "]") for t in texts]})
 
 
-def ingest_responses(responses: DataFrame, first_bracket: bool = False, raw_limit: int = RAW_LIMIT) -> DataFrame:
-    """Add status OK, RAW or ERROR, `data` (JSON text when OK) and `raw` (start of the text when RAW).
+def ingest_responses(responses: DataFrame, first_bracket: bool = False, raw_limit: int | None = None) -> DataFrame:
+    """Add status OK, RAW or ERROR, `data` (JSON text when OK) and `raw` (the text when RAW, or its first `raw_limit`
+    characters).
 
     The first balanced object decides, else the first balanced array. `first_bracket`: whichever opens first decides
     alone. A repeated key inside an object makes the text RAW.
@@ -131,6 +131,6 @@ def ingest_responses(responses: DataFrame, first_bracket: bool = False, raw_limi
         data = F.coalesce(valid(obj), valid(arr))
     rows = rows.withColumn("data", data).drop("_s")
     status = F.when(F.coalesce("content", F.lit("")) == "", "ERROR").when(F.col("data").isNotNull(), "OK").otherwise("RAW")
-    return rows.withColumn("status", status).withColumn("raw", F.when(F.col("status") == "RAW", F.left("content", F.lit(raw_limit))))
+    return rows.withColumn("status", status).withColumn("raw", F.when(F.col("status") == "RAW", F.col("content") if raw_limit is None else F.left("content", F.lit(raw_limit))))
 
 

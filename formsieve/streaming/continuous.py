@@ -8,25 +8,40 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
+#: Where a row came from: the later file wins when one micro-batch holds two versions of a document.
+ARRIVAL = "_arrival"
+
+
 def document_stream(spark: SparkSession, folder: str, schema: str, files_per_trigger: int = 1000, fmt: str = "parquet") -> DataFrame:
-    return spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_trigger).load(folder)
+    """New files of a folder; every row carries its file's time and path in `_arrival`."""
+    rows = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_trigger).load(folder)
+    return rows.select("*", F.struct(F.col("_metadata.file_modification_time").alias("time"), F.col("_metadata.file_path").alias("path")).alias(ARRIVAL))
+
+
+def latest_file(batch: DataFrame, keys: list[str]) -> DataFrame:
+    """Of each document only the rows of its latest file; rows without an arrival are kept as they are."""
+    if ARRIVAL not in batch.columns:
+        return batch
+    top = batch.groupBy(*keys).agg(F.max(ARRIVAL).alias("_top"))
+    return batch.join(top, keys).where(F.col(ARRIVAL) == F.col("_top")).drop(ARRIVAL, "_top")
 
 
 def first_arrivals(stream: DataFrame, event_time: str, keys: list[str], delay: str = "1 day") -> DataFrame:
-    """Each key once; state older than the delay is forgotten."""
+    """Each key once within the delay: state is bounded, so a copy that comes later than that counts as new."""
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 
 def upsert_by_document(stream: DataFrame, target: str, checkpoint: str, bucket_count: int = 64,
-                       transform: Callable[[DataFrame], DataFrame] | None = None, available_now: bool = True) -> StreamingQuery:
-    """Apply `transform` to every micro-batch and replace the documents it touches in the Parquet table `target`.
+                       transform: Callable[[DataFrame], DataFrame] | None = None, available_now: bool = True, keys: tuple[str, ...] = ("doc_id",)) -> StreamingQuery:
+    """Apply `transform` to the latest file of every document in a micro-batch and replace the documents it touches in the Parquet table `target`.
 
     Batch n writes version folder n and repeats it unchanged after a failure; readers take the highest version of a
     document (`read_latest`). Documents are spread over hash buckets, never gathered.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = transform(batch) if transform else batch
-        rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id"), F.lit(bucket_count))).write.mode("overwrite").partitionBy("bucket").parquet(
+        latest = latest_file(batch, list(keys))
+        rows = transform(latest) if transform else latest
+        rows.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(bucket_count))).write.mode("overwrite").partitionBy("bucket").parquet(
             f"{target}/version={batch_id}")
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -34,8 +49,14 @@ def upsert_by_document(stream: DataFrame, target: str, checkpoint: str, bucket_c
 
 
 def read_latest(spark: SparkSession, target: str, keys: list[str] | None = None) -> DataFrame:
-    """Rows of the highest version of each document."""
+    """Rows of the highest version of each document. Versions meet within their hash bucket; `compact` keeps them few."""
     keys = keys or ["doc_id"]
     rows = spark.read.parquet(target)
-    top = rows.groupBy(*keys).agg(F.max("version").alias("version"))
-    return rows.join(top, [*keys, "version"], "left_semi").drop("version", "bucket")
+    top = rows.groupBy("bucket", *keys).agg(F.max("version").alias("version"))
+    return rows.join(top, ["bucket", *keys, "version"], "left_semi").drop("version", "bucket")
+
+
+def compact(spark: SparkSession, target: str, into: str, bucket_count: int = 64, keys: tuple[str, ...] = ("doc_id",)) -> None:
+    """Write the latest versions alone to a new folder, as its version -1; later batches go on from there."""
+    rows = read_latest(spark, target, list(keys))
+    rows.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(bucket_count))).write.partitionBy("bucket").parquet(f"{into}/version=-1")

@@ -1,6 +1,7 @@
 """Leaves, comparison, classification, spatial reading and reconciliation on invented fixtures."""
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -73,6 +74,18 @@ def test_lines_against_brute_force(spark):
     assert {d: sorted(x) for d, x in got.items()} == want
 
 
+def test_line_numbers_run_over_the_page(spark):
+    words = [(1, 1, i, f"w{i}", 0.0, 0.0, float(top), 0.0) for i, top in enumerate([5, 9.5, 14, 40, 44.5, 90])]
+    df = spark.createDataFrame(words, "doc_id int, page_no int, ord int, text string, x0 double, x1 double, top double, bottom double")
+    assert [(r.line_no, r.text) for r in spatial.lines(df).orderBy("line_no").collect()] == [(i + 1, f"w{i}") for i in range(6)]
+
+
+def test_deadline_over_many_paragraphs(spark):
+    lines = ["we Need by", " ", ":", "", " \t", "5/15/26", "due", "later", "6/1/26"]
+    df = spark.createDataFrame([(1, i, "p", t) for i, t in enumerate(lines)] + [(2, 0, "p", "deadline"), (2, 1, "p", "none"), (2, 2, "p", "1/2/26")], "doc_id int, ord int, style string, text string")
+    assert {(r.doc_id, r.quote_needed_by) for r in email.quote_deadline(df).collect()} == {(1, "2026-05-15")}
+
+
 def test_containment_is_not_a_nested_loop(spark):
     words = spark.createDataFrame([(1, 1, 0, "X", 21.0, 27.0, 165.0, 172.0)], "doc_id int, page_no int, ord int, text string, x0 double, x1 double, top double, bottom double")
     fields = spark.createDataFrame([("f", 0, 0, "A_Indicator_A", "/Btn", "t", 18.0, 620.0, 30.0, 632.0), ("f", 0, 1, "D", "/Tx", "t", 0.0, 1.0, 0.0, 1.0)],
@@ -181,6 +194,18 @@ def test_stream_keeps_the_latest_version_of_each_document(spark, tmp_path):
     assert {(r["doc_id"], r["v"]) for r in continuous.read_latest(spark, target).collect()} == {(1, "a"), (2, "c"), (3, "d")}
 
 
+def test_two_versions_in_one_batch(spark, tmp_path):
+    source, target, check, schema = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check"), "doc_id bigint, v string"
+    for batch in ([(1, "old"), (1, "old too"), (2, "b")], [(1, "new"), (3, "c")]):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(source)
+        time.sleep(1.1)
+    continuous.upsert_by_document(continuous.document_stream(spark, source, schema), target, check).awaitTermination(120)
+    want = {(1, "new"), (2, "b"), (3, "c")}
+    assert {(r["doc_id"], r["v"]) for r in continuous.read_latest(spark, target).collect()} == want
+    continuous.compact(spark, target, str(tmp_path / "small"))
+    assert {(r["doc_id"], r["v"]) for r in continuous.read_latest(spark, str(tmp_path / "small")).collect()} == want
+
+
 def test_first_arrivals(spark, tmp_path):
     source = str(tmp_path / "in")
     spark.sql("SELECT id % 3 AS doc_id, TIMESTAMP '2024-01-01 00:00:00' + make_interval(0,0,0,0,0,CAST(id AS INT)) AS ts FROM range(9)").write.parquet(source)
