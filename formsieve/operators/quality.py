@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import col
 from ..rules import coverage as rules
-from ..session import materialize
 from . import leaves
 
 PAGE = ["doc_id", "page_no"]
@@ -46,20 +45,22 @@ def field_presence(records: DataFrame, keys: list[str], json: str = "content") -
 def coverage(presence: DataFrame, documents: DataFrame, keys: list[str], schema_fields: list[tuple[str, str, str]] | None = None) -> DataFrame:
     """(keys, section, field, tier, n_items, populated, mark): every schema field of every document.
 
-    Items are counted, never multiplied by fields: a field's total is its section's item count. mark: all, some, none.
+    One aggregation per document counts all fields and the items of list sections; the rows of the fields are then laid out
+    where the document is. mark: all, some, none.
     """
-    presence = materialize(presence)
-    items = presence.where("item <> ''").select(*keys, "section", "item").distinct().groupBy(*keys, "section").agg(
-        F.count(F.lit(1)).alias("n_items"))
-    counts = presence.where("populated").groupBy(*keys, "section", "field").agg(
-        F.count(F.lit(1)).alias("populated"))
-    listed = F.array(*[F.struct(F.lit(a).alias("section"), F.lit(b).alias("field"), F.lit(c).alias("tier"))
-                       for a, b, c in schema_fields or rules.SCHEMA_FIELDS])
-    grid = documents.select(*keys, F.inline(listed))
-    many = F.endswith("section", F.lit("[]"))
-    rows = grid.join(items, [*keys, "section"], "left").join(counts, [*keys, "section", "field"], "left").select(
-        *keys, "section", "field", "tier", F.when(many, F.coalesce("n_items", F.lit(0))).otherwise(1).alias("n_items"),
-        F.coalesce("populated", F.lit(0)).alias("populated"))
+    schema = schema_fields or rules.SCHEMA_FIELDS
+    lists = {s for s, _, _ in schema if s.endswith("[]")}
+    has = lambda s, f: F.count_if((F.col("section") == s) & (F.col("field") == f) & F.col("populated"))
+    counts = presence.groupBy(*keys).agg(
+        F.collect_set(F.when((F.col("item") != "") & F.col("section").isin(*lists), F.struct("section", "item"))).alias("_items"),
+        *[has(s, f).alias(f"_c{i}") for i, (s, f, _) in enumerate(schema)])
+    items = lambda s: F.coalesce(F.size(F.filter("_items", lambda x: x["section"] == s)), F.lit(0)).cast("bigint") if s in lists else F.lit(1).cast("bigint")
+    sized = documents.select(*keys).join(counts, keys, "left").select(
+        *keys, *[f"_c{i}" for i in range(len(schema))], *[items(s).alias(f"_n{n}") for n, s in enumerate(sorted(lists))])
+    place = {s: F.col(f"_n{n}") for n, s in enumerate(sorted(lists))}
+    rows = sized.select(*keys, F.inline(F.array(*[F.struct(
+        F.lit(s).alias("section"), F.lit(f).alias("field"), F.lit(t).alias("tier"), place.get(s, F.lit(1).cast("bigint")).alias("n_items"),
+        F.coalesce(f"_c{i}", F.lit(0)).cast("bigint").alias("populated")) for i, (s, f, t) in enumerate(schema)])))
     mark = F.when((F.col("n_items") > 0) & (F.col("populated") == F.col("n_items")), "all").when(F.col("populated") > 0, "some").otherwise("none")
     return rows.withColumn("mark", mark)
 
