@@ -1,5 +1,10 @@
 """The form and loss-run flows end to end on one invented page each."""
+import json
+
+from formsieve.operators import lossrun, quality
+from formsieve.plans import submission
 from formsieve.plans.submission import form_fields, loss_run_claims
+from formsieve.sources import sinks
 
 WORD = "doc_id int, page_no int, ord int, text string, x0 double, x1 double, top double, bottom double"
 
@@ -27,3 +32,47 @@ def test_loss_run_flow(spark):
     assert {(r["doc_id"], r["origin"], r["claim_no"], r["paid"]) for r in claims.collect()} == {(1, "parsed", "C-0001", 1250.5), (2, "model", "D-0002", None)}
     assert {(r["doc_id"], r["value"], r["status"]) for r in checked.collect()} == {
         (1, "C-0001", "confirmed"), (1, "1250.5", "confirmed"), (1, "77777", "not_in_raw_text"), (2, "D-0002", "skipped")}
+
+
+def test_submission_record(spark):
+    table = lambda schema, *rows: spark.createDataFrame(list(rows), schema)
+    fields = [("street", "1 Oak St"), ("city", "Springfield"), ("state", "NY"), ("zip", "10001"), ("insured_name", "Alpha LLC"), ("entity_type", "LLC"), ("contact_name", "Kim"), ("contact_email", "kim@example.com")]
+    names = ["naics", "sic", "fein", "phone", "website", "street2", "agent_name", "npn", "agent_street", "agent_street2", "agent_city", "agent_state", "agent_zip", "contact_phone",
+             "effective_date", "expiration_date", "prior_policy_number"]
+    application = spark.createDataFrame([(1, *[v for _, v in fields], *[None] * len(names), ["Property"])],
+                                        "doc_id int, " + ", ".join(f"{c} string" for c in [n for n, _ in fields] + names) + ", lob array<string>")
+    schedule = [c for c in ("named", "street", "city", "state", "zip", "county", "bldg", "year", "construction", "roof", "sqft", "stories", "units", "occupancy", "sprinkler", "rcv", "bpp", "bi")]
+    row = lambda n, *v: (1, n, 1, *v)
+    rows = spark.createDataFrame([row(3, "Oak Court;", "1 Oak St", "Springfield", "NY", "10001", None, "1", "1990", "Frame", None, "1200", "2", "8", "Apartments", "100", "500000", None, "0"),
+                                  row(4, None, None, None, None, None, None, "2", None, None, None, None, None, None, None, None, None, "9000", "700")],
+                                 "doc_id int, row_no int, location_number int, " + ", ".join(f"{c} string" for c in schedule))
+    hazards = table("doc_id int, page_no int, suffix string, occupancy_class string, exposure double", (1, 2, "_A", "60010", 8.0))
+    safeguards = table("doc_id int, safeguards array<string>", (1, ["Sprinklers"]))
+    places = submission.location_records(rows, hazards, safeguards)
+    claims = table("doc_id int, page_no int, table_no int, row_no int, claim_no string, status string, loss_date string, description string, paid double, reserve double, incurred double",
+                   (1, 1, 0, 2, "C-2", "Open", None, None, 5.0, None, None), (1, 1, 0, 1, "C-1", "Closed", "2024-01-02", "fire", 1.0, 0.0, 1.0))
+    terms = table("doc_id int, page_no int, ord int, effective string, expiration string, claim_count string", (1, 1, 0, "2023-01-01", "2024-01-01", "2"))
+    header = table("doc_id int, carrier string, policy_number string, evaluation_date string, lob string", (1, "Mutual", "P1", "2024-05-01", "General Liability"))
+    runs = lossrun.loss_runs(table("doc_id int, source_file string", (1, "a.pdf")), header, terms, claims)
+    people = table("doc_id int, side string, type string, name string, title string, email string, phone string", (1, "agent", "Producer", "Pat", "Broker", "pat@example.com", None), (1, "insured", None, "Lee", None, None, "555"))
+    facts = table("doc_id int, subject string, target_premium double", (1, "New account", 12000.0))
+    record = submission.assemble(table("doc_id int", (1,), (2,)), application, loss_runs=submission.loss_run_records(runs, terms, claims), locations=places, contacts=people, facts=facts)
+    whole = {r.doc_id: json.loads(r.content) for r in sinks.as_json(record, ["doc_id"]).collect()}
+    got = whole[1]
+    assert got["Submission"]["Notes"] == "New account" and got["Submission"]["PropertySelected"] and not got["Submission"]["GLSelected"]
+    assert [c["Name"] for c in got["Agent"]["Contacts"]] == ["Kim", "Pat"] and got["Insured"]["Contacts"] == [{"Name": "Lee", "Phone": "555"}]
+    assert got["LossRuns"] == [{"Carrier": "Mutual", "PolicyNumber": "P1", "EvaluationDate": "2024-05-01", "PolicyEffectiveDate": "2023-01-01", "PolicyExpirationDate": "2024-01-01", "LOB": "General Liability",
+                                "Claims": [{"ClaimNumber": "C-1", "ClaimStatus": "Closed", "LossDate": "2024-01-02", "Description": "fire", "AmountPaid": 1.0, "ReserveAmount": 0.0, "TotalIncurred": 1.0},
+                                           {"ClaimNumber": "C-2", "ClaimStatus": "Open", "AmountPaid": 5.0}],
+                                "PolicyTerms": [{"effective": "2023-01-01", "expiration": "2024-01-01", "claim_count": "2"}]}]
+    place = got["Locations"][0]
+    assert (place["LocationNumber"], place["LocationName"], place["Address"]) == (1, "Oak Court", {"Type": "Physical", "Street": "1 Oak St", "City": "Springfield", "State": "NY", "ZipCode": "10001"})
+    assert place["GeneralLiability"] == [{"OccupancyClass": "60010", "Exposure": 8.0}]
+    one, two = place["Buildings"]
+    assert one["Building"] == {"BuildingCoverageFlag": True, "BuildingLimit": 500000.0, "Building100RcValue": 500000.0} and one["ProtectiveSafeguards"] == ["Sprinklers"]
+    assert one["Description"].startswith("Apartments") and one["FullySprinklered"] is True and "Bpp" not in one and "BusinessIncomeLimit" not in one
+    assert two["Bpp"]["BppLimit"] == 9000.0 and two["BusinessIncomeLimit"] == 700.0 and "Description" not in two
+    assert whole[2]["Submission"]["Status"] and "LossRuns" not in whole[2]
+    cover = quality.coverage(quality.field_presence(sinks.as_json(record, ["doc_id"]), ["doc_id"]), table("doc_id int", (1,)), ["doc_id"])
+    found = {(r.section, r.field): (r.populated, r.n_items) for r in cover.collect()}
+    assert found[("Locations[]", "Address")] == (1, 1) and found[("Buildings[]", "BuildingNumber")] == (2, 2) and found[("LossRuns[]", "Carrier")] == (1, 1)
