@@ -23,7 +23,7 @@ REMEMBER = 300_000
 PER_CLASS = 8000
 #: Terms that enter the machine: those most associated with the label, and the least log-likelihood ratio for it.
 TERMS, EVIDENCE = 4096, 20.0
-FACTORS, ROUNDS, RATE, SHRINK = 8, 300, 0.05, 1e-3
+FACTORS, EPOCHS, BATCH, RATE, SHRINK = 8, 20, 512, 0.02, 1e-6
 _BLANKS = bytes(i if i >= 128 or chr(i).isalnum() else 32 for i in range(256))
 
 
@@ -71,41 +71,46 @@ class Machine:
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, n_terms: int, seed: int = 11) -> tuple[float, np.ndarray, np.ndarray]:
-    """Bias, weights and factors by full-batch Adam on the logistic loss; `rows` hold places of terms."""
+    """Bias, weights and factors by Adam on the logistic loss, `BATCH` rows at a time; `rows` hold places of terms."""
     rng = np.random.default_rng(seed)
     size = np.array([len(r) for r in rows])
-    flat, owner = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int64), np.repeat(np.arange(len(rows)), size)
-    order = np.argsort(flat, kind="stable")
-    by_term, term_first = owner[order], np.searchsorted(flat[order], np.arange(n_terms))
-    empty_term = np.bincount(flat, minlength=n_terms) == 0
+    first = np.concatenate(([0], np.cumsum(size)))
+    flat = np.concatenate([*rows, np.zeros(0, np.int64)]).astype(np.int32)
     params = np.zeros(1 + n_terms * (1 + FACTORS))
     params[1 + n_terms:] = rng.normal(0, 0.01, n_terms * FACTORS)
-    moment, square = np.zeros_like(params), np.zeros_like(params)
-    first = np.concatenate(([0], np.cumsum(size)))[:-1]
+    moment, square, step = np.zeros_like(params), np.zeros_like(params), 0
 
-    def per_row(values: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(rows), *values.shape[1:]))
+    def summed(values: np.ndarray, starts: np.ndarray, full: np.ndarray) -> np.ndarray:
+        """Sums of the stretches that begin at `starts`; `full` tells which of them hold anything."""
+        out = np.zeros((len(starts), *values.shape[1:]))
         if len(values):
-            out[size > 0] = np.add.reduceat(values, first[size > 0], axis=0)
+            out[full] = np.add.reduceat(values, starts[full], axis=0)
         return out
 
-    def per_term(values: np.ndarray) -> np.ndarray:
-        out = np.zeros((n_terms, *values.shape[1:]))
-        if len(values):
-            out[~empty_term] = np.add.reduceat(values, term_first[~empty_term], axis=0)
-        return out
-
-    for step in range(1, ROUNDS + 1):
-        w, v = params[1:1 + n_terms], params[1 + n_terms:].reshape(n_terms, FACTORS)
-        total = per_row(v[flat])
-        logit = params[0] + per_row(w[flat]) + ((total ** 2).sum(axis=1) - per_row((v ** 2).sum(axis=1)[flat])) / 2
-        error = (1 / (1 + np.exp(-np.clip(logit, -40, 40))) - labels) / len(rows)
-        hits = per_term(error[by_term])
-        grad = np.concatenate(([error.sum()], hits + SHRINK * w / len(rows) * 10, (per_term(error[by_term, None] * total[by_term]) - hits[:, None] * v
-                                                                                  + SHRINK * v / len(rows) * 10).ravel()))
-        moment = 0.9 * moment + 0.1 * grad
-        square = 0.999 * square + 0.001 * grad ** 2
-        params -= RATE * (moment / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.999 ** step)) + 1e-8)
+    for _ in range(EPOCHS):
+        order = rng.permutation(len(rows))
+        for at in range(0, len(rows), BATCH):
+            step += 1
+            chosen = order[at:at + BATCH]
+            n = size[chosen]
+            starts = np.concatenate(([0], np.cumsum(n)[:-1]))
+            terms = flat[np.arange(n.sum()) + np.repeat(first[chosen] - starts, n)]
+            owner = np.repeat(np.arange(len(chosen)), n)
+            by_term = np.argsort(terms, kind="stable")
+            known, known_at = np.unique(terms[by_term], return_index=True)
+            w, v = params[1:1 + n_terms], params[1 + n_terms:].reshape(n_terms, FACTORS)
+            total = summed(v[terms], starts, n > 0)
+            logit = params[0] + summed(w[terms], starts, n > 0) + ((total ** 2).sum(axis=1) - summed((v[terms] ** 2).sum(axis=1), starts, n > 0)) / 2
+            error = (1 / (1 + np.exp(-np.clip(logit, -40, 40))) - labels[chosen]) / len(chosen)
+            hits, weights, factors = np.zeros(n_terms), SHRINK * w, SHRINK * v
+            if len(terms):
+                full = np.ones(len(known), bool)
+                hits[known] = summed(error[owner[by_term]], known_at, full)
+                factors[known] += summed((error[:, None] * total)[owner[by_term]], known_at, full)
+            grad = np.concatenate(([error.sum()], hits + weights, (factors - hits[:, None] * v).ravel()))
+            moment = 0.9 * moment + 0.1 * grad
+            square = 0.999 * square + 0.001 * grad ** 2
+            params -= RATE * (moment / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.999 ** step)) + 1e-8)
     return float(params[0]), params[1:1 + n_terms], params[1 + n_terms:].reshape(n_terms, FACTORS)
 
 
@@ -142,7 +147,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     ratio = 2 * (part(a, d * (ones / n)) + part(d - a, d * (zeros / n)) + part(ones - a, (n - d) * (ones / n)) + part(zeros - d + a, (n - d) * (zeros / n)))
     best = seen.withColumn("g", ratio).where(F.col("g") >= EVIDENCE).orderBy(F.desc("g"), "term").limit(TERMS)
     terms = np.array(sorted(r.term for r in best.select("term").collect()), np.int64)
-    wanted = F.array(*[F.lit(int(t)) for t in terms]) if len(terms) else F.array().cast("array<int>")
+    wanted = F.split(F.lit(",".join(map(str, terms.tolist()))), ",") if len(terms) else F.array()  # one literal, not thousands
     fitted = marked.select("label", F.array_intersect("terms", wanted.cast("array<int>")).alias("terms")).collect()
     places = [np.searchsorted(terms, np.array(sorted(r.terms), np.int64)) for r in fitted]
     bias, weights, factors = fit(places, np.array([r.label for r in fitted], float), len(terms))
