@@ -13,6 +13,8 @@ from .common import batches, materialize
 UNKNOWN = "und"
 #: n-grams of a profile. They have one to three signs; a blank stands before and after every word.
 RANKS = 400
+#: Code of a blank in an n-gram; 0 is no sign at all.
+BLANK = 1
 #: Characters that are counted together; a longer text is cut between words and its counts are added up.
 PIECE = 1 << 20
 #: n-grams a training task holds before it passes on what it has counted.
@@ -50,12 +52,13 @@ def count(parts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         at += size
     keep = np.concatenate(([True], (line[1:] != 0) | (line[:-1] != 0)))  # one blank between words
     owner, line = np.concatenate((owner[:1], owner))[keep], line[keep].astype(np.uint64)
+    letter, line = line != 0, np.maximum(line, np.uint64(BLANK))
     two = line[:-1] | line[1:] << np.uint64(16)
     three = two[:-1] | line[2:] << np.uint64(32)
     # A blank may begin or end an n-gram, but not be inside one or stand alone.
-    found = [(line[line != 0], owner[line != 0]), (two, np.maximum(owner[:-1], owner[1:])), (three[line[1:-1] != 0], owner[1:-1][line[1:-1] != 0])]
-    keys = np.concatenate([g | o << np.uint64(48) for g, o in found if len(g)] or [np.zeros(0, np.uint64)])
-    keys = keys[(keys & np.uint64((1 << 48) - 1)) != 0]
+    pair, inside = letter[:-1] | letter[1:], letter[1:-1]
+    found = [(line[letter], owner[letter]), (two[pair], np.where(letter[1:], owner[1:], owner[:-1])[pair]), (three[inside], owner[1:-1][inside])]
+    keys = np.concatenate([g | o << np.uint64(48) for g, o in found])
     keys.sort()
     first = np.flatnonzero(np.concatenate((np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1])))
     unique = keys[first]
