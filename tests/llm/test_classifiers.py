@@ -58,8 +58,10 @@ def test_nothing_learnt(spark):
     assert langid.identify(none, none).count() == 0
 
 
-def test_machine_learns_words_beginnings_and_pairs(spark):
-    """Neither word of the pair is a sign of the label alone; a rare ending of a known beginning is."""
+def test_machine_learns_words_beginnings_and_pairs(spark, monkeypatch):
+    """Neither word of the pair says much alone, so they enter only with less evidence asked of a term."""
+    monkeypatch.setattr(toxicity, "EVIDENCE", 4.0)
+    monkeypatch.setattr(toxicity, "EPOCHS", 150)
     rng = random.Random(5)
     docs, labels = [], []
     for i in range(900):
@@ -74,7 +76,8 @@ def test_machine_learns_words_beginnings_and_pairs(spark):
     machine = toxicity.learn(df, known)
     held = [(toxicity.Machine.score(machine, d[1].encode()) >= 0.3, bool(y)) for d, (_, y) in zip(docs[700:], labels[700:])]
     assert sum(a == b for a, b in held) >= 0.97 * len(held)
-    assert machine.score(b"Well, ZORPxx!") >= 0.3 > machine.score(b"omega here") and machine.score(b"sigma omega") >= 0.3
+    assert machine.score(b"sigma omega") > 2 * max(machine.score(b"omega here"), machine.score(b"sigma here"))
+    assert machine.score(b"Well, ZORPaeuu!") > 2 * machine.score(b"Well, xx!")
     scored = toxicity.score(spark.createDataFrame([(1, None), (1, None), (None, "zorpa"), (2, "")], "doc_id long, text string"), machine).collect()
     assert len(scored) == 4 and all(0 <= r.score <= 1 for r in scored)
     left = toxicity.reject(df.select("label", "doc_id", "text"), machine, 0.3)
