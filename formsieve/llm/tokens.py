@@ -16,6 +16,7 @@ import json
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -230,7 +231,7 @@ class Encoder:
         if not split:
             return []
         counts = np.fromiter(map(len, split), np.int64, len(split))
-        words = [w for part in split for w in part]
+        words = list(chain.from_iterable(split))
         parts = [self._sized(words[i:i + REMEMBER // 4]) for i in range(0, len(words), REMEMBER // 4)]
         ids = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.uint32)
         ends = np.concatenate(([0], np.cumsum(np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int64))))
@@ -240,15 +241,17 @@ class Encoder:
 
     def _sized(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words one after another, and how many each has."""
-        slots = list(map(self.known.get, words))
-        if None in slots:
+        slots = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(slots < 0)
+        if len(new):
             if len(self.known) > REMEMBER:
                 self._forget()
-                slots = list(map(self.known.get, words))
-            self.used[np.array([s for s in slots if s is not None], np.int64)] = True
-            self.learn(list({w for w, s in zip(words, slots) if s is None}))
-            slots = [self.known[w] if s is None else s for w, s in zip(words, slots)]
-        slots = np.array(slots, np.int64)
+                slots = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+                new = np.flatnonzero(slots < 0)
+            self.used[slots[slots >= 0]] = True
+            unseen = [words[i] for i in new.tolist()]
+            self.learn(list(set(unseen)))
+            slots[new] = np.fromiter(map(self.known.__getitem__, unseen), np.int64, len(unseen))
         begin = self.at[slots]
         count = self.at[slots + 1] - begin
         ends = np.cumsum(count)
