@@ -153,7 +153,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = 2, width: int = 3) -> DataFrame:
     """The rows of `docs` without near-duplicates: of each component the row with the smallest id stays (without ids, that
     with the smallest text hash), and one of rows that repeat it. Columns are kept as they are."""
-    chosen = near_duplicates(docs, id_col, text_col, radius, width).groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("first"))
+    return keep_first(docs, near_duplicates(docs, id_col, text_col, radius, width), id_col, text_col)
+
+
+def keep_first(docs: DataFrame, grouped: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of `docs` that `keep_one` leaves of the groups (id, key, root)."""
+    chosen = grouped.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("first"))
     chosen = materialize(chosen.select(F.col("first")["id"].alias("i"), F.col("first")["key"].alias("k")))
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"), F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("key"))
     kept = rows.join(chosen, F.col("id").eqNullSafe(F.col("i")) & (F.col("key") == F.col("k")), "left_semi")
