@@ -326,12 +326,15 @@ SHAPES = """SELECT o_orderkey AS doc_id, CASE o_orderkey % 3 WHEN 0 THEN '{"page
 
 @query("inc2_continuous", "SELECT user_id AS doc_id, count(*) AS n, max(event_id) AS last_event FROM {events} GROUP BY user_id")
 def _(t: Inputs):
-    # Every file of the events table is an extraction file; users are the documents.
-    folder = f"{run_folder(t.spark)}/inc2-{uuid.uuid4().hex}"
-    source = t.table("events").select("user_id", "event_id").withColumnRenamed("user_id", "doc_id")
-    source.write.parquet(f"{folder}/arrived-1")
-    stream = continuous.document_stream(t.spark, f"{folder}/arrived-*", "doc_id bigint, event_id bigint", files_per_trigger=1_000_000)
-    stream = stream.withColumn(continuous.ARRIVAL, F.struct(F.lit(1).alias("one")))  # the parts of one arrival belong together
+    # Users are the documents. A third comes in the first arrival alone, a third in the second alone, and a third in both,
+    # in the first with other events. Every user's rows lie in many files, and batches end inside an arrival.
+    folder, files = f"{run_folder(t.spark)}/inc2-{uuid.uuid4().hex}", max(6, int(t.spark.conf.get("spark.sql.shuffle.partitions")))
+    source, third = t.table("events").select(F.col("user_id").alias("doc_id"), "event_id"), F.pmod(F.xxhash64("doc_id"), F.lit(3))
+    first = source.withColumn("event_id", F.when(third == 1, F.col("event_id") + 1_000_000_000_000).otherwise(F.col("event_id")))
+    stale = first.where(third.isin(0, 1)).unionByName(first.where(third == 1))
+    for n, rows in enumerate((stale, source.where(third.isin(1, 2)))):
+        rows.repartition(files).write.parquet(f"{folder}/arrived-{n + 1}")
+    stream = continuous.document_stream(t.spark, f"{folder}/arrived-*", "doc_id bigint, event_id bigint", files_per_trigger=files * 2 // 3)
     continuous.upsert_by_document(stream, f"{folder}/table", f"{folder}/progress").awaitTermination()
     return continuous.read_latest(t.spark, f"{folder}/table").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.max("event_id").alias("last_event"))
 

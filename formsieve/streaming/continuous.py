@@ -3,27 +3,39 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
-#: Where a row came from: the later file wins when one micro-batch holds two versions of a document.
+#: Which arrival a row belongs to, as (time, id): the later arrival wins, whatever files and micro-batches its rows come in.
 ARRIVAL = "_arrival"
+#: Part files of one Spark write share its id; part files without one are the parts of their folder.
+PART_OF_WRITE, PART = r"/part-\d+-([0-9a-f]{8}(?:-[0-9a-f]{4}){3}-[0-9a-f]{12})[^/]*$", r"^(.*)/part-\d+[^/]*$"
 
 
-def document_stream(spark: SparkSession, folder: str, schema: str, files_per_trigger: int = 1000, fmt: str = "parquet") -> DataFrame:
-    """New files of a folder; every row carries its file's time and path in `_arrival`."""
+def _arrival_of(path: Column) -> Column:
+    write, folder = F.regexp_extract(path, PART_OF_WRITE, 1), F.regexp_extract(path, PART, 1)
+    return F.when(write != "", write).when(folder != "", folder).otherwise(path)
+
+
+def document_stream(spark: SparkSession, folder: str, schema: str, files_per_trigger: int = 1000, fmt: str = "parquet", version: str | None = None) -> DataFrame:
+    """New files of a folder; every row carries its arrival in `_arrival`.
+
+    An arrival is what one Spark write left, or all part files of a folder, or any other file by itself, and is as late as
+    its files are. With `version`, the values of that column are the arrivals instead, the highest being the latest.
+    """
     rows = spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", files_per_trigger).load(folder)
-    return rows.select("*", F.struct(F.col("_metadata.file_modification_time").alias("time"), F.col("_metadata.file_path").alias("path")).alias(ARRIVAL))
+    time = F.col("_metadata.file_modification_time") if version is None else F.col(version)
+    name = _arrival_of(F.col("_metadata.file_path")) if version is None else F.col(version).cast("string")
+    return rows.select("*", F.struct(time.alias("time"), name.alias("id")).alias(ARRIVAL))
 
 
-def latest_file(batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Of each document only the rows of its latest file; rows without an arrival are kept as they are."""
-    if ARRIVAL not in batch.columns:
-        return batch
-    top = batch.groupBy(*keys).agg(F.max(ARRIVAL).alias("_top"))
-    return batch.join(top, keys).where(F.col(ARRIVAL) == F.col("_top")).drop(ARRIVAL, "_top")
+def latest_arrival(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Of each document all rows of its latest arrival."""
+    arrivals = rows.groupBy(*keys, F.col(f"{ARRIVAL}.id").alias("_id")).agg(F.max(f"{ARRIVAL}.time").alias("_time"))
+    top = arrivals.groupBy(*keys).agg(F.max_by("_id", F.struct("_time", "_id")).alias("_top"))
+    return rows.join(top, keys).where(F.col(f"{ARRIVAL}.id").eqNullSafe(F.col("_top"))).drop(ARRIVAL, "_top")
 
 
 def first_arrivals(stream: DataFrame, event_time: str, keys: list[str], delay: str = "1 day") -> DataFrame:
@@ -33,16 +45,26 @@ def first_arrivals(stream: DataFrame, event_time: str, keys: list[str], delay: s
 
 def upsert_by_document(stream: DataFrame, target: str, checkpoint: str, bucket_count: int = 64,
                        transform: Callable[[DataFrame], DataFrame] | None = None, available_now: bool = True, keys: tuple[str, ...] = ("doc_id",)) -> StreamingQuery:
-    """Apply `transform` to the latest file of every document in a micro-batch and replace the documents it touches in the Parquet table `target`.
+    """Apply `transform` to the latest arrival of every document in a micro-batch and replace the documents it touches in the Parquet table `target`.
 
     Batch n writes version folder n and repeats it unchanged after a failure; readers take the highest version of a
-    document (`read_latest`). Documents are spread over hash buckets, never gathered.
+    document (`read_latest`). Documents are spread over hash buckets, never gathered. The rows of each batch are kept beside
+    the checkpoint: an arrival that comes in several batches is whole once the last is in, and what comes late of an older
+    arrival replaces nothing. Rows without an arrival are taken as they are.
     """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(bucket_count))
+    seen = f"{checkpoint.rstrip('/')}-rows"
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        latest = latest_file(batch, list(keys))
-        rows = transform(latest) if transform else latest
-        rows.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(bucket_count))).write.mode("overwrite").partitionBy("bucket").parquet(
-            f"{target}/version={batch_id}")
+        rows = batch
+        if ARRIVAL in batch.columns:
+            batch.withColumn("_bucket", bucket).write.mode("overwrite").partitionBy("_bucket").parquet(f"{seen}/_version={batch_id}")
+            known = batch.sparkSession.read.schema(batch.schema.add("_version", "long").add("_bucket", "long")).parquet(seen)
+            touched = known.where(F.col("_version") == batch_id).select("_bucket", *keys).distinct()
+            known = known.where(F.col("_version") <= batch_id).join(touched, ["_bucket", *keys], "left_semi")
+            rows = latest_arrival(known.select(*batch.columns), list(keys))
+        rows = transform(rows) if transform else rows
+        rows.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/version={batch_id}")
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -206,6 +206,34 @@ def test_two_versions_in_one_batch(spark, tmp_path):
     assert {(r["doc_id"], r["v"]) for r in continuous.read_latest(spark, str(tmp_path / "small")).collect()} == want
 
 
+def test_a_version_is_an_arrival_over_files_and_batches(spark, tmp_path):
+    source, schema = str(tmp_path / "in"), "doc_id bigint, v long"
+    rows = lambda base, ids: spark.range(0, 60, 1, 6).selectExpr("id % 5 AS doc_id", f"id + {base} AS v").where(F.col("doc_id").isin(ids))
+    rows(0, [0, 1, 2, 3]).write.parquet(f"{source}/arrived-1")
+    time.sleep(1.1)
+    rows(1000, [2, 3, 4]).write.parquet(f"{source}/arrived-2")
+    want = {(i % 5, i + (0 if i % 5 < 2 else 1000)) for i in range(60)}
+    for per_trigger in (1, 4, 100):
+        target, check = str(tmp_path / f"out{per_trigger}"), str(tmp_path / f"check{per_trigger}")
+        stream = continuous.document_stream(spark, f"{source}/arrived-*", schema, files_per_trigger=per_trigger)
+        continuous.upsert_by_document(stream, target, check).awaitTermination(120)
+        got = [(r["doc_id"], r["v"]) for r in continuous.read_latest(spark, target).collect()]
+        assert len(got) == 60 and set(got) == want
+    count = lambda df: df.groupBy("doc_id").agg(F.count("*").alias("n"))
+    stream = continuous.document_stream(spark, f"{source}/arrived-*", schema, files_per_trigger=4)
+    continuous.upsert_by_document(stream, str(tmp_path / "counts"), str(tmp_path / "check"), transform=count).awaitTermination(120)
+    assert {(r["doc_id"], r["n"]) for r in continuous.read_latest(spark, str(tmp_path / "counts")).collect()} == {(d, 12) for d in range(5)}
+
+
+def test_a_column_names_the_arrival(spark, tmp_path):
+    source, target, schema = str(tmp_path / "in"), str(tmp_path / "out"), "doc_id bigint, run int, v string"
+    for rows in ([(1, 2, "new"), (1, 1, "old")], [(1, 2, "new too"), (2, 1, "b")], [(1, 1, "late")]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+    stream = continuous.document_stream(spark, source, schema, files_per_trigger=1, version="run")
+    continuous.upsert_by_document(stream, target, str(tmp_path / "check")).awaitTermination(120)
+    assert {(r["doc_id"], r["v"]) for r in continuous.read_latest(spark, target).collect()} == {(1, "new"), (1, "new too"), (2, "b")}
+
+
 def test_first_arrivals(spark, tmp_path):
     source = str(tmp_path / "in")
     spark.sql("SELECT id % 3 AS doc_id, TIMESTAMP '2024-01-01 00:00:00' + make_interval(0,0,0,0,0,CAST(id AS INT)) AS ts FROM range(9)").write.parquet(source)
