@@ -134,18 +134,23 @@ def gap_fills_legacy(primary: DataFrame, cands: DataFrame) -> DataFrame:
     return checked.where("_first IS NULL OR _first >= ord").select(*cands.columns)
 
 
-def unconfirmed_amounts(kept: DataFrame, responses: DataFrame, json: str = "content") -> DataFrame:
-    """Discrepancies: box amounts that occur nowhere in the page's model output."""
+def unconfirmed_amounts(kept: DataFrame, responses: DataFrame, json: str = "content", unparsed: DataFrame | None = None) -> DataFrame:
+    """Discrepancies: box amounts that occur nowhere in the page's model output. unparsed: (doc_id, page_no, raw), the
+    answers that are no JSON, searched as they are."""
     amounts = kept.where(F.col("v_str").isNotNull() & scrub.is_amount("v_str", F.lit("string"))).select(
         *PAGE, F.col("name").alias("field"), F.col("v_str").alias("value"), F.translate("v_str", ",$", "").alias("_a")).where("_a <> ''")
-    pages = leaves.digest(responses, PAGE, json).select(*PAGE, F.replace(F.lower("digest"), F.lit(","), F.lit("")).alias("_d"))
+    said = leaves.digest(responses, PAGE, json)
+    if unparsed is not None:
+        said = said.unionByName(unparsed.select(*PAGE, F.col("raw").alias("digest")))
+    pages = said.select(*PAGE, F.replace(F.lower("digest"), F.lit(","), F.lit("")).alias("_d"))
     return amounts.join(pages, PAGE, "left").where(~F.contains(F.coalesce("_d", F.lit("")), F.col("_a"))).select(
         *PAGE, "field", "value", F.lit("amount_not_in_vlm").alias("issue"))
 
 
 def merge(fields: DataFrame, responses: DataFrame, page_map: DataFrame | None = None, labels: DataFrame | None = None,
-          legacy: bool = False) -> tuple[DataFrame, DataFrame]:
-    """(merged fields, discrepancies) of template boxes and model output. responses: one OK JSON object per page."""
+          legacy: bool = False, unparsed: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(merged fields, discrepancies) of template boxes and model output. responses: one OK JSON object per page; unparsed:
+    the raw text of pages without one, which gives no fields but confirms amounts."""
     kept, bad = split_primary(fields)
     cands = candidates(responses)
     if legacy:
@@ -162,7 +167,7 @@ def merge(fields: DataFrame, responses: DataFrame, page_map: DataFrame | None =
     # Two paths may give one name; the later value stands, as in a dictionary.
     rest = [c for c in as_fields.columns if c not in (*PAGE, "name")]
     last = as_fields.groupBy(*PAGE, "name").agg(F.max_by(F.struct(*rest), "ord").alias("r")).select(*PAGE, "name", "r.*")
-    return kept.unionByName(last), bad.unionByName(unconfirmed_amounts(kept, responses))
+    return kept.unionByName(last), bad.unionByName(unconfirmed_amounts(kept, responses, unparsed=unparsed))
 
 
 def merge_counts(merged: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null
-from ..operators import classify, leaves, lossrun, mapping, reconcile, scrub, sov, spatial
+from ..operators import classify, leaves, lossrun, mapping, raster, reconcile, scrub, sov, spatial
+from ..rules import fields as field_rules
 from ..rules import mapping as rules
 from ..session import materialize
 from ..sources.readers import ingest_responses
@@ -16,19 +17,24 @@ INTERNAL = {"LossRuns": ["source_file"]}
 
 
 def form_fields(words: DataFrame, page_text: DataFrame, template_pages: DataFrame, tmpl_words: DataFrame, tmpl_fields: DataFrame,
-                responses: DataFrame, ratios: DataFrame | None = None, available: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+                responses: DataFrame, ratios: DataFrame | None = None, available: list[str] | None = None,
+                rasters: DataFrame | None = None, dpi: float = field_rules.PIXEL_DPI) -> tuple[DataFrame, DataFrame]:
     """(merged fields, discrepancies) of application forms: page map, box reading, model values, merge.
 
     `available` names the templates that exist (by default those of `template_pages`): an edition without one falls back to
-    its older one, and a page of neither stays unmapped.
+    its older one, and a page of neither stays unmapped. Checkboxes without an X are decided by the pixels of `rasters`
+    (doc_id, page_no, gray, w), rendered at `dpi`, or by dark-pixel `ratios` that are known already.
     """
     if available is None:
         available = [r.template for r in template_pages.select("template").distinct().collect()]  # one name per known form
     page_map = materialize(classify.page_map(page_text, template_pages, available))
     offsets = materialize(spatial.anchor_offset(words, tmpl_words, page_map))
+    if ratios is None and rasters is not None:
+        ratios = materialize(raster.dark_ratios(rasters, raster.undecided(spatial.box_marks(words, tmpl_fields, offsets), dpi)))
     boxes = materialize(spatial.page_fields(words, tmpl_fields, offsets, ratios))
-    parsed = ingest_responses(responses).where("status = 'OK'").select("doc_id", "page_no", F.col("data").alias("content"))
-    return reconcile.merge(boxes, materialize(parsed), page_map, scrub.checkbox_labels(tmpl_fields))
+    answers = materialize(ingest_responses(responses).select("doc_id", "page_no", "status", "data", "raw"))
+    parsed = answers.where("status = 'OK'").select("doc_id", "page_no", F.col("data").alias("content"))
+    return reconcile.merge(boxes, parsed, page_map, scrub.checkbox_labels(tmpl_fields), unparsed=answers.where("status = 'RAW'"))
 
 
 def loss_run_claims(cells: DataFrame, page_text: DataFrame, responses: DataFrame) -> tuple[DataFrame, DataFrame]:

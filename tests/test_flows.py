@@ -1,6 +1,8 @@
 """The form and loss-run flows end to end on one invented page each."""
 import json
 
+import numpy as np
+
 from formsieve.operators import lossrun, quality
 from formsieve.plans import submission
 from formsieve.plans.submission import form_fields, loss_run_claims
@@ -23,6 +25,26 @@ def test_form_flow(spark):
     assert bad.count() == 0
 
 
+def test_form_flow_with_unparsed_answers_and_pixels(spark):
+    words = spark.createDataFrame([(1, p, 0, "CARRIER", 300.0, 340.0, 78.0, 86.0) for p in (1, 2)] + [(1, p, 1, "$1,250.00", 302.0, 330.0, 98.5, 106.0) for p in (1, 2)] +
+                                  [(1, 1, 2, "X", 102.0, 108.0, 170.0, 178.0)], WORD)
+    text = spark.createDataFrame([(1, p, "CARRIER ACORD 125 (2016/03)") for p in (1, 2)], "doc_id int, page_no int, text string")
+    tmpl_pages = spark.createDataFrame([("acord_125", p, "CARRIER SECTION") for p in (0, 1)], "template string, tpage int, text string")
+    tmpl_words = spark.createDataFrame([("acord_125", p, 0, "CARRIER", 70.0) for p in (0, 1)], "template string, tpage int, ord int, text string, top double")
+    boxes = [("Policy_Amount_A[0]", "/Tx", "amount", 298.0, 695.0, 420.0, 704.0), ("Dark_A", "/Btn", "dark", 18.0, 620.0, 30.0, 632.0), ("Light_A", "/Btn", "light", 60.0, 620.0, 72.0, 632.0), ("Marked_A", "/Btn", "marked", 99.0, 620.0, 111.0, 632.0)]
+    fields = spark.createDataFrame([("acord_125", p, i, *b) for p in (0, 1) for i, b in enumerate(boxes)],
+                                   "template string, tpage int, ord int, name string, ftype string, tooltip string, x0 double, y0 double, x1 double, y1 double")
+    answers = spark.createDataFrame([(1, 1, 'cut off {"a": {"total": "1,250.00", '), (1, 2, 'cut off {"a": ')], "doc_id int, page_no int, content string")
+    image = np.full((792, 612), 255, np.uint8)
+    image[:, :40] = 0
+    rasters = spark.createDataFrame([(1, 1, bytearray(image.tobytes()), 612)], "doc_id int, page_no int, gray binary, w int")
+    merged, bad = form_fields(words, text, tmpl_pages, tmpl_words, fields, answers, rasters=rasters, dpi=72)
+    pages = {r["page_no"] for r in merged.collect()}
+    assert {(r["page_no"], r["issue"]) for r in bad.collect()} == {(p, "amount_not_in_vlm") for p in pages - {1}} and 1 in pages
+    assert {(r["name"], r["v_bool"], r["source_detail"].split(":pixel")[0]) for r in merged.where("page_no = 1 AND ftype = 'checkbox'").collect()} == {
+        ("Dark_A", True, "bbox"), ("Light_A", False, "bbox"), ("Marked_A", True, "bbox:text_x")}
+
+
 def test_loss_run_flow(spark):
     cells = spark.createDataFrame([(1, 1, 0, r, c, v) for r, row in enumerate([["Claim #", "Total Paid"], ["C-0001", "$1,250.50"], ["", ""]]) for c, v in enumerate(row)],
                                   "doc_id int, page_no int, table_no int, row_no int, col_no int, text string")
