@@ -97,6 +97,11 @@ def _(t: Inputs):
     return mapping.operations_text(t.sql(SPARK_PARAGRAPHS), limit=mapping_rules.OPERATIONS_LIMIT, block=4)
 
 
+@query("map16_operations_whole", f"SELECT doc_id, string_agg(text, ' ' ORDER BY ord) AS operations FROM ({PARAGRAPHS}) WHERE text <> '' GROUP BY doc_id")
+def _(t: Inputs):
+    return mapping.operations_text(t.sql(SPARK_PARAGRAPHS), block=4)
+
+
 @query("src5_clean_paragraphs", f"SELECT doc_id, ord, trim(text) AS text FROM ({PARAGRAPHS}) WHERE trim(text) <> ''")
 def _(t: Inputs):
     return readers.clean_paragraphs(t.sql(SPARK_PARAGRAPHS))
