@@ -131,7 +131,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     """(id, size, source_size, target, taken) for every row: `taken` words of whole copies, 0 to `most` of them.
 
     A null text has size 0 and is taken with 0 words; a null source is a source. Rows with the same id and size share their
-    draw, so repeated rows are taken alike. The words a source gives miss its target by half a document at most. No rows
+    draw, so repeated rows are taken alike. The words a source gives miss its target by half of the largest such
+    group of rows at most: half a document where no row repeats another's id and size. No rows
     give none. Other columns are ignored. Equal inputs give equal results, however they are partitioned.
     """
     sized = materialize(_sized(docs, id_col, text_col, source_col))
