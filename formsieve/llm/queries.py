@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, embeddings, langid, licenses, mixing, simhash, substring, tokens, toxicity, warc
+from . import contamination, embeddings, langid, licenses, mixing, oracles, sharding, simhash, substring, tokens, toxicity, warc
 from .common import crc_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +121,12 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").withColumn("captured_at", F.timestamp_seconds(F.lit(1_577_836_800) + F.col("page_id")))
     return warc.read_back(warc.archive(pages, least_bytes=0)).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", F.col("urlkey").alias("url_key"))
+
+
+@query
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.place(table(spark, sf_dir, "documents"), weights=[1.0] * 40)
+    return found.select(F.col("id").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+ORACLES["op11_sharding"] = oracles.SHARDS
