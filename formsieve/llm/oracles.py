@@ -45,3 +45,63 @@ SELECT sized.doc_id, size, text_crc32, 'key' AS law, shard,
        row_number() OVER (PARTITION BY shard ORDER BY sized.doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown_shard
 FROM sized JOIN won ON sized.doc_id IS NOT DISTINCT FROM won.doc_id
 """
+
+
+def _least(options: list[str]) -> str:
+    return "list_min([" + ", ".join(options) + "])"
+
+
+def _edge(letter: str, cost: str, value: str) -> str:
+    return f"{{'c': {value}.c + {cost}, 's': '{letter}' || {value}.s}}"
+
+
+def _repair_step(state: int) -> str:
+    """The least over the edges that a row (i: initial, f: fault) gives a state; states as in v0 to v3."""
+    then = {0: 2, 1: 2, 2: 3, 3: 2}[state]
+    kept = {0: "CASE i WHEN 's' THEN v1 WHEN 'u' THEN v2 END", 1: "CASE i WHEN 'u' THEN v2 END",
+            2: "CASE i WHEN 'a' THEN v3 END", 3: "CASE i WHEN 'u' THEN v2 END"}[state]
+    stays = "f NOT IN ('blank', 'duplicate')"
+    more = "CASE WHEN f = 'truncated' THEN 5 ELSE 0 END"
+    return _least([_edge("D", "2", f"v{state}"), f"CASE WHEN {stays} THEN {_edge('R', f'1 + {more}', f'v{then}')} ELSE none END",
+                   f"CASE WHEN {stays} AND ({kept}) IS NOT NULL THEN {_edge('K', more, f'({kept})')} ELSE none END"])
+
+
+_INSERTED = ", ".join([
+    _least(["b0", _edge("I", "5", "b2"), _edge("I", "10", "{'c': b3.c, 's': 'I' || b3.s}")]) + " AS v0",
+    _least(["b1", _edge("I", "5", "b2"), _edge("I", "10", "{'c': b3.c, 's': 'I' || b3.s}")]) + " AS v1",
+    _least(["b2", _edge("I", "5", "b3")]) + " AS v2", _least(["b3", _edge("I", "5", "b2")]) + " AS v3"])
+
+REPAIR = f"""WITH RECURSIVE {CRC_TABLE},
+original AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+kinds AS (SELECT original.*, {crc32("hex(encode(k))", "strlen(k)")} % 20 AS kind FROM original, crc_table),
+damaged AS (SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+            CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+            unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM kinds),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS p FROM damaged),
+judged AS (SELECT *, left(role, 1) AS i, lead(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY p) AS following,
+           CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+                WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY p) > 1 THEN 'duplicate'
+                WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'truncated' ELSE 'none' END AS f FROM placed),
+counted AS (SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (f = 'blank') AS blank,
+            count(*) FILTER (f = 'duplicate') AS duplicate, count(*) FILTER (f = 'truncated') AS truncated,
+            count(*) FILTER (following IS NOT NULL AND i || following NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY conv_id),
+ends AS (SELECT {{'c': 0, 's': ''}} AS b0, {{'c': 1000000000, 's': ''}} AS b1, {{'c': 1000000000, 's': ''}} AS b2, {{'c': 0, 's': ''}} AS b3),
+dp AS (SELECT conv_id, n AS p, {{'c': 1000000000, 's': ''}} AS none, {_INSERTED} FROM counted, ends
+       UNION ALL SELECT conv_id, p, none, {_INSERTED} FROM (
+           SELECT dp.conv_id, dp.p - 1 AS p, none, {", ".join(f"{_repair_step(q)} AS b{q}" for q in range(4))}
+           FROM dp JOIN judged ON judged.conv_id IS NOT DISTINCT FROM dp.conv_id AND judged.p = dp.p)),
+best AS (SELECT conv_id, v0.c AS cost, v0.s AS audit FROM dp WHERE p = 0),
+letters AS (SELECT conv_id, q, substr(audit, q, 1) AS letter FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS q FROM best)),
+used AS (SELECT *, CASE WHEN letter <> 'I' THEN count(*) FILTER (letter <> 'I') OVER (PARTITION BY conv_id ORDER BY q) END AS p FROM letters),
+lines AS (SELECT used.conv_id, q, letter, judged.role, judged.text,
+          row_number() OVER w - 1 - max(CASE WHEN letter = 'K' AND i = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY used.conv_id) AS k
+          FROM used LEFT JOIN judged ON judged.conv_id IS NOT DISTINCT FROM used.conv_id AND judged.p = used.p
+          WHERE letter <> 'D' WINDOW w AS (PARTITION BY used.conv_id ORDER BY q)),
+texts AS (SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN k % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' ||
+          CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY q) AS whole FROM lines GROUP BY conv_id)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN texts ON texts.conv_id IS NOT DISTINCT FROM o.conv_id
+"""

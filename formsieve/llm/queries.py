@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, embeddings, langid, licenses, mixing, oracles, sharding, simhash, substring, tokens, toxicity, warc
+from . import contamination, embeddings, langid, licenses, mixing, oracles, repair, sharding, simhash, substring, tokens, toxicity, warc
 from .common import crc_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +130,17 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_sharding"] = oracles.SHARDS
+
+
+@query
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = table(spark, sf_dir, "conversations")
+    # Conversations of which no row is left count too.
+    found = repair.repair(repair.damage(whole)).withColumnRenamed("conv", "_conv")
+    every = whole.select("conv_id").distinct().join(found, F.col("conv_id").eqNullSafe(F.col("_conv")), "left")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return every.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"),
+                        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+ORACLES["op13_repair"] = oracles.REPAIR
