@@ -22,17 +22,18 @@ def test_running_against_brute_force(spark, gap):
     data = spaced(rows(), gap) + [("nulls", i, None, 1) for i in range(5)]
     df = spark.createDataFrame(data, "k string, pos bigint, kind string, v bigint").repartition(5)
     got = running(df, ["k"], "pos", sums={"s": F.col("v")}, maxes={"m": F.when(F.col("kind") == "a", F.col("pos"))}, previous={"p": F.col("kind")},
-                  changes={"c": F.col("kind")}, ranges=23)
+                  changes={"c": F.col("kind")}, xors={"x": F.col("v") * F.col("v")}, ranges=23)
     want = {}
     for k in {r[0] for r in data}:
-        total, top, before, turns = 0, None, None, 0
+        total, top, before, turns, odd = 0, None, None, 0, 0
         for n, r in enumerate(sorted((x for x in data if x[0] == k), key=lambda x: x[1])):
             total += r[3]
             top = r[1] if r[2] == "a" else top
             turns += n == 0 or r[2] != before
-            want[(k, r[1])] = (total, top, before, turns)
+            odd ^= r[3] * r[3]
+            want[(k, r[1])] = (total, top, before, turns, odd)
             before = r[2]
-    assert {(r["k"], r["pos"]): (r["s"], r["m"], r["p"], r["c"]) for r in got.collect()} == want
+    assert {(r["k"], r["pos"]): (r["s"], r["m"], r["p"], r["c"], r["x"]) for r in got.collect()} == want
 
 
 @pytest.mark.parametrize("gap", [1, 100_000])
