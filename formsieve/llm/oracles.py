@@ -105,3 +105,25 @@ SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0)
 FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM o.conv_id
 LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN texts ON texts.conv_id IS NOT DISTINCT FROM o.conv_id
 """
+
+
+TRIE = f"""WITH RECURSIVE {CRC_TABLE},
+turns AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT conv_id, CAST(conv_id AS VARCHAR) AS k FROM (SELECT DISTINCT conv_id FROM turns)),
+heads AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {crc32("hex(encode(k))", "strlen(k)")} % 6 AS h FROM ids, crc_table),
+lent AS (SELECT heads.conv_id, p, md5(role) || md5(text) AS t, length(text) AS size FROM heads JOIN turns ON turns.conv_id = base AND p <= h),
+own AS (SELECT conv_id, 10 + p AS p, md5(role) || md5(text) AS t, length(text) AS size FROM turns JOIN heads USING (conv_id) WHERE p > h),
+paths AS (SELECT heads.conv_id, coalesce(list(t ORDER BY p) FILTER (t IS NOT NULL), []) AS path, coalesce(list(size ORDER BY p) FILTER (t IS NOT NULL), []) AS sizes
+          FROM heads LEFT JOIN (SELECT * FROM lent UNION ALL SELECT * FROM own) r ON r.conv_id = heads.conv_id GROUP BY heads.conv_id),
+steps AS (SELECT conv_id, path, sizes, unnest(range(0, len(path) + 1)) AS d FROM paths),
+nodes AS (SELECT path[1:d] AS pre, d, min(conv_id) AS conv_id, count(*) AS n, any_value(coalesce(sizes[d], 0)) AS size,
+          coalesce(string_agg(CASE WHEN len(path) = d THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '') AS ends FROM steps GROUP BY ALL),
+parents AS (SELECT c.pre, p.pre AS above, p.conv_id AS parent FROM nodes c JOIN nodes p ON p.d = c.d - 1 AND p.pre = c.pre[1:c.d - 1]),
+kids AS (SELECT above AS pre, count(*) AS n_children FROM parents GROUP BY above),
+below AS (SELECT nodes.pre[1:k] AS pre, sum(CASE WHEN kids.pre IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((n - 1) * size) AS saved
+          FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM nodes) nodes LEFT JOIN kids ON kids.pre = nodes.pre GROUP BY 1)
+SELECT nodes.conv_id, CAST(nodes.d AS BIGINT) AS depth, parent AS parent_conv_id, n AS n_convs, coalesce(n_children, 0) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(ends) AS ends_sha256
+FROM nodes LEFT JOIN parents ON parents.pre = nodes.pre LEFT JOIN kids ON kids.pre = nodes.pre JOIN below ON below.pre = nodes.pre
+"""

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, embeddings, langid, licenses, mixing, oracles, repair, sharding, simhash, substring, tokens, toxicity, warc
+from . import contamination, embeddings, langid, licenses, mixing, oracles, repair, sharding, simhash, substring, tokens, toxicity, trie, warc
 from .common import crc_remainder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,14 @@ def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op13_repair"] = oracles.REPAIR
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("conv")
+    head = F.pmod(F.crc32(conv.cast("string").cast("binary")), F.lit(6))
+    rows, conversations = trie.share_heads(trie.ordered_turns(table(spark, sf_dir, "conversations")), source=conv - conv % 100, head=head, most=5)
+    return trie.prefix_trie(rows, conversations).withColumnRenamed("saved", "saved_tokens")
+
+
+ORACLES["op12_prefix_trie"] = oracles.TRIE
