@@ -58,10 +58,8 @@ def test_nothing_learnt(spark):
     assert langid.identify(none, none).count() == 0
 
 
-def test_machine_learns_words_beginnings_and_pairs(spark, monkeypatch):
-    """Neither word of the pair says much alone, so they enter only with less evidence asked of a term."""
-    monkeypatch.setattr(toxicity, "EVIDENCE", 4.0)
-    monkeypatch.setattr(toxicity, "EPOCHS", 150)
+def test_machine_learns_words_beginnings_and_pairs(spark):
+    """With shipped parameters; neither word of the pair says much alone."""
     rng = random.Random(5)
     docs, labels = [], []
     for i in range(900):
@@ -81,6 +79,11 @@ def test_machine_learns_words_beginnings_and_pairs(spark, monkeypatch):
     scored = toxicity.score(spark.createDataFrame([(1, None), (1, None), (None, "zorpa"), (2, "")], "doc_id long, text string"), machine).collect()
     assert len(scored) == 4 and all(0 <= r.score <= 1 for r in scored)
     left = toxicity.reject(df.select("label", "doc_id", "text"), machine, 0.3)
+    clashing = df.select("doc_id", "text", F.lit(1).alias("id"), F.lit(2).alias("t"), F.lit(0.5).alias("score"), F.lit("x").alias("terms"))
+    assert sorted(map(tuple, toxicity.score(clashing, machine).collect())) == sorted(map(tuple, toxicity.score(df, machine).collect()))
+    assert toxicity.reject(clashing, machine, 0.3).columns == clashing.columns
+    none = df.where(F.lit(False))
+    assert toxicity.score(none, machine).count() == 0 and toxicity.reject(none, machine, 0.3).count() == 0
     assert left.columns == ["label", "doc_id", "text"] and left.count() == sum(machine.score(d[1].encode()) < 0.3 for d in docs)
 
 
@@ -90,3 +93,59 @@ def test_labels_of_one_class_or_none(spark):
         machine = toxicity.learn(df, spark.createDataFrame(labels, "doc_id long, toxic int"))
         assert high is None or (machine.score(b"a b") > 0.5) == high
     assert toxicity.learn(df, spark.createDataFrame([(8, 0), (9, 1)], "doc_id long, toxic int")).score(None) == 0.5
+
+
+@pytest.mark.parametrize("labelled", [80, 400, 8000])
+def test_the_fit_goes_as_far_on_any_number_of_labels(spark, labelled):
+    """Shipped parameters: one text in eight is toxic, by one of four words."""
+    rng = random.Random(labelled)
+    docs = []
+    for i in range(labelled + 400):
+        base = words(rng, "abcdefgh", rng.randint(5, 40)).split()
+        toxic = i % 8 == 0
+        if toxic:
+            base.insert(rng.randrange(len(base)), rng.choice(["zzyx", "qqwv", "vvkk", "jjpp"][:1 if labelled == 80 else 4]))
+        docs.append((i, " ".join(base), int(toxic)))
+    df = spark.createDataFrame(docs, "doc_id long, text string, toxic int").repartition(4)
+    machine = toxicity.learn(df, df.where(F.col("doc_id") < labelled))
+    rows = toxicity.score(df.where(F.col("doc_id") >= labelled), machine).collect()
+    said = [(r.score >= 0.3, docs[r.id][2]) for r in rows]
+    assert sum(p and not y for p, y in said) <= 0.05 * sum(not y for _, y in said)
+    assert sum(p and y for p, y in said) >= 0.9 * sum(y for _, y in said)
+
+
+def test_score_is_the_sum_over_pairs():
+    rng = np.random.default_rng(1)
+    vocabulary = [f"w{i}" for i in range(12)]
+    terms = np.array(sorted({t for w in vocabulary for t in toxicity.terms_of_word(w.encode())}))
+    bias, weights, factors = -0.3, rng.normal(size=len(terms)), rng.normal(size=(len(terms), 5)) / 3
+    machine = toxicity.Machine(terms, bias, weights, factors)
+    for n in range(8):
+        text = " ".join(rng.choice(vocabulary, n)) + " unknown"
+        at = [i for i, t in enumerate(terms) if t in {t for w in text.split() for t in toxicity.terms_of_word(w.encode())}]
+        logit = bias + sum(weights[i] for i in at) + sum(factors[i] @ factors[j] for i in at for j in at if i < j)
+        assert machine.score(text.encode()) == pytest.approx(1 / (1 + np.exp(-logit)))
+
+
+def test_fit_against_plain_steps(monkeypatch):
+    """Adam on the gradient found by moving every parameter a little."""
+    monkeypatch.setattr(toxicity, "UPDATES", 3)
+    monkeypatch.setattr(toxicity, "FACTORS", 2)
+    rows, labels, n = [np.array(r, np.int64) for r in ([0, 1], [1, 2], [0, 2], [], [3], [0, 1, 2, 3])], np.array([1.0, 0, 1, 0, 0, 1]), 4
+    rng = np.random.default_rng(11)
+    params = np.concatenate(([np.log(3.5 / 3.5)], np.zeros(n), rng.normal(0, 0.01, n * 2)))
+
+    def loss(p):
+        w, v = p[1:1 + n], p[1 + n:].reshape(n, 2)
+        total = 0
+        for r, y in zip(rows, labels):
+            logit = p[0] + sum(w[i] for i in r) + sum(v[i] @ v[j] for i in r for j in r if i < j)
+            total += np.logaddexp(0, logit) - y * logit
+        return total / len(rows) + toxicity.SHRINK / 2 * (p[1:] ** 2).sum()
+    m, q = np.zeros_like(params), np.zeros_like(params)
+    for step in range(1, 4):
+        grad = np.array([(loss(params + e) - loss(params - e)) / 2e-6 for e in np.eye(len(params)) * 1e-6])
+        m, q = 0.9 * m + 0.1 * grad, 0.999 * q + 0.001 * grad ** 2
+        params = params - toxicity.RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(q / (1 - 0.999 ** step)) + 1e-8)
+    bias, weights, factors = toxicity.fit(rows, labels, n)
+    assert np.allclose(np.concatenate(([bias], weights, factors.ravel())), params, atol=2e-3)
