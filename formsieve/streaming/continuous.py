@@ -1,8 +1,6 @@
 """The continuous form of skip-if-done: new extraction files flow in, each document is kept once, in its latest version."""
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -32,10 +30,10 @@ def document_stream(spark: SparkSession, folder: str, schema: str, files_per_tri
 
 
 def latest_arrival(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Of each document all rows of its latest arrival."""
+    """Of each document all rows of its latest arrival. An arrival is as late as the latest of its rows."""
     arrivals = rows.groupBy(*keys, F.col(f"{ARRIVAL}.id").alias("_id")).agg(F.max(f"{ARRIVAL}.time").alias("_time"))
     top = arrivals.groupBy(*keys).agg(F.max_by("_id", F.struct("_time", "_id")).alias("_top"))
-    return rows.join(top, keys).where(F.col(f"{ARRIVAL}.id").eqNullSafe(F.col("_top"))).drop(ARRIVAL, "_top")
+    return rows.join(top, keys).where(F.col(f"{ARRIVAL}.id").eqNullSafe(F.col("_top"))).drop("_top")
 
 
 def first_arrivals(stream: DataFrame, event_time: str, keys: list[str], delay: str = "1 day") -> DataFrame:
@@ -43,42 +41,66 @@ def first_arrivals(stream: DataFrame, event_time: str, keys: list[str], delay: s
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def upsert_by_document(stream: DataFrame, target: str, checkpoint: str, bucket_count: int = 64,
-                       transform: Callable[[DataFrame], DataFrame] | None = None, available_now: bool = True, keys: tuple[str, ...] = ("doc_id",)) -> StreamingQuery:
-    """Apply `transform` to the latest arrival of every document in a micro-batch and replace the documents it touches in the Parquet table `target`.
+def upsert_by_document(stream: DataFrame, target: str, checkpoint: str, bucket_count: int = 64, available_now: bool = True,
+                       keys: tuple[str, ...] = ("doc_id",)) -> StreamingQuery:
+    """Keep each document of `stream` in its latest version in the table `target`, a log of arrivals.
 
-    Batch n writes version folder n and repeats it unchanged after a failure; readers take the highest version of a
-    document (`read_latest`). Documents are spread over hash buckets, never gathered. The rows of each batch are kept beside
-    the checkpoint: an arrival that comes in several batches is whole once the last is in, and what comes late of an older
-    arrival replaces nothing. Rows without an arrival are taken as they are.
+    Batch n appends its own rows as folder `version=n`, spread over hash buckets, and repeats it unchanged after a failure. It
+    reads nothing else: which arrival of a document counts is decided by readers (`read_latest`), so a batch costs what its
+    rows cost, however long the log is. An arrival that comes in several batches is whole once the last is in, and what comes
+    late of an older one replaces nothing. `compact` folds the log. Rows without an arrival arrive with their batch.
     """
     bucket = F.pmod(F.xxhash64(*keys), F.lit(bucket_count))
-    seen = f"{checkpoint.rstrip('/')}-rows"
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch
-        if ARRIVAL in batch.columns:
-            batch.withColumn("_bucket", bucket).write.mode("overwrite").partitionBy("_bucket").parquet(f"{seen}/_version={batch_id}")
-            known = batch.sparkSession.read.schema(batch.schema.add("_version", "long").add("_bucket", "long")).parquet(seen)
-            touched = known.where(F.col("_version") == batch_id).select("_bucket", *keys).distinct()
-            known = known.where(F.col("_version") <= batch_id).join(touched, ["_bucket", *keys], "left_semi")
-            rows = latest_arrival(known.select(*batch.columns), list(keys))
-        rows = transform(rows) if transform else rows
-        rows.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/version={batch_id}")
+        arrival = F.col(ARRIVAL) if ARRIVAL in batch.columns else F.struct(F.lit(batch_id).cast("long").alias("time"), F.lit(str(batch_id)).alias("id"))
+        batch.withColumn(ARRIVAL, arrival).withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/version={batch_id}")
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def read_latest(spark: SparkSession, target: str, keys: list[str] | None = None) -> DataFrame:
-    """Rows of the highest version of each document. Versions meet within their hash bucket; `compact` keeps them few."""
-    keys = keys or ["doc_id"]
-    rows = spark.read.parquet(target)
-    top = rows.groupBy("bucket", *keys).agg(F.max("version").alias("version"))
-    return rows.join(top, ["bucket", *keys, "version"], "left_semi").drop("version", "bucket")
+def _log(spark: SparkSession, target: str) -> tuple[int, list[int], object, object]:
+    """The last folded version (-1 if none), the finished versions behind it, and the folder's file system and path."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(target)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [f.getPath() for f in files.listStatus(path)]
+    done = {f.getName() for f in folders if files.exists(spark._jvm.org.apache.hadoop.fs.Path(f, "_SUCCESS"))}
+    numbers = lambda kind: sorted(int(n.removeprefix(kind)) for n in done if n.startswith(kind))
+    merged = max(numbers("merged="), default=-1)
+    return merged, [n for n in numbers("version=") if n > merged], files, path
+
 
+def _rows(spark: SparkSession, target: str, merged: int, versions: list[int]) -> DataFrame:
+    folders = [f"{target}/merged={merged}"] * (merged >= 0) + [f"{target}/version={n}" for n in versions]
+    first, *rest = [spark.read.parquet(f) for f in folders]
+    for more in rest:
+        first = first.unionByName(more)
+    return first
 
-def compact(spark: SparkSession, target: str, into: str, bucket_count: int = 64, keys: tuple[str, ...] = ("doc_id",)) -> None:
-    """Write the latest versions alone to a new folder, as its version -1; later batches go on from there."""
-    rows = read_latest(spark, target, list(keys))
-    rows.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(bucket_count))).write.partitionBy("bucket").parquet(f"{into}/version=-1")
+
+def read_latest(spark: SparkSession, target: str, keys: list[str] | None = None) -> DataFrame:
+    """The rows of every document's latest arrival. Arrivals meet within their hash bucket."""
+    merged, versions, _, _ = _log(spark, target)
+    return latest_arrival(_rows(spark, target, merged, versions), ["bucket", *(keys or ["doc_id"])]).drop(ARRIVAL, "bucket")
+
+
+def compact(spark: SparkSession, target: str, keys: tuple[str, ...] = ("doc_id",)) -> int:
+    """Fold the log: the latest arrivals up to the last finished version become one folder, `merged=n`, which readers take
+    from then on with the versions behind it; returns n. A running stream goes on meanwhile, and what it still gets of an
+    arrival joins the folded rows of it. The folded folders stay for readers that have begun; `forget` removes them."""
+    merged, versions, _, _ = _log(spark, target)
+    if not versions:
+        return merged
+    rows = latest_arrival(_rows(spark, target, merged, versions), ["bucket", *keys])
+    rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{target}/merged={versions[-1]}")
+    return versions[-1]
+
+
+def forget(spark: SparkSession, target: str) -> None:
+    """Remove the folders that the last `compact` has folded, once nobody reads them any more."""
+    merged, _, files, path = _log(spark, target)
+    for folder in [f.getPath() for f in files.listStatus(path)]:
+        kind, _, number = folder.getName().partition("=")
+        if number.isdigit() and (int(number) < merged or kind == "version" and int(number) == merged):
+            files.delete(folder, True)

@@ -202,8 +202,8 @@ def test_two_versions_in_one_batch(spark, tmp_path):
     continuous.upsert_by_document(continuous.document_stream(spark, source, schema), target, check).awaitTermination(120)
     want = {(1, "new"), (2, "b"), (3, "c")}
     assert {(r["doc_id"], r["v"]) for r in continuous.read_latest(spark, target).collect()} == want
-    continuous.compact(spark, target, str(tmp_path / "small"))
-    assert {(r["doc_id"], r["v"]) for r in continuous.read_latest(spark, str(tmp_path / "small")).collect()} == want
+    continuous.compact(spark, target)
+    assert {(r["doc_id"], r["v"]) for r in continuous.read_latest(spark, target).collect()} == want
 
 
 def test_a_version_is_an_arrival_over_files_and_batches(spark, tmp_path):
@@ -219,10 +219,48 @@ def test_a_version_is_an_arrival_over_files_and_batches(spark, tmp_path):
         continuous.upsert_by_document(stream, target, check).awaitTermination(120)
         got = [(r["doc_id"], r["v"]) for r in continuous.read_latest(spark, target).collect()]
         assert len(got) == 60 and set(got) == want
-    count = lambda df: df.groupBy("doc_id").agg(F.count("*").alias("n"))
-    stream = continuous.document_stream(spark, f"{source}/arrived-*", schema, files_per_trigger=4)
-    continuous.upsert_by_document(stream, str(tmp_path / "counts"), str(tmp_path / "check"), transform=count).awaitTermination(120)
-    assert {(r["doc_id"], r["n"]) for r in continuous.read_latest(spark, str(tmp_path / "counts")).collect()} == {(d, 12) for d in range(5)}
+
+
+def test_a_batch_reads_its_own_rows_and_the_log_folds(spark, tmp_path):
+    """20 arrivals of the same size, one a batch. The last ten batches read as much as the first ten, compaction keeps the latest arrival
+    of every document and no more, and an arrival that goes on after it stays whole."""
+    source, target, check, schema = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "check"), "doc_id bigint, v bigint"
+    executors = lambda: spark._jsc.sc().statusStore().executorList(False).iterator()
+
+    def read_so_far():
+        total, each = 0, executors()
+        while each.hasNext():
+            total += each.next().totalInputBytes()
+        return total
+    read = []
+    for half in (0, 10):
+        for n in range(half, half + 10):
+            spark.range(0, 500, 1, 2).selectExpr("id % 50 + 10 * (id % 3) AS doc_id", f"1000 * {n} + id AS v").coalesce(1).write.parquet(f"{source}/run={n:02d}")
+        stream, before = continuous.document_stream(spark, f"{source}/run=*", schema, files_per_trigger=1), read_so_far()
+        continuous.upsert_by_document(stream, target, check).awaitTermination(120)
+        read.append(read_so_far() - before)
+        if not half:
+            assert continuous.compact(spark, target) == 9 and continuous.compact(spark, target) == 9
+            continuous.forget(spark, target)
+    assert read[1] <= 1.2 * read[0]
+    want = {(i % 50 + 10 * (i % 3), 19000 + i) for i in range(500)}
+    latest = lambda: {(r["doc_id"], r["v"]) for r in continuous.read_latest(spark, target).collect()}
+    assert latest() == want
+    assert continuous.compact(spark, target) == 19
+    continuous.forget(spark, target)
+    assert latest() == want and spark.read.parquet(f"{target}/merged=19").count() == 500
+    assert [f.name for f in (tmp_path / "out").iterdir() if f.is_dir()] == ["merged=19"]
+
+
+def test_an_arrival_goes_on_after_compaction(spark, tmp_path):
+    source, target, schema = str(tmp_path / "in"), str(tmp_path / "out"), "doc_id bigint, run int, v string"
+    for rows in ([(1, 2, "a"), (1, 1, "old"), (2, 1, "b")], [(1, 2, "a too"), (2, 0, "late")]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        stream = continuous.document_stream(spark, source, schema, version="run")
+        continuous.upsert_by_document(stream, target, str(tmp_path / "check")).awaitTermination(120)
+        continuous.compact(spark, target)
+        continuous.forget(spark, target)
+    assert {(r["doc_id"], r["v"]) for r in continuous.read_latest(spark, target).collect()} == {(1, "a"), (1, "a too"), (2, "b")}
 
 
 def test_a_column_names_the_arrival(spark, tmp_path):
