@@ -1,10 +1,13 @@
 """Queries of page, document and file classification."""
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import classify
 from ..rules import classify as rules
+from ..session import run_folder
 from ..sources import readers
 from .registry import Inputs, query, rule_case, values
 
@@ -194,6 +197,19 @@ FILES = "SELECT o_custkey AS submission, CASE o_orderkey % 6 WHEN 0 THEN 'Acord_
 FOUND = f"SELECT DISTINCT f.submission, g.grp, f.file_name FROM ({FILES}) f JOIN {values('g', 'grp, part', GROUP_ROWS)} ON contains(lower(f.file_name), g.part)"
 
 
+# A package folder per 32nd of the pages, two kinds of files in it; a text file ends every page with a line break.
+@query("src1_package_files", """SELECT 'pkg=' || page_id % 32 AS package, CASE WHEN page_id % 3 = 0 THEN '.json' ELSE '.txt' END AS suffix, true AS sized,
+  CAST(sum(CASE WHEN page_id % 3 = 0 THEN 12 + length(CAST(page_id AS VARCHAR)) ELSE strlen(coalesce(html, '')) END + 1) AS BIGINT) AS n_bytes FROM {pages} GROUP BY ALL""")
+def _(t: Inputs):
+    folder, pages = f"{run_folder(t.spark)}/src1-{uuid.uuid4().hex}", t.table("pages").withColumn("pkg", F.col("page_id") % 32)
+    dealt = pages.repartition("pkg")
+    dealt.where("page_id % 3 <> 0").select(F.coalesce("html", F.lit("")).alias("value"), "pkg").write.partitionBy("pkg").text(f"{folder}/in/text")
+    dealt.where("page_id % 3 = 0").select("page_id", "pkg").write.partitionBy("pkg").json(f"{folder}/in/records")
+    files = readers.scan_files(t.spark, folder).where(F.startswith("file_name", F.lit("part-")))
+    return files.groupBy(F.element_at(F.split("path", "/"), -2).alias("package"), "suffix").agg(
+        F.bool_and(F.col("modified_ts").isNotNull() & (F.col("n_bytes") > 0)).alias("sized"), F.sum("n_bytes").alias("n_bytes"))
+
+
 @query("src3_find_all_files", FOUND)
 def _(t: Inputs):
     return readers.find_files(t.sql(FILES), GROUPS, ["submission"])

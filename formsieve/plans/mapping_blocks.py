@@ -103,14 +103,14 @@ def _(t: Inputs):
 
 
 # Interest blocks: the orders of a customer are the pages that name a party.
-PARTY = {"FullName": "'Bank ' || o_orderkey % 3 || CASE WHEN o_orderkey % 3 = 0 THEN ' Mortgage LLC 332 Oak Road' ELSE ' Trust Co' END", "MailingAddress_LineOne": "CASE WHEN o_orderkey % 3 = 1 THEN 'Springfield, NY 10001' ELSE 'PO Box 7' END", "MailingAddress_LineTwo": "'County ' || o_orderkey % 3"}
+PARTY = {"FullName": "'Bank ' || o_orderkey % 3 || CASE WHEN o_orderkey % 3 = 0 THEN ' Mortgage LLC 918 Heron Road' ELSE ' Trust Co' END", "MailingAddress_LineOne": "CASE WHEN o_orderkey % 3 = 1 THEN 'Springfield, NY 10001' ELSE 'PO Box 7' END", "MailingAddress_LineTwo": "'County ' || o_orderkey % 3"}
 PARTY_FLAGS = {"Interest_LossPayeeIndicator": "o_orderkey % 2 = 0", "Interest_MortgageeIndicator": "o_orderkey % 3 = 0", "CertificateRequiredIndicator": "o_orderkey % 5 = 0"}
 PARTIES = "SELECT o_custkey AS doc_id, CAST(o_orderkey AS INT) AS page_no, inline(array(" + ", ".join([f"struct('AdditionalInterest_{n}_A[0]' AS name, {v} AS v_str, CAST(NULL AS BOOLEAN) AS v_bool)" for n, v in PARTY.items()] + [
     f"struct('AdditionalInterest_{n}_A[0]' AS name, CAST(NULL AS STRING) AS v_str, {v} AS v_bool)" for n, v in PARTY_FLAGS.items()]) + ")) FROM {orders}"
 
 
 @query("map10_secured_parties", """WITH p AS (SELECT o_custkey AS doc_id, o_orderkey AS page_no, CASE o_orderkey % 3 WHEN 0 THEN 'Bank 0 Mortgage LLC' ELSE 'Bank ' || o_orderkey % 3 || ' Trust Co' END AS name, CASE WHEN o_orderkey % 3 = 0 THEN 'Mortgagee' WHEN o_orderkey % 2 = 0 THEN 'Loss Payee' END AS interest,
-  o_orderkey % 5 = 0 AS certificate, CASE WHEN o_orderkey % 3 = 0 THEN 'Oak Road' END AS street, CASE WHEN o_orderkey % 3 <> 1 THEN 'PO Box 7' END AS street2, CASE WHEN o_orderkey % 3 = 1 THEN 'Springfield' END AS city, CASE WHEN o_orderkey % 3 = 1 THEN 'NY' END AS state,
+  o_orderkey % 5 = 0 AS certificate, CASE WHEN o_orderkey % 3 = 0 THEN 'Heron Road' END AS street, CASE WHEN o_orderkey % 3 <> 1 THEN 'PO Box 7' END AS street2, CASE WHEN o_orderkey % 3 = 1 THEN 'Springfield' END AS city, CASE WHEN o_orderkey % 3 = 1 THEN 'NY' END AS state,
   CASE WHEN o_orderkey % 3 = 1 THEN '10001' END AS zip, 'County ' || o_orderkey % 3 AS county FROM {orders})
 SELECT doc_id, name, interest, arg_min(certificate, page_no) AS certificate, any_value(street) AS street, any_value(street2) AS street2, any_value(city) AS city, any_value(state) AS state, any_value(zip) AS zip, any_value(county) AS county, CAST(min(page_no) AS INT) AS first_page,
 string_agg(page_no, ',' ORDER BY page_no) AS pages FROM p GROUP BY doc_id, name, interest""")
@@ -123,12 +123,12 @@ def _(t: Inputs):
     return mapping.other_insureds(fields(t))
 
 
-HAZARDS = """SELECT l_orderkey AS doc_id, l_linenumber AS page_no, inline(array(struct('GeneralLiability_Hazard_Classification_A' AS name, CASE WHEN l_partkey % 3 = 0 THEN 'SWIMMING POOL 0 2 ' || (40000 + l_partkey % 9000) || ' T 1' ELSE 'Apartments - garden' END AS v_str),
-  struct('GeneralLiability_Hazard_Exposure_A' AS name, CASE l_partkey % 4 WHEN 0 THEN '6,010 U' WHEN 1 THEN l_suppkey || '' ELSE 'see note' END AS v_str))) FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_suppkey) AS l_suppkey FROM {lineitem} GROUP BY l_orderkey, l_linenumber)"""
+HAZARDS = """SELECT l_orderkey AS doc_id, l_linenumber AS page_no, inline(array(struct('GeneralLiability_Hazard_Classification_A' AS name, CASE WHEN l_partkey % 3 = 0 THEN 'ROOF GARDEN 1 5 ' || (40000 + l_partkey % 9000) || ' T 1' ELSE 'Apartments - garden' END AS v_str),
+  struct('GeneralLiability_Hazard_Exposure_A' AS name, CASE l_partkey % 4 WHEN 0 THEN '7,450 U' WHEN 1 THEN l_suppkey || '' ELSE 'see note' END AS v_str))) FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS l_partkey, min(l_suppkey) AS l_suppkey FROM {lineitem} GROUP BY l_orderkey, l_linenumber)"""
 
 
-@query("map12_hazards", """SELECT l_orderkey AS doc_id, l_linenumber AS page_no, '_A' AS suffix, CASE WHEN p % 3 = 0 THEN CAST(40000 + p % 9000 AS VARCHAR) ELSE 'Apartments - garden' END AS occupancy_class, CASE WHEN p % 3 = 0 THEN 'SWIMMING POOL' ELSE 'Apartments - garden' END AS description,
-CASE p % 4 WHEN 0 THEN 6010 WHEN 1 THEN s END::DOUBLE AS exposure, CASE p % 4 WHEN 0 THEN '6,010 U' WHEN 1 THEN CAST(s AS VARCHAR) ELSE 'see note' END AS exposure_raw, CASE WHEN p % 3 = 0 THEN 'SWIMMING POOL 0 2 ' || (40000 + p % 9000) || ' T 1' ELSE 'Apartments - garden' END AS class_raw
+@query("map12_hazards", """SELECT l_orderkey AS doc_id, l_linenumber AS page_no, '_A' AS suffix, CASE WHEN p % 3 = 0 THEN CAST(40000 + p % 9000 AS VARCHAR) ELSE 'Apartments - garden' END AS occupancy_class, CASE WHEN p % 3 = 0 THEN 'ROOF GARDEN' ELSE 'Apartments - garden' END AS description,
+CASE p % 4 WHEN 0 THEN 7450 WHEN 1 THEN s END::DOUBLE AS exposure, CASE p % 4 WHEN 0 THEN '7,450 U' WHEN 1 THEN CAST(s AS VARCHAR) ELSE 'see note' END AS exposure_raw, CASE WHEN p % 3 = 0 THEN 'ROOF GARDEN 1 5 ' || (40000 + p % 9000) || ' T 1' ELSE 'Apartments - garden' END AS class_raw
 FROM (SELECT l_orderkey, l_linenumber, min(l_partkey) AS p, min(l_suppkey) AS s FROM {lineitem} GROUP BY l_orderkey, l_linenumber)""")
 def _(t: Inputs):
     return mapping.hazards(t.sql(HAZARDS))

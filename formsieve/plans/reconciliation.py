@@ -89,11 +89,20 @@ def _(t: Inputs):
     return scrub.scrub_json(t.sql(RESPONSES), ["doc_id"])
 
 
-FORM = [("form_a", 0, 0, "Party_LegalEntity_LimitedLiabilityCorporationIndicator_A[0]", "/Btn"), ("form_a", 0, 1, "Bill_DirectBillIndicator_B", "/Btn"), ("form_a", 0, 2, "Name_A", "/Tx")]
-LABEL_ROWS = ["limited liability corporation", *rules.CHECKBOX_SYNONYMS["limitedliabilitycorporation"], "direct bill", "direct", *rules.CHECKBOX_CONSTANTS]
-IN_LABELS = ", ".join("'" + x.replace("'", "''") + "'" for x in LABEL_ROWS)
-# Every other page shows the form whose option labels are known.
-PAGES = "SELECT o_orderkey AS doc_id, 1 AS page_no, CASE WHEN o_orderkey % 2 = 0 THEN 'form_a' ELSE 'form_b' END AS template, CAST(o_orderkey * 0 AS INT) AS tpage FROM {orders}"
+# A form of two pages, each with its own checkboxes.
+FORM = [("form_a", 0, 0, "Party_LegalEntity_LimitedLiabilityCorporationIndicator_A[0]", "/Btn"), ("form_a", 0, 1, "Name_A", "/Tx"),
+        ("form_a", 1, 0, "Bill_DirectBillIndicator_B", "/Btn"), ("form_a", 1, 1, "Name_B", "/Tx")]
+PAGE_LABELS = [["limited liability corporation", *rules.CHECKBOX_SYNONYMS["limitedliabilitycorporation"], *rules.CHECKBOX_CONSTANTS],
+               ["direct bill", "direct", *rules.CHECKBOX_CONSTANTS]]
+# Every other page shows a page of the form whose option labels are known.
+TPAGE = "CAST(floor({doc} / 4) AS BIGINT) % 2"
+PAGES = f"SELECT o_orderkey AS doc_id, 1 AS page_no, CASE WHEN o_orderkey % 2 = 0 THEN 'form_a' ELSE 'form_b' END AS template, CAST({TPAGE.format(doc='o_orderkey')} AS INT) AS tpage FROM {{orders}}"
+
+
+def is_option(doc: str, value: str) -> str:
+    """SQL: `value` is an option label of the page that `doc` shows."""
+    listed = [", ".join("'" + x.replace("'", "''") + "'" for x in page) for page in PAGE_LABELS]
+    return f"({doc} % 2 = 0 AND (" + " OR ".join(f"{TPAGE.format(doc=doc)} = {n} AND {value} IN ({x})" for n, x in enumerate(listed)) + "))"
 
 
 def form(t: Inputs):
@@ -116,7 +125,7 @@ def _(t: Inputs):
 EMPTY_MEMBERS = " UNION ALL SELECT o_orderkey, 'vlm_empty_none', NULL FROM {orders} UNION ALL SELECT o_orderkey, 'vlm_empty_list', '[]' FROM {orders}"
 
 
-@query("flt6_drop_option_labels", f"WITH {CAND} SELECT doc_id, name, value FROM c WHERE NOT (vtype = 'string' AND doc_id % 2 = 0 AND {NORM('value')} IN ({IN_LABELS})){EMPTY_MEMBERS}")
+@query("flt6_drop_option_labels", f"WITH {CAND} SELECT doc_id, name, value FROM c WHERE NOT (vtype = 'string' AND {is_option('doc_id', NORM('value'))}){EMPTY_MEMBERS}")
 def _(t: Inputs):
     cands = reconcile.candidates(t.sql(RESPONSES))
     return scrub.drop_option_labels(cands, t.sql(PAGES), scrub.checkbox_labels(form(t))).select("doc_id", "name", "value")
@@ -152,7 +161,7 @@ def _(t: Inputs):
 # Short values of the test are plain words, so whether an earlier one was itself dropped makes no difference here.
 FILLS = f"""{CAND}, f AS ({FIELDS}), pk AS (SELECT doc_id, v_str FROM f WHERE v_str IS NOT NULL AND NOT {LABEL('v_str')}),
 s AS (SELECT doc_id, n, name, CASE WHEN vtype = 'o' THEN '{{"z":' || (doc_id * 0 + CAST(regexp_extract(value, 'z":(\\d+)', 1) AS BIGINT)) || '}}' ELSE value END AS value, vtype, CASE WHEN vtype <> 'o' THEN {NORM('value')} END AS norm FROM c
-  WHERE NOT (vtype = 'string' AND {GARBAGE('value')}) AND NOT (branch = 'array' AND vtype = 'string' AND value IN ('0', '0.0', '$0.00')) AND NOT (vtype = 'string' AND doc_id % 2 = 0 AND {NORM('value')} IN ({IN_LABELS}))),
+  WHERE NOT (vtype = 'string' AND {GARBAGE('value')}) AND NOT (branch = 'array' AND vtype = 'string' AND value IN ('0', '0.0', '$0.00')) AND NOT (vtype = 'string' AND {is_option('doc_id', NORM('value'))})),
 fills AS (SELECT s.* FROM s WHERE NOT EXISTS (SELECT 1 FROM pk WHERE pk.doc_id = s.doc_id AND {NORM('pk.v_str')} = s.norm)
   AND NOT (coalesce(length(s.norm) BETWEEN 1 AND 3, false) AND (EXISTS (SELECT 1 FROM pk WHERE pk.doc_id = s.doc_id AND regexp_matches(lower(pk.v_str), '\\b' || s.norm || '\\b'))
     OR EXISTS (SELECT 1 FROM s e WHERE e.doc_id = s.doc_id AND e.n < s.n AND e.vtype = 'string' AND regexp_matches(lower(e.value), '\\b' || s.norm || '\\b')))))"""
@@ -247,7 +256,7 @@ def _(t: Inputs):
     return reconcile.compare_runs(t.sql(RUN_A), t.sql(RUN_B))
 
 
-INSPECT = [("form_a", 0, i, n, k) for i, (n, k) in enumerate([("Amount_A[0]", "/Tx"), ("Status_A", "/Tx"), ("Question_A", "/Tx"), ("Priority_A", "/Tx"), ("Check_AgencyIndicator_A", "/Btn"), ("Missing_A", "/Tx")])]
+INSPECT = [("form_a", i % 2, i, n, k) for i, (n, k) in enumerate([("Amount_A[0]", "/Tx"), ("Status_A", "/Tx"), ("Question_A", "/Tx"), ("Priority_A", "/Tx"), ("Check_AgencyIndicator_A", "/Btn"), ("Missing_A", "/Tx")])]
 
 
 @query("rec10_inspector", f"""WITH f AS ({FIELDS}), m AS ({PAGES}), i AS (SELECT m.doc_id, m.page_no, x.name, x.ftype AS kind FROM m JOIN {values('x', 'template, tpage, ord, name, ftype', INSPECT)} ON m.template = x.template AND m.tpage = x.tpage)

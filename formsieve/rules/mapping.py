@@ -1,29 +1,27 @@
 """Fixed values of the canonical mapping: field names by priority, patterns and labels."""
 
-A = "APPLICANT_INFORMATION_0"
-
 # target -> (exact names in order, then keyword groups in order; a group needs all its keywords in the field name).
 PICKS = {
     "box_name": (["NamedInsured_FullName_A[0]", "NamedInsured_FullName_B[0]"], []),
-    "model_name": ([f"vlm_{A}_full_name", "vlm_NamedInsured_FullName_A"],
+    "model_name": (["vlm_APPLICANT_INFORMATION_0_full_name", "vlm_NamedInsured_FullName_A"],
                    [("vlm_", "applicant", "full_name"), ("vlm_", "applicant", "name"), ("vlm_", "namedinsured", "full"),
                     ("vlm_", "named_insured", "name"), ("vlm_", "insured", "name")]),
     "naics": (["NamedInsured_NAICSCode_A[0]"], []),
     "sic": (["NamedInsured_SICCode_A[0]"], []),
     "fein": (["NamedInsured_FEINOrSocSecNumberIdentifier_A[0]"], []),
     "phone": (["NamedInsured_BusinessPhoneNumber_A[0]", "NamedInsured_Primary_PhoneNumber_A[0]",
-               "NamedInsured_BusinessNumberContactPoint_A[0]", f"vlm_{A}_business_phone"], []),
-    "website": (["NamedInsured_WebsiteAddressUrl_A[0]", "NamedInsured_Primary_WebsiteAddress_A[0]", f"vlm_{A}_website_address"], []),
-    "street": ([f"vlm_{A}_address_line1", "vlm_applicant_address_line1", f"vlm_{A}_street",
+               "NamedInsured_BusinessNumberContactPoint_A[0]", "vlm_APPLICANT_INFORMATION_0_business_phone"], []),
+    "website": (["NamedInsured_WebsiteAddressUrl_A[0]", "NamedInsured_Primary_WebsiteAddress_A[0]", "vlm_APPLICANT_INFORMATION_0_website_address"], []),
+    "street": (["vlm_APPLICANT_INFORMATION_0_address_line1", "vlm_applicant_address_line1", "vlm_APPLICANT_INFORMATION_0_street",
                 "NamedInsured_AddressLine_StreetName_A[0]"], []),
-    "city": (["NamedInsured_AddressLine_CityName_A[0]", f"vlm_{A}_city"], []),
-    "state": (["NamedInsured_AddressLine_StateOrProvinceCode_A[0]", f"vlm_{A}_state"], []),
-    "zip": (["NamedInsured_AddressLine_PostalCode_A[0]", f"vlm_{A}_zip"], []),
-    "combined_address": (["vlm_applicant_address", f"vlm_{A}_full_address", f"vlm_{A}_address"],
+    "city": (["NamedInsured_AddressLine_CityName_A[0]", "vlm_APPLICANT_INFORMATION_0_city"], []),
+    "state": (["NamedInsured_AddressLine_StateOrProvinceCode_A[0]", "vlm_APPLICANT_INFORMATION_0_state"], []),
+    "zip": (["NamedInsured_AddressLine_PostalCode_A[0]", "vlm_APPLICANT_INFORMATION_0_zip"], []),
+    "combined_address": (["vlm_applicant_address", "vlm_APPLICANT_INFORMATION_0_full_address", "vlm_APPLICANT_INFORMATION_0_address"],
                          [("vlm_", "applicant", "mailing_address"), ("vlm_", "applicant", "address"),
                           ("vlm_", "namedinsured", "address"), ("vlm_", "named_insured", "address"), ("vlm_", "insured", "address")]),
     "city_line": (["NamedInsured_MailingAddress_LineOne_A[0]", "NamedInsured_MailingAddress_LineTwo_A[0]",
-                   f"vlm_{A}_city_state_zip"], []),
+                   "vlm_APPLICANT_INFORMATION_0_city_state_zip"], []),
     "line_one": (["NamedInsured_MailingAddress_LineOne_A[0]"], []),
     "box_agent": (["Producer_FullName_A[0]"], []),
     "model_agent": (["vlm_HEADER_agency_name", "vlm_AGENCY"],
@@ -69,10 +67,10 @@ ENTITY_SUFFIXES = [
 ]
 ENTITY_DEFAULT = "Other"
 
-STREET_WORDS = (r"(?:Ave|Avenue|Street|St|Rd|Road|Blvd|Boulevard|Drive|Dr|Lane|Ln|Way|Circle|Cir|Court|Ct|Place|Pl|Highway|Hwy|"
-                r"Parkway|Pkwy")
-NAME_BEFORE_ADDRESS = r"(?i)^(.*?)\s+\d+\s+[NSEW]?\s*\w+\s+" + STREET_WORDS + r"|Suite|Ste)"
-STREET_IN_NAME = r"(?i)\b(\d+\s+[NSEW]?\s*[A-Z][a-zA-Z .'-]+\s+" + STREET_WORDS + r")(?:\s+(?:Suite|Ste)\s+\d+)?)"
+NAME_BEFORE_ADDRESS = (r"(?i)^(.*?)\s+\d+\s+[NSEW]?\s*\w+\s+(?:Ave|Avenue|Street|St|Rd|Road|Blvd|Boulevard|Drive|Dr|Lane|Ln|Way|Circle|Cir|Court|Ct|"
+                       r"Place|Pl|Highway|Hwy|Parkway|Pkwy|Suite|Ste)")
+STREET_IN_NAME = (r"(?i)\b(\d+\s+[NSEW]?\s*[A-Z][a-zA-Z .'-]+\s+(?:Ave|Avenue|Street|St|Rd|Road|Blvd|Boulevard|Drive|Dr|Lane|Ln|Way|Circle|Cir|"
+                  r"Court|Ct|Place|Pl|Highway|Hwy|Parkway|Pkwy)(?:\s+(?:Suite|Ste)\s+\d+)?)")
 CITY_LINE = r"^([A-Za-z\s.]+),\s*([A-Z]{2})\s+(\d{5}(?:-\d{4})?)"
 SUITE_WORDS = ["suite", "ste", "unit", "apt"]
 

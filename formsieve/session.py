@@ -1,7 +1,6 @@
 """Session settings the operators rely on, and the one place that cuts lineage."""
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,15 +41,10 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """The shared folder the cluster names in spark.checkpoint.dir. Only a local master, which has no other machines, may
-    leave it unset; it then gets a folder of its own for this process."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local["):
+    """The shared folder the cluster names in spark.checkpoint.dir, or the one its driver has set with setCheckpointDir."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="formsieve-")
-    spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
