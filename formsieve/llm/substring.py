@@ -115,11 +115,11 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 def _scan(window: int):
     """Per document: number of words, 128-bit hash of the word sequence, SHA-256 of all words, and its runs."""
-    schema = pa.schema([("id", pa.int64()), ("n_words", pa.int64()), ("seq", pa.int64()), ("seq2", pa.int64()), ("whole", pa.string()),
+    schema = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("n_words", pa.int64()), ("seq", pa.int64()), ("seq2", pa.int64()), ("whole", pa.string()),
                         ("anchor", pa.list_(pa.int64())), ("run", pa.list_(pa.int64())), ("first", pa.list_(pa.int32())),
                         ("size", pa.list_(pa.int32()))])
 
-    def rows(ids: list, hashes: list[np.ndarray], digests: list[str]) -> pa.RecordBatch:
+    def rows(ids: list, keys: list, hashes: list[np.ndarray], digests: list[str]) -> pa.RecordBatch:
         lengths = np.array([len(h) for h in hashes], np.int64)
         bounds = np.cumsum(lengths)
         base = bounds - lengths
@@ -130,20 +130,21 @@ def _scan(window: int):
         seqs = [_signed(mixed(Rolling(words, _POWERS[b])(base, bounds) ^ lengths.astype(np.uint64))) for b in (TEXT_BASE, WINDOW_BASE)]
         nested = [pa.ListArray.from_arrays(offsets, x) for x in (
             _signed(anchor), _signed(run), pa.array((start - base[owner]).astype(np.int32)), pa.array(count.astype(np.int32)))]
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(lengths), *seqs, pa.array(digests), *nested], schema=schema)
+        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.int64()), pa.array(lengths), *seqs, pa.array(digests), *nested], schema=schema)
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids, hashes, digests, held = [], [], [], 0
-        for key, text in zip(batch.column(0).to_pylist(), texts(batch.column(1))):
-            ids.append(key)
+        ids, keys, hashes, digests, held = [], [], [], [], 0
+        for own, key, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), texts(batch.column(1))):
+            ids.append(own)
+            keys.append(key)
             hashes.append(word_hashes(text or b""))
             digests.append(kept_digest(text or b"", None))
             held += len(hashes[-1])
             if held >= TILE:
-                yield rows(ids, hashes, digests)
-                ids, hashes, digests, held = [], [], [], 0
+                yield rows(ids, keys, hashes, digests)
+                ids, keys, hashes, digests, held = [], [], [], [], 0
         if ids:
-            yield rows(ids, hashes, digests)
+            yield rows(ids, keys, hashes, digests)
     return work
 
 
@@ -215,14 +216,15 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     so copies never take part further. A null text has no words. Rows that share an id do not remove from each other; a null
     id counts as larger than any other and is equal to itself. Repeated rows give repeated results, no rows give none.
     """
-    keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
+    keyed = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"),
+                        F.xxhash64(F.col(text_col).cast("string")).alias("key"))
     scanned = materialize(keyed.mapInArrow(
-        batches(_scan(window)), "id long, n_words long, seq long, seq2 long, whole string, anchor array<long>, run array<long>, first array<int>, size array<int>"))
+        batches(_scan(window)), "id long, key long, n_words long, seq long, seq2 long, whole string, anchor array<long>, run array<long>, first array<int>, size array<int>"))
     classes = materialize(scanned.groupBy("seq", "seq2").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("n")))
 
     shared = classes.where("n > 1").select("seq", "seq2", "least")
     firsts = scanned.where(F.size("anchor") > 0).join(shared, ["seq", "seq2"], "left").where("least is null or id = least")
-    runs = firsts.select("id", "seq", F.inline(F.arrays_zip("anchor", "run", "first", "size")))
+    runs = firsts.select("id", "key", "seq", F.inline(F.arrays_zip("anchor", "run", "first", "size")))
     # Level one: anchors in two documents. Level two: whole runs, then single windows of what differs.
     repeated = materialize(runs.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("anchor"))
     alive = materialize(runs.join(repeated, "anchor"))
@@ -230,7 +232,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     open_anchor = materialize(same.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor", F.lit(True).alias("open")))
     settled = materialize(same.join(open_anchor, "anchor", "left").select("anchor", "run", "least", "open"))
     judged = alive.join(settled, ["anchor", "run"]).where("id > least or open")
-    lists = judged.groupBy("id", "seq").agg(
+    lists = judged.groupBy("id", "key", "seq").agg(
         F.collect_set(F.when(F.col("id") > F.col("least"), F.struct("first", "size"))).alias("cut"),
         F.collect_set(F.when(F.col("id") == F.col("least"), F.struct("first", "size", "anchor"))).alias("edges"))
     held = materialize(_with_text(keyed, lists))
@@ -253,7 +255,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def _with_text(keyed: DataFrame, lists: DataFrame) -> DataFrame:
-    """The texts that `lists` (id, seq, ..) speaks of; where several rows share an id, the word sequence tells them apart."""
+    """The texts that `lists` (id, seq, ..) speaks of; rows that share an id are told apart by the hash of
+    their text, and by the word sequence should that be equal."""
     def pick(batch: pa.RecordBatch) -> pa.RecordBatch:
         names = batch.schema.names
         seqs, right, counts = batch.column(names.index("seq")).to_pylist(), [], []
@@ -266,6 +269,6 @@ def _with_text(keyed: DataFrame, lists: DataFrame) -> DataFrame:
         columns = [batch.column(i) for i in range(batch.num_columns)] + [pa.array(counts, pa.int64())]
         return pa.RecordBatch.from_arrays(columns, names=[*names, "n_words"]).filter(pa.array(right))
 
-    joined = keyed.join(lists, "id").select("id", "seq", "cut", "edges", "text")
+    joined = keyed.join(lists, ["id", "key"]).select("id", "seq", "cut", "edges", "text")
     kinds = "id long, seq long, cut array<struct<first:int,size:int>>, edges array<struct<first:int,size:int,anchor:long>>, text string, n_words long"
     return joined.mapInArrow(batches(pick), kinds)

@@ -28,6 +28,8 @@ from .common import folder_for, local_path, lower_ascii, materialize, texts
 MAGIC = b"EFTOK1\0\0"
 HEADER = 8
 SAMPLE = 256
+#: Documents that are read in one piece.
+READ = 512
 #: Words whose ids a worker remembers (some 300 bytes each), and words per call of the tokenizer.
 REMEMBER, CALL = 600_000, 20_000
 #: Signs of which the tokenizer has to know one as a token of its own; it stands between words that are encoded together.
@@ -300,7 +302,7 @@ def _write(folder: str, tokenizer: str, end_id: int, width: int, limit: int):
                 out.write(shard_bytes(ids, [len(a) for a in arrays], width))
                 for a in arrays:
                     out.write(a.astype(kind).tobytes())
-            return pa.RecordBatch.from_pydict({"shard": [partition * 10_000 + part], "file": [name], "n_docs": [len(ids)], "n_tokens": [total]})
+            return pa.RecordBatch.from_pydict({"shard": [(partition << 32) + part], "file": [name], "n_docs": [len(ids)], "n_tokens": [total]})
 
         for batch in stream:
             for key, array in zip(batch.column(0).to_pylist(), encode.encode(texts(batch.column(1)), end_id)):
@@ -330,8 +332,17 @@ class Shard:
         self.names, _ = EliasFano.from_bytes(rest, at, named, id_low)
         self.lowest = np.uint64(lowest)
 
-    def doc_ids(self) -> list[int | None]:
-        return [None] * self.nulls + (self.names.values() + self.lowest).astype(np.int64).tolist()
+    def doc_ids(self, first: int = 0, last: int | None = None) -> list[int | None]:
+        last = self.n_docs if last is None else last
+        named = self.names.values(max(first - self.nulls, 0), max(last - self.nulls, 0)) + self.lowest
+        return [None] * (min(last, self.nulls) - min(first, self.nulls)) + named.astype(np.int64).tolist()
+
+    def block(self, first: int, last: int) -> tuple[list[int | None], np.ndarray, list[int]]:
+        """Ids, boundaries (one more) and checksums of the documents first to last - 1; what they hold is read in one piece."""
+        begin, end = self.bounds.select(first - 1) if first else 0, self.bounds.select(last - 1)
+        bounds = np.concatenate(([begin], self.bounds.values(first, last).astype(np.int64)))
+        held = memoryview(self.tokens(begin, end).astype("<u4").tobytes())
+        return self.doc_ids(first, last), bounds, [zlib.crc32(held[4 * (a - begin):4 * (b - begin)]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
 
     def ends(self) -> np.ndarray:
         return self.bounds.values().astype(np.int64)
@@ -364,7 +375,7 @@ def encode(docs: DataFrame, tokenizer: str, end_id: int, vocabulary: int, id_col
 
 def with_starts(files: DataFrame) -> DataFrame:
     """Running token counts over the files, through blocks of 1024 partitions: the one window over all holds a row a block."""
-    marked = files.withColumn("block", F.floor(F.col("shard") / 10_000 / 1024))
+    marked = files.withColumn("block", F.shiftright("shard", 32 + 10))
     upto = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     base = marked.groupBy("block").agg(F.sum("n_tokens").alias("t")).select("block", F.coalesce(F.sum("t").over(upto), F.lit(0)).alias("base"))
     before = Window.partitionBy("block").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -373,7 +384,9 @@ def with_starts(files: DataFrame) -> DataFrame:
 
 
 def read_back(manifest: DataFrame) -> DataFrame:
-    """(id, start, n_tokens, crc32) of every document, decoded from the files of a manifest."""
+    """(id, start, n_tokens, crc32) of every document, decoded from the files of a manifest, block by block: two selects find
+    where a block's ids begin and end, so a file is never decoded whole. A null id is null again, a document written twice is
+    read twice; no files give no rows, and other columns of the manifest are ignored."""
     schema = pa.schema([("id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("crc32", pa.int64())])
 
     def run(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -382,13 +395,10 @@ def read_back(manifest: DataFrame) -> DataFrame:
                 store, path = local_path(name)
                 with store.open_input_file(path) as source:
                     shard = Shard(source)
-                    ids, ends = shard.doc_ids(), shard.ends()
-                    starts = np.concatenate(([0], ends[:-1]))
-                    for first in range(0, len(ids), 4096):
-                        last = min(first + 4096, len(ids))
-                        crcs = [zlib.crc32(shard.tokens(int(a), int(b)).astype("<u4").tobytes()) for a, b in zip(starts[first:last], ends[first:last])]
-                        yield pa.RecordBatch.from_arrays([pa.array(ids[first:last], pa.int64()), pa.array(starts[first:last] + base),
-                                                          pa.array(ends[first:last] - starts[first:last]), pa.array(crcs, pa.int64())], schema=schema)
+                    for first in range(0, shard.n_docs, READ):
+                        ids, starts, crcs = shard.block(first, min(first + READ, shard.n_docs))
+                        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(starts[:-1] + base), pa.array(np.diff(starts)),
+                                                          pa.array(crcs, pa.int64())], schema=schema)
 
     files = manifest.select("file", "start")
     tasks = max(1, min(files.count(), 4 * files.sparkSession.sparkContext.defaultParallelism))  # a row here is a file's work: not to be coalesced

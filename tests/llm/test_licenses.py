@@ -56,3 +56,11 @@ def test_spans_and_score(spark):
     assert ("mit", 1, 5, 1) in [tuple(s) for s in one.spans]
     assert rows[(1, 0)].labels == "" and rows[(1, 0)].score == 0 and rows[(None, 2)].score == 1 and rows[(None, 2)].first_word == 0
     assert licenses.scan(df.where(F.lit(False))).count() == 0
+
+
+def test_a_text_of_one_notice_thousands_of_times():
+    import time
+    text, searcher = b"mit license " * 90_000, licenses.Searcher(licenses.NOTICES, licenses.BASE)
+    start = time.time()
+    n_words, n_base, first, last, *_ = searcher.scan(text)
+    assert (n_words, n_base, first, last) == (180_000, 90_000, 0, 179_998) and time.time() - start < 10

@@ -64,3 +64,18 @@ def test_tiles_of_long_texts_change_nothing(spark):
 
 def test_empty_table(spark):
     assert run(spark, [], 50) == []
+
+
+def test_rows_without_an_id_meet_their_own_text_only(spark, monkeypatch):
+    """400 rows that share the null id and a passage."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(None, f"{passage} {' '.join(f'r{n}x{i}' for i in range(20))}") for n in range(400)] + [(1, passage + " end")]
+    met, text_of = [], substring._with_text
+
+    def counted(keyed, lists):
+        met.append(keyed.join(lists, ["id", "key"]).count())
+        return text_of(keyed, lists)
+    monkeypatch.setattr(substring, "_with_text", counted)
+    got = substring.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((r.id is None, r.n_removed) for r in got.collect()) == [(False, 0)] + [(True, 60)] * 400
+    assert met[0] <= 401

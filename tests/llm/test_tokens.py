@@ -62,5 +62,21 @@ def test_files(spark):
         import pyarrow as pa
         shard = tokens.Shard(pa.PythonFile(raw))
         ends = shard.ends().tolist()
+        for first, last in ((0, 1), (1, shard.n_docs), (shard.n_docs // 2, shard.n_docs)):
+            own, bounds, crcs = shard.block(first, last)
+            assert own == shard.doc_ids()[first:last] and bounds.tolist() == [0, *ends][first:last + 1]
+            assert crcs == [zlib.crc32(shard.document(i).astype("<u4").tobytes()) for i in range(first, last)]
         assert [len(shard.document(i)) for i in range(shard.n_docs)] == [b - a for a, b in zip([0, *ends], ends)]
     assert tokens.read_back(tokens.encode(df.where(F.lit(False)), PATH, 2, 49_408)).count() == 0
+
+
+def test_starts_over_any_number_of_files_of_a_partition(spark):
+    """Files of a partition come before those of the next one, however many there are."""
+    numbers = [(p << 32) + n for p in (0, 1, 1500) for n in range(12_000 if p == 1 else 3)]
+    files = with_starts_of(spark, numbers)
+    assert [r.shard for r in files] == numbers and [r.start for r in files] == list(range(0, 2 * len(numbers), 2))
+
+
+def with_starts_of(spark, numbers):
+    rows = spark.createDataFrame([(n, f"f{n}", 1, 2) for n in numbers], "shard long, file string, n_docs long, n_tokens long")
+    return tokens.with_starts(rows).orderBy("shard").collect()
