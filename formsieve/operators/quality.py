@@ -9,6 +9,7 @@ from ..rules import coverage as rules
 from . import leaves
 
 PAGE = ["doc_id", "page_no"]
+ITEM = "\x00item\x00"
 
 
 def is_populated(value: Column | str, vtype: Column | str) -> Column:
@@ -19,14 +20,13 @@ def is_populated(value: Column | str, vtype: Column | str) -> Column:
 
 def _address(steps: Column) -> Column:
     """struct(section, item, field) of a node; NULL for nodes that are not a field of a section or of one of its items."""
-    k = lambda i: F.get(steps, F.lit(i))
-    def field(start: int) -> Column:
-        return F.array_join(F.transform(F.slice(steps, start + 1, F.greatest(F.size(steps) - start, F.lit(0))), lambda s: s["key"]), ".")
-    def keys_only(start: int) -> Column:
-        return (F.size(steps) > start) & ~F.exists(F.slice(steps, start + 1, F.greatest(F.size(steps) - start, F.lit(0))), lambda s: s["key"].isNull())
+    names, k = steps["key"], lambda i: F.get(steps, F.lit(i))
+    # Where a list item stands in the path, the field has a mark that no key has.
+    field = lambda start: F.array_join(F.slice(names, start + 1, F.greatest(F.size(names) - start, F.lit(0))), ".", ITEM)
+    keys_only = lambda start: (F.size(names) > start) & ~F.contains(field(start), F.lit(ITEM))
     named = F.concat(k(0)["key"], F.lit("[]"))
     nested = F.concat(k(2)["key"], F.lit("[]"))
-    pack = lambda s, i, f: F.struct(s.alias("section"), i.alias("item"), f.alias("field"))
+    pack = lambda s, i, f: F.struct(s.alias("section"), i.alias("item"), f.alias("field"))
     out = F.when(keys_only(1) & k(0)["key"].isNotNull(), pack(k(0)["key"], F.lit(""), field(1)))
     out = out.when(k(0)["key"].isNotNull() & k(1)["idx"].isNotNull() & keys_only(2), pack(named, k(1)["idx"].cast("string"), field(2)))
     for section, parent in rules.NESTED_IN.items():
@@ -38,29 +38,35 @@ def _address(steps: Column) -> Column:
 def field_presence(records: DataFrame, keys: list[str], json: str = "content") -> DataFrame:
     """(keys, section, item, field, populated) of nested submission records."""
     nodes = leaves.flatten(records, keys, json, containers=True)
-    return nodes.select(*keys, _address(F.col("steps")).alias("a"), is_populated("value", "vtype").alias("populated")).where(
-        "a IS NOT NULL").select(*keys, "a.section", "a.item", "a.field", "populated")
+    # A generator, not a filter: the address is worked out once.
+    return nodes.select(*keys, is_populated("value", "vtype").alias("populated"), F.inline(F.array_compact(F.array(_address(F.col("steps")))))).select(
+        *keys, "section", "item", "field", "populated")
 
 
 def coverage(presence: DataFrame, documents: DataFrame, keys: list[str], schema_fields: list[tuple[str, str, str]] | None = None) -> DataFrame:
     """(keys, section, field, tier, n_items, populated, mark): every schema field of every document.
 
-    One aggregation per document counts all fields and the items of list sections; the rows of the fields are then laid out
-    where the document is. mark: all, some, none.
+    A leaf looks its field up in the schema and says at most two things: that the field is populated, and that its list has
+    this item. These facts are counted by (document, number), in the task that walked the record first, and only then is
+    every field laid out per document. mark: all, some, none.
     """
     schema = schema_fields or rules.SCHEMA_FIELDS
-    lists = {s for s, _, _ in schema if s.endswith("[]")}
-    has = lambda s, f: F.count_if((F.col("section") == s) & (F.col("field") == f) & F.col("populated"))
-    counts = presence.groupBy(*keys).agg(
-        F.collect_set(F.when((F.col("item") != "") & F.col("section").isin(*lists), F.struct("section", "item"))).alias("_items"),
-        *[has(s, f).alias(f"_c{i}") for i, (s, f, _) in enumerate(schema)])
-    items = lambda s: F.coalesce(F.size(F.filter("_items", lambda x: x["section"] == s)), F.lit(0)).cast("bigint") if s in lists else F.lit(1).cast("bigint")
-    sized = documents.select(*keys).join(counts, keys, "left").select(
-        *keys, *[f"_c{i}" for i in range(len(schema))], *[items(s).alias(f"_n{n}") for n, s in enumerate(sorted(lists))])
-    place = {s: F.col(f"_n{n}") for n, s in enumerate(sorted(lists))}
-    rows = sized.select(*keys, F.inline(F.array(*[F.struct(
-        F.lit(s).alias("section"), F.lit(f).alias("field"), F.lit(t).alias("tier"), place.get(s, F.lit(1).cast("bigint")).alias("n_items"),
-        F.coalesce(f"_c{i}", F.lit(0)).cast("bigint").alias("populated")) for i, (s, f, t) in enumerate(schema)])))
+    lists = sorted({s for s, _, _ in schema if s.endswith("[]")})
+    numbers = presence.sparkSession.createDataFrame([(s, f, i) for i, (s, f, _) in enumerate(schema)], "section string, field string, number int")
+    known = presence.join(F.broadcast(numbers), ["section", "field"], "left")  # as many rows as the schema has fields
+    listed = F.when(F.col("item") != "", F.array_position(F.array(*map(F.lit, lists)), F.col("section")))
+    facts = F.array(F.when(F.col("populated"), F.struct("number", F.lit("").alias("item"))),
+                    F.when(listed > 0, F.struct((-listed).cast("int").alias("number"), "item")))
+    said = known.select(*keys, F.explode(facts).alias("fact")).select(*keys, "fact.number", "fact.item").where("number IS NOT NULL")
+    once = said.groupBy(*keys, "number", "item").agg(F.count(F.lit(1)).alias("n"))
+    counts = once.groupBy(*keys, "number").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("items"))
+    found = counts.groupBy(*keys).agg(F.map_from_entries(F.collect_list(
+        F.struct("number", F.when(F.col("number") < 0, F.col("items")).otherwise(F.col("n")).alias("n")))).alias("_m"))
+    of = lambda number: F.coalesce(F.try_element_at("_m", F.lit(number)), F.lit(0)).cast("bigint")
+    rows = documents.select(*keys).join(found, keys, "left").select(*keys, F.inline(F.array(*[F.struct(
+        F.lit(s).alias("section"), F.lit(f).alias("field"), F.lit(t).alias("tier"),
+        (of(-1 - lists.index(s)) if s in lists else F.lit(1).cast("bigint")).alias("n_items"), of(i).alias("populated"))
+        for i, (s, f, t) in enumerate(schema)])))
     mark = F.when((F.col("n_items") > 0) & (F.col("populated") == F.col("n_items")), "all").when(F.col("populated") > 0, "some").otherwise("none")
     return rows.withColumn("mark", mark)
 

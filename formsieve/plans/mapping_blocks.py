@@ -204,7 +204,7 @@ cov AS (SELECT o.doc_id, s.section, s.field, s.tier, CASE WHEN NOT ends_with(s.s
 
 
 def coverage(t: Inputs):
-    records = t.sql(RECORDS)
+    records = t.dealt(RECORDS)
     return quality.coverage(quality.field_presence(records, ["doc_id"]), records, ["doc_id"])
 
 

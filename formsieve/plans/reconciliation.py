@@ -78,7 +78,7 @@ def _(t: Inputs):
 
 @query("flt3_template_garbage", f"WITH {CAND} SELECT doc_id, name, value FROM c WHERE vtype = 'string' AND {GARBAGE('value')}")
 def _(t: Inputs):
-    cands = reconcile.candidates(t.sql(RESPONSES))
+    cands = reconcile.candidates(t.dealt(RESPONSES))
     return cands.where((F.col("vtype") == "string") & scrub.is_garbage("value")).select("doc_id", "name", "value")
 
 
@@ -86,7 +86,7 @@ def _(t: Inputs):
   || '}},"rows":[{{"code":' || {_j(5)} || ',"zero":' || {_j(6)} || ',"n":' || {_j(7)} || ',"cust":' || {_j(8)} || '}},"stray",{{"code":' || {_j(9)} || '}}],"kind":' || {_j(10)} || ',"flag":' || {_j(11)}
   || ',"tags":["a","b"],"deep":{{"x":{{"z":' || o_custkey || '}}}}}}' AS content FROM {{orders}}""")
 def _(t: Inputs):
-    return scrub.scrub_json(t.sql(RESPONSES), ["doc_id"])
+    return scrub.scrub_json(t.dealt(RESPONSES), ["doc_id"])
 
 
 # A form of two pages, each with its own checkboxes.
@@ -127,7 +127,7 @@ EMPTY_MEMBERS = " UNION ALL SELECT o_orderkey, 'vlm_empty_none', NULL FROM {orde
 
 @query("flt6_drop_option_labels", f"WITH {CAND} SELECT doc_id, name, value FROM c WHERE NOT (vtype = 'string' AND {is_option('doc_id', NORM('value'))}){EMPTY_MEMBERS}")
 def _(t: Inputs):
-    cands = reconcile.candidates(t.sql(RESPONSES))
+    cands = reconcile.candidates(t.dealt(RESPONSES))
     return scrub.drop_option_labels(cands, t.sql(PAGES), scrub.checkbox_labels(form(t))).select("doc_id", "name", "value")
 
 
@@ -155,7 +155,7 @@ def _(t: Inputs):
 @query("rec2_model_candidates", f"""WITH {CAND} SELECT doc_id, name, tooltip, value, vtype, branch FROM c
 UNION ALL SELECT o_orderkey, 'vlm_empty_none', 'empty.none', NULL, 'null', 'object' FROM {{orders}} UNION ALL SELECT o_orderkey, 'vlm_empty_list', 'empty.list', '[]', 'array', 'object' FROM {{orders}}""")
 def _(t: Inputs):
-    return reconcile.candidates(t.sql(RESPONSES)).select("doc_id", "name", "tooltip", "value", "vtype", "branch")
+    return reconcile.candidates(t.dealt(RESPONSES)).select("doc_id", "name", "tooltip", "value", "vtype", "branch")
 
 
 # Short values of the test are plain words, so whether an earlier one was itself dropped makes no difference here.
@@ -170,7 +170,7 @@ fills AS (SELECT s.* FROM s WHERE NOT EXISTS (SELECT 1 FROM pk WHERE pk.doc_id =
 @query("rec3_gap_fills", f"WITH {FILLS} SELECT doc_id, name, value, vtype FROM fills")
 def _(t: Inputs):
     kept, _ = reconcile.split_primary(t.sql(FIELDS))
-    clean = scrub.drop_option_labels(reconcile.scrub_candidates(reconcile.candidates(t.sql(RESPONSES))), t.sql(PAGES), scrub.checkbox_labels(form(t)))
+    clean = scrub.drop_option_labels(reconcile.scrub_candidates(reconcile.candidates(t.dealt(RESPONSES))), t.sql(PAGES), scrub.checkbox_labels(form(t)))
     return reconcile.gap_fills(kept, clean).select("doc_id", "name", "value", "vtype")
 
 
@@ -180,7 +180,7 @@ SELECT doc_id, name, value FROM s WHERE NOT EXISTS (SELECT 1 FROM pk WHERE pk.do
   AND NOT EXISTS (SELECT 1 FROM s e WHERE e.doc_id = s.doc_id AND e.n < s.n AND e.vtype = 'string' AND contains(lower(e.value), lower(s.value)))""")
 def _(t: Inputs):
     kept, _ = reconcile.split_primary(t.sql(FIELDS))
-    return reconcile.gap_fills_legacy(kept, reconcile.candidates(t.sql(RESPONSES))).select("doc_id", "name", "value")
+    return reconcile.gap_fills_legacy(kept, reconcile.candidates(t.dealt(RESPONSES))).select("doc_id", "name", "value")
 
 
 VALUES_TEXT = "string_agg(' ' || lower(coalesce(value, '')) || ' ', ' ')"
@@ -191,11 +191,11 @@ un AS (SELECT a.doc_id, a.name AS field, a.v_str AS value, 'amount_not_in_vlm' A
 @query("rec5_unconfirmed_amounts", f"WITH {UNCONFIRMED} SELECT * FROM un")
 def _(t: Inputs):
     kept, _ = reconcile.split_primary(t.sql(FIELDS))
-    return reconcile.unconfirmed_amounts(kept, t.sql(RESPONSES)).drop("page_no")
+    return reconcile.unconfirmed_amounts(kept, t.dealt(RESPONSES)).drop("page_no")
 
 
 def merged(t: Inputs):
-    return reconcile.merge(t.sql(FIELDS), t.sql(RESPONSES), t.sql(PAGES), scrub.checkbox_labels(form(t)))
+    return reconcile.merge(t.sql(FIELDS), t.dealt(RESPONSES), t.sql(PAGES), scrub.checkbox_labels(form(t)))
 
 
 MERGED = f"""{FILLS}, mg AS (SELECT doc_id, 1 AS page_no, name, v_str, v_bool, ftype, source AS source_detail, 'bbox' AS source FROM f WHERE NOT {LABEL('v_str')}

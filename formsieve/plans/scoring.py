@@ -85,12 +85,12 @@ LEAF_ROWS = [(0, "id", "CAST(o_orderkey AS STRING)", "number"), (1, "who.key", "
 @query("leaf1_nested_records", " UNION ALL ".join(
     f"SELECT o_orderkey AS doc_id, CAST({n} AS BIGINT) AS ord, '{p}' AS path, {v} AS value, '{k}' AS vtype FROM {{orders}}" for n, p, v, k in LEAF_ROWS))
 def _(t: Inputs):
-    return leaves.flatten(t.sql(NESTED), ["doc_id"]).drop("steps")
+    return leaves.flatten(t.dealt(NESTED), ["doc_id"]).drop("steps")
 
 
 @query("leaf1_rebuild", NESTED)
 def _(t: Inputs):
-    return leaves.rebuild(leaves.flatten(t.sql(NESTED), ["doc_id"]), ["doc_id"])
+    return leaves.rebuild(leaves.flatten(t.dealt(NESTED), ["doc_id"]), ["doc_id"])
 
 
 # Nested records with keyed lists: the output lists the buildings in another order, misses one or has one more.
@@ -137,9 +137,9 @@ RANK = "row_number() OVER (PARTITION BY doc_id ORDER BY k, i) - 1"
 
 @query("gt2_list_alignment", _record_oracle(RANK, RANK, "g.n = o.n", "o.n", 1))
 def _(t: Inputs):
-    return compare.compare_records(t.sql(GT_RECORD), t.sql(OUT_RECORD), ["doc_id"])
+    return compare.compare_records(t.dealt(GT_RECORD), t.dealt(OUT_RECORD), ["doc_id"])
 
 
 @query("gt2_alignment_by_key", _record_oracle("i", "i", "g.k = o.k", "3", 0))
 def _(t: Inputs):
-    return compare.compare_records(t.sql(GT_RECORD), t.sql(OUT_RECORD), ["doc_id"], mode="key")
+    return compare.compare_records(t.dealt(GT_RECORD), t.dealt(OUT_RECORD), ["doc_id"], mode="key")
