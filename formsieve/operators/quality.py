@@ -62,11 +62,13 @@ def coverage(presence: DataFrame, documents: DataFrame, keys: list[str], schema_
     counts = once.groupBy(*keys, "number").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("items"))
     found = counts.groupBy(*keys).agg(F.map_from_entries(F.collect_list(
         F.struct("number", F.when(F.col("number") < 0, F.col("items")).otherwise(F.col("n")).alias("n")))).alias("_m"))
-    of = lambda number: F.coalesce(F.try_element_at("_m", F.lit(number)), F.lit(0)).cast("bigint")
-    rows = documents.select(*keys).join(found, keys, "left").select(*keys, F.inline(F.array(*[F.struct(
-        F.lit(s).alias("section"), F.lit(f).alias("field"), F.lit(t).alias("tier"),
-        (of(-1 - lists.index(s)) if s in lists else F.lit(1).cast("bigint")).alias("n_items"), of(i).alias("populated"))
-        for i, (s, f, t) in enumerate(schema)])))
+    # One constant list of fields, looked up row by row: an expression per field would be too large to be compiled.
+    fields = F.array(*[F.struct(F.lit(s).alias("section"), F.lit(f).alias("field"), F.lit(t).alias("tier"), F.lit(i).alias("_f"),
+                                F.lit(-1 - lists.index(s) if s in lists else None).cast("int").alias("_l")) for i, (s, f, t) in enumerate(schema)])
+    of = lambda number: F.coalesce(F.try_element_at("_m", F.col(number)), F.lit(0)).cast("bigint")
+    laid = documents.select(*keys).join(found, keys, "left").select(*keys, "_m", F.inline(fields))
+    rows = laid.select(*keys, "section", "field", "tier", F.when(F.col("_l").isNull(), F.lit(1).cast("bigint")).otherwise(of("_l")).alias("n_items"),
+                       of("_f").alias("populated"))
     mark = F.when((F.col("n_items") > 0) & (F.col("populated") == F.col("n_items")), "all").when(F.col("populated") > 0, "some").otherwise("none")
     return rows.withColumn("mark", mark)
 
