@@ -53,19 +53,24 @@ def text_of(value) -> tuple[str | None, str]:
     return (value, "string") if isinstance(value, str) else (repr(value), "number")
 
 
-def walk(value, max_depth: int | None, containers: bool) -> Iterator[tuple[tuple, str | None, str]]:
-    """(steps, text, type) of every node in document order; steps are keys (str) and item numbers (int)."""
+def nodes(value, max_depth: int | None = None, containers: bool = False) -> Iterator[tuple[tuple, object]]:
+    """(steps, value) of every node in document order; steps are keys (str) and item numbers (int)."""
     stack = [((), value)]
     while stack:
         steps, v = stack.pop()
         opened = isinstance(v, (dict, list)) and bool(v) and (max_depth is None or len(steps) < max_depth)
         if containers or not opened:
-            yield steps, *text_of(v)
+            yield steps, v
         if opened:
             members = list(v.items()) if isinstance(v, dict) else list(enumerate(v))
             stack.extend(((*steps, k), x) for k, x in reversed(members))
 
 
+def walk(value, max_depth: int | None, containers: bool) -> Iterator[tuple[tuple, str | None, str]]:
+    """(steps, text, type) of every node in document order."""
+    return ((steps, *text_of(v)) for steps, v in nodes(value, max_depth, containers))
+
+
 def _path(steps: tuple) -> str:
     out = "".join(f"[{s}]" if isinstance(s, int) else f".{s}" for s in steps)
     return out[1:] if out.startswith(".") else out

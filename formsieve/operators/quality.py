@@ -1,46 +1,72 @@
 """Coverage, inventories, run summaries and declarative checks."""
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import col
 from ..rules import coverage as rules
 from . import leaves
 
 PAGE = ["doc_id", "page_no"]
-ITEM = "\x00item\x00"
 
 
-def is_populated(value: Column | str, vtype: Column | str) -> Column:
+def _filled(value) -> bool:
     """Present and not empty; false and 0 are values."""
-    value, vtype = col(value), col(vtype)
-    return F.coalesce(~vtype.isin("null", "object", "array") & ~((vtype == "string") & (F.coalesce(value, F.lit("")) == "")), F.lit(False))
-
-
-def _address(steps: Column) -> Column:
-    """struct(section, item, field) of a node; NULL for nodes that are not a field of a section or of one of its items."""
-    names, k = steps["key"], lambda i: F.get(steps, F.lit(i))
-    # Where a list item stands in the path, the field has a mark that no key has.
-    field = lambda start: F.array_join(F.slice(names, start + 1, F.greatest(F.size(names) - start, F.lit(0))), ".", ITEM)
-    keys_only = lambda start: (F.size(names) > start) & ~F.contains(field(start), F.lit(ITEM))
-    named = F.concat(k(0)["key"], F.lit("[]"))
-    nested = F.concat(k(2)["key"], F.lit("[]"))
-    pack = lambda s, i, f: F.struct(s.alias("section"), i.alias("item"), f.alias("field"))
-    out = F.when(keys_only(1) & k(0)["key"].isNotNull(), pack(k(0)["key"], F.lit(""), field(1)))
-    out = out.when(k(0)["key"].isNotNull() & k(1)["idx"].isNotNull() & keys_only(2), pack(named, k(1)["idx"].cast("string"), field(2)))
-    for section, parent in rules.NESTED_IN.items():
-        out = out.when((k(0)["key"] == parent) & k(1)["idx"].isNotNull() & (nested == section) & k(3)["idx"].isNotNull() & keys_only(4),
-                       pack(nested, F.concat_ws(".", k(1)["idx"], k(3)["idx"]), field(4)))
-    return out
+    return value is not None and (bool(value) or not isinstance(value, (str, dict, list)))
+
+
+def _address(steps: tuple) -> tuple[str, str, str] | None:
+    """(section, item, field) of a node; None for nodes that are not a field of a section or of one of its items."""
+    def fields(start: int) -> bool:
+        return len(steps) > start and all(isinstance(s, str) for s in steps[start:])
+
+    if len(steps) < 2 or not isinstance(steps[0], str):
+        return None
+    if fields(1):
+        return steps[0], "", ".".join(steps[1:])
+    if not isinstance(steps[1], int):
+        return None
+    if fields(2):
+        return steps[0] + "[]", str(steps[1]), ".".join(steps[2:])
+    if fields(4) and isinstance(steps[2], str) and isinstance(steps[3], int) and rules.NESTED_IN.get(steps[2] + "[]") == steps[0]:
+        return steps[2] + "[]", f"{steps[1]}.{steps[3]}", ".".join(steps[4:])
+    return None
+
+
+def _presence_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Key columns and JSON text in, key columns and fields out. Neither paths nor texts of nodes are made."""
+    for batch in batches:
+        source, out = [], []
+
+        def flush() -> pa.RecordBatch:
+            take = pa.array(source, pa.int64())
+            sections, items, names, filled = zip(*out)
+            return pa.RecordBatch.from_arrays(
+                [k.take(take) for k in batch.columns[:-1]] + [pa.array(sections, pa.string()), pa.array(items, pa.string()),
+                                                              pa.array(names, pa.string()), pa.array(filled, pa.bool_())],
+                names=batch.schema.names[:-1] + ["section", "item", "field", "populated"])
+
+        for row, text in enumerate(batch.columns[-1].to_pylist()):
+            ok, value = leaves.parse(text)
+            for steps, v in leaves.nodes(value, containers=True) if ok else ():
+                at = _address(steps)
+                if at:
+                    source.append(row)
+                    out.append((*at, _filled(v)))
+                    if len(out) >= leaves.ROWS_PER_BATCH:
+                        yield flush()
+                        source, out = [], []
+        if out:
+            yield flush()
 
 
 def field_presence(records: DataFrame, keys: list[str], json: str = "content") -> DataFrame:
-    """(keys, section, item, field, populated) of nested submission records."""
-    nodes = leaves.flatten(records, keys, json, containers=True)
-    # A generator, not a filter: the address is worked out once.
-    return nodes.select(*keys, is_populated("value", "vtype").alias("populated"), F.inline(F.array_compact(F.array(_address(F.col("steps")))))).select(
-        *keys, "section", "item", "field", "populated")
+    """(keys, section, item, field, populated) of nested submission records, worked out in the walk of a record."""
+    schema = leaves.key_schema(records, keys) + "section string, item string, field string, populated boolean"
+    return records.select(*keys, json).mapInArrow(_presence_batches, schema)
 
 
 def coverage(presence: DataFrame, documents: DataFrame, keys: list[str], schema_fields: list[tuple[str, str, str]] | None = None) -> DataFrame:
