@@ -20,13 +20,13 @@ def _blocks(df: DataFrame, keys: list[str], order: list[str], ranges: int | None
 
 
 def running(df: DataFrame, keys: list[str], pos: str, sums: dict | None = None, maxes: dict | None = None, previous: dict | None = None,
-            changes: dict | None = None, xors: dict | None = None, ranges: int | None = None) -> DataFrame:
-    """Add, over `pos` within `keys`, running sums, maxima and exclusive ors (current row included), previous-row values, and
+            changes: dict | None = None, xors: dict | None = None, mins: dict | None = None, ranges: int | None = None) -> DataFrame:
+    """Add, over `pos` within `keys`, running sums, maxima, minima and exclusive ors (current row included), previous-row values, and
     `changes`: how many rows so far, the first one included, differ from the row before (nulls are equal).
 
     `pos` is unique within `keys`; its values and gaps do not matter. `ranges` overrides the session's shuffle partitions.
     """
-    sums, maxes, previous, changes, xors = sums or {}, maxes or {}, previous or {}, changes or {}, xors or {}
+    sums, maxes, previous, changes, xors, mins = sums or {}, maxes or {}, previous or {}, changes or {}, xors or {}, mins or {}
     rows = _blocks(df, keys, [pos], ranges)
     inner = Window.partitionBy(*keys, "_b").orderBy(pos)
     upto = inner.rowsBetween(Window.unboundedPreceding, 0)
@@ -37,9 +37,10 @@ def running(df: DataFrame, keys: list[str], pos: str, sums: dict | None = None,
     local = turned.select(
         *df.columns, "_b", *[f"_q_{n}" for n in previous],
         *[F.sum(e).over(upto).alias(f"_l_{n}") for n, e in sums.items()], *[F.max(e).over(upto).alias(f"_x_{n}") for n, e in maxes.items()],
-        *[F.bit_xor(e).over(upto).alias(f"_h_{n}") for n, e in xors.items()], *[F.sum(f"_c_{n}").over(upto).alias(f"_t_{n}") for n in changes])
+        *[F.bit_xor(e).over(upto).alias(f"_h_{n}") for n, e in xors.items()], *[F.min(e).over(upto).alias(f"_y_{n}") for n, e in mins.items()],
+        *[F.sum(f"_c_{n}").over(upto).alias(f"_t_{n}") for n in changes])
     summary = [F.sum(e).alias(f"_s_{n}") for n, e in sums.items()] + [F.max(e).alias(f"_m_{n}") for n, e in maxes.items()]
-    summary += [F.bit_xor(e).alias(f"_g_{n}") for n, e in xors.items()]
+    summary += [F.bit_xor(e).alias(f"_g_{n}") for n, e in xors.items()] + [F.min(e).alias(f"_w_{n}") for n, e in mins.items()]
     summary += [F.max_by(f"_v_{n}", pos).alias(f"_p_{n}") for n in boxed]
     summary += [c for n in changes for c in (F.min_by(f"_v_{n}", pos).alias(f"_f_{n}"), F.sum(f"_c_{n}").alias(f"_n_{n}"))]
     across = Window.partitionBy(*keys).orderBy("_b")
@@ -48,12 +49,13 @@ def running(df: DataFrame, keys: list[str], pos: str, sums: dict | None = None,
     met = met.select("*", *[(F.col(f"_o_{n}").isNull() | ~F.col(f"_f_{n}")["v"].eqNullSafe(F.col(f"_o_{n}")["v"])).cast("long").alias(f"_e_{n}") for n in changes])
     blocks = met.select(
         *keys, "_b", *[F.sum(f"_s_{n}").over(before).alias(f"_s_{n}") for n in sums], *[F.max(f"_m_{n}").over(before).alias(f"_m_{n}") for n in maxes],
-        *[F.bit_xor(f"_g_{n}").over(before).alias(f"_g_{n}") for n in xors], *[F.col(f"_o_{n}") for n in previous],
+        *[F.bit_xor(f"_g_{n}").over(before).alias(f"_g_{n}") for n in xors], *[F.min(f"_w_{n}").over(before).alias(f"_w_{n}") for n in mins],
+        *[F.col(f"_o_{n}") for n in previous],
         *[(F.coalesce(F.sum(F.col(f"_n_{n}") + F.col(f"_e_{n}")).over(before), F.lit(0)) + F.col(f"_e_{n}")).alias(f"_n_{n}") for n in changes])
     return local.join(blocks, [*keys, "_b"]).select(
         *df.columns,
         *[(F.coalesce(f"_l_{n}", F.lit(0)) + F.coalesce(f"_s_{n}", F.lit(0))).alias(n) for n in sums],
-        *[F.greatest(f"_x_{n}", f"_m_{n}").alias(n) for n in maxes],
+        *[F.greatest(f"_x_{n}", f"_m_{n}").alias(n) for n in maxes], *[F.least(f"_y_{n}", f"_w_{n}").alias(n) for n in mins],
         *[F.coalesce(f"_h_{n}", F.lit(0)).bitwiseXOR(F.coalesce(f"_g_{n}", F.lit(0))).alias(n) for n in xors],
         *[F.coalesce(f"_q_{n}", f"_o_{n}")["v"].alias(n) for n in previous],
         *[(F.col(f"_t_{n}") + F.col(f"_n_{n}")).alias(n) for n in changes])

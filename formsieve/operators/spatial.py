@@ -6,12 +6,14 @@ large as the search range. Concatenation groups are the cells of the output, nev
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
 from ..functions.text import after_colon, blank_to_null, squeeze, strip
 from ..rules import fields as rules
+from ..session import materialize
+from . import ordered
 
 BAND = 24.0
 PAGE = ["doc_id", "page_no"]
@@ -101,39 +103,60 @@ def blocks(words: DataFrame, block_regions: DataFrame, on: list[str], columns: l
     return wide.where(F.coalesce(*[F.col(a) for a in anchors]).isNotNull())
 
 
-def _break_rows(words: DataFrame) -> DataFrame:
-    """(page, row, segment): rounded rows of a page; a segment ends where the next row is too far to share a line."""
-    rows = words.select(*PAGE, F.bround("top").alias("row")).distinct()
-    w = Window.partitionBy(*PAGE).orderBy("row")
-    gap = (F.col("row") - F.lag("row").over(w) >= geo.LINE_TOLERANCE + 1).cast("int")
-    return rows.withColumn("_gap", F.coalesce(gap, F.lit(0))).select(*PAGE, "row", F.sum("_gap").over(w).alias("segment"))
+def _next_starts(tops: DataFrame) -> DataFrame:
+    """(page, top, next): where the line after one that starts at `top` starts, as the struct of `at`.
+
+    That is the first place, in reading order, among the tops too far from it. It depends on the top alone, so each
+    distinct top asks once: tops and questions stand in one falling order, and a running minimum answers.
+    """
+    far = F.col("top") + geo.LINE_TOLERANCE
+    # The least number whose difference from the top reaches the tolerance in floating point, as words are compared.
+    below, above = far - F.abs(far) * 1.12e-16, far + F.abs(far) * 2.3e-16
+    reaches = lambda v: v - F.col("top") >= geo.LINE_TOLERANCE
+    least = F.when(reaches(below), below).when(reaches(far), far).otherwise(above)
+    places = tops.select(*PAGE, F.struct((-F.col("top")).alias("v"), F.lit(0).alias("asks"), "top").alias("pos"), "at")
+    asked = tops.select(*PAGE, F.struct((-least).alias("v"), F.lit(1).alias("asks"), "top").alias("pos"), F.lit(None).cast(tops.schema["at"].dataType).alias("at"))
+    found = ordered.running(places.unionByName(asked), PAGE, "pos", mins={"next": F.col("at")})
+    return found.where("pos.asks = 1 AND next IS NOT NULL").select(*PAGE, F.col("pos.top").alias("top"), "next")
+
+
+def _line_starts(words: DataFrame) -> DataFrame:
+    """(page, at): the first word of every line, by pointers from line to line.
+
+    Rows too far below the row before always start a line. Only where rows follow more closely is there a chain of pointers
+    to go along, and it is gone along in doubled steps, as many rounds as the longest run of close lines has binary digits.
+    """
+    at = geo.reading_order("top", "x0", "ord").withField("top", F.col("top"))
+    tops = materialize(words.where("top IS NOT NULL").groupBy(*PAGE, "top").agg(F.min(at).alias("at")))
+    rows = tops.groupBy(*PAGE, F.col("at.row").alias("row")).agg(F.min("at").alias("at"))
+    before = ordered.running(rows, PAGE, "row", previous={"above": F.col("row")})
+    sure = materialize(before.where(F.col("above").isNull() | (F.col("row") - F.col("above") >= geo.LINE_TOLERANCE + 1)).select(*PAGE, "at"))
+    steps = _next_starts(tops).join(sure.select(*PAGE, F.col("at").alias("next")), [*PAGE, "next"], "left_anti")
+    steps, starts = materialize(steps.select(*PAGE, "top", "next")), sure
+    while not steps.isEmpty():
+        ahead = starts.withColumn("top", F.col("at.top")).join(steps, [*PAGE, "top"]).select(*PAGE, F.col("next").alias("at"))
+        starts = materialize(starts.unionByName(ahead).distinct())
+        onward = steps.select(*PAGE, F.col("top").alias("_top"), F.col("next").alias("_next"))
+        steps = materialize(steps.withColumn("_top", F.col("next.top")).join(onward, [*PAGE, "_top"]).select(*PAGE, "top", F.col("_next").alias("next")))
+    return starts
 
 
 def lines(words: DataFrame) -> DataFrame:
     """(doc_id, page_no, line_no from 1, text): words within 4 units of the first word of the running line form a line.
 
-    The fold is sequential, but rounded rows five or more apart can never share a line. A page is cut there first, over
-    its distinct rows only, and the fold runs per segment.
+    Line starts are found on the distinct tops of a page; a word's line is the number of starts up to it. Nothing larger
+    than a line is collected, and a page of any length is spread over ranges of its words.
     """
-    seg = words.withColumn("row", F.bround("top")).join(_break_rows(words), [*PAGE, "row"])
-    ordered = F.array_sort(F.collect_list(F.struct(geo.reading_order("top", "x0", "ord").alias("at"), F.col("top"), F.col("x0"),
-                                                   F.col("ord"), F.col("text"))))
-    # The fold keeps only where lines start; the words of a line are then a slice of the ordered words.
-    starts = F.aggregate(
-        "_w", F.struct(F.lit(None).cast("double").alias("top"), F.lit(0).alias("i"), F.array().cast("array<int>").alias("starts")),
-        lambda acc, w: F.when(
-            F.abs(w["top"] - acc["top"]) < geo.LINE_TOLERANCE,
-            F.struct(acc["top"].alias("top"), (acc["i"] + 1).alias("i"), acc["starts"].alias("starts"))
-        ).otherwise(F.struct(w["top"].alias("top"), (acc["i"] + 1).alias("i"), F.concat(acc["starts"], F.array(acc["i"])).alias("starts"))))
-    def line(start: Column, n: Column) -> Column:
-        end = F.coalesce(F.get("_s", n + 1), F.size("_w"))
-        members = F.transform(F.slice("_w", start + 1, end - start), lambda w: F.struct(w["x0"].alias("x0"), w["ord"].alias("ord"), w["text"].alias("text")))
-        return F.array_join(F.transform(F.array_sort(members), lambda w: w["text"]), " ")
-
-    folded = seg.groupBy(*PAGE, "segment").agg(ordered.alias("_w")).withColumn("_s", starts["starts"])
-    placed = folded.select(*PAGE, "segment", F.posexplode(F.transform("_s", line)).alias("n", "text"))
-    kept = placed.select(*PAGE, "segment", "n", strip("text").alias("text")).where("text <> ''")
-    return kept.select(*PAGE, F.row_number().over(Window.partitionBy(*PAGE).orderBy("segment", "n")).alias("line_no"), "text")
+    place = geo.reading_order("top", "x0", "ord")
+    heads = _line_starts(words).select(*PAGE, F.struct(F.struct("at.row", "at.x", "at.o").alias("at"), F.lit(0).alias("word"), F.lit(0).cast("bigint").alias("n")).alias("pos"),
+                                       F.lit(None).cast("string").alias("text"))
+    # Words that repeat in all three places are told apart by a number of their own.
+    told = words.where("top IS NOT NULL").select(*PAGE, F.struct(place.alias("at"), F.lit(1).alias("word"), F.monotonically_increasing_id().alias("n")).alias("pos"), "text")
+    numbered = ordered.running(heads.unionByName(told), PAGE, "pos", sums={"line": F.when(F.col("pos.word") == 0, 1).otherwise(0)}).where("pos.word = 1")
+    member = F.struct("pos.at.x", "pos.at.o", "text")
+    texts = numbered.groupBy(*PAGE, "line").agg(F.array_join(F.transform(F.array_sort(F.collect_list(member)), lambda w: w["text"]), " ").alias("text"))
+    kept = texts.select(*PAGE, "line", strip("text").alias("text")).where("text <> ''")
+    return ordered.number_rows(kept, PAGE, ["line"], "line_no").select(*PAGE, "line_no", "text")
 
 
 def prefixed_lines(words: DataFrame, prefix: str = rules.OVERFLOW_PREFIX, mark: str = rules.OVERFLOW_MARK) -> DataFrame:

@@ -74,6 +74,28 @@ def test_lines_against_brute_force(spark):
     assert {d: sorted(x) for d, x in got.items()} == want
 
 
+def test_lines_of_a_page_without_a_gap(spark):
+    # One page of close rows: tops a tolerance apart up to the last bit, and one top that holds a third of all words.
+    tops = [round(0.1 * k, 1) for k in range(3000)] + [0.1 + 4.0 * k for k in range(60)] + [77.7] * 1500
+    rows = [(1, 1, n, t, float(n * 7919 % 613), f"w{n}") for n, t in enumerate(tops)]
+    df = spark.createDataFrame(rows, "doc_id int, page_no int, ord bigint, top double, x0 double, text string")
+    expected, first = [], None
+    for _, _, n, t, x, text in sorted(rows, key=lambda r: (round(r[3]), r[4], r[2])):
+        if first is None or abs(t - first) >= 4:
+            expected.append([])
+            first = t
+        expected[-1].append((x, n, text))
+    got = [(r.line_no, r.text) for r in spatial.lines(df).orderBy("line_no").collect()]
+    assert got == [(i, " ".join(w[2] for w in sorted(line))) for i, line in enumerate(expected, 1)]
+
+
+def test_lines_of_nothing(spark):
+    schema = "doc_id int, page_no int, ord bigint, top double, x0 double, text string"
+    assert spatial.lines(spark.createDataFrame([], schema)).collect() == []
+    odd = spark.createDataFrame([(1, 1, 0, None, 1.0, "a"), (1, 1, 1, 5.0, 1.0, None), (1, 1, 2, 30.0, 1.0, " "), (1, 1, 3, 60.0, 1.0, "b"), (1, 1, 3, 60.0, 1.0, "b")], schema)
+    assert [tuple(r) for r in spatial.lines(odd).collect()] == [(1, 1, 1, "b b")]
+
+
 def test_line_numbers_run_over_the_page(spark):
     words = [(1, 1, i, f"w{i}", 0.0, 0.0, float(top), 0.0) for i, top in enumerate([5, 9.5, 14, 40, 44.5, 90])]
     df = spark.createDataFrame(words, "doc_id int, page_no int, ord int, text string, x0 double, x1 double, top double, bottom double")
