@@ -120,17 +120,18 @@ def _next_starts(tops: DataFrame) -> DataFrame:
     return found.where("pos.asks = 1 AND next IS NOT NULL").select(*PAGE, F.col("pos.top").alias("top"), "next")
 
 
-def _line_starts(words: DataFrame) -> DataFrame:
-    """(page, at): the first word of every line, by pointers from line to line.
+def _rows_with_starts(words: DataFrame) -> DataFrame:
+    """(page, row, start, n): the word that starts a line inside each rounded row, if one does, and the starts so far.
 
-    Rows too far below the row before always start a line. Only where rows follow more closely is there a chain of pointers
-    to go along, and it is gone along in doubled steps, as many rounds as the longest run of close lines has binary digits.
+    A row holds one start at most, as the tolerance is larger than a row. Rows too far below the row before always hold
+    one. Only where rows follow more closely is there a chain of pointers from line to line to go along, and it is gone
+    along in doubled steps, as many rounds as the longest run of close lines has binary digits.
     """
     at = geo.reading_order("top", "x0", "ord").withField("top", F.col("top"))
     tops = materialize(words.where("top IS NOT NULL").groupBy(*PAGE, "top").agg(F.min(at).alias("at")))
     rows = tops.groupBy(*PAGE, F.col("at.row").alias("row")).agg(F.min("at").alias("at"))
-    before = ordered.running(rows, PAGE, "row", previous={"above": F.col("row")})
-    sure = materialize(before.where(F.col("above").isNull() | (F.col("row") - F.col("above") >= geo.LINE_TOLERANCE + 1)).select(*PAGE, "at"))
+    rows = materialize(ordered.running(rows, PAGE, "row", previous={"above": F.col("row")}))
+    sure = rows.where(F.col("above").isNull() | (F.col("row") - F.col("above") >= geo.LINE_TOLERANCE + 1)).select(*PAGE, "at")
     steps = _next_starts(tops).join(sure.select(*PAGE, F.col("at").alias("next")), [*PAGE, "next"], "left_anti")
     steps, starts = materialize(steps.select(*PAGE, "top", "next")), sure
     while not steps.isEmpty():
@@ -138,23 +139,20 @@ def _line_starts(words: DataFrame) -> DataFrame:
         starts = materialize(starts.unionByName(ahead).distinct())
         onward = steps.select(*PAGE, F.col("top").alias("_top"), F.col("next").alias("_next"))
         steps = materialize(steps.withColumn("_top", F.col("next.top")).join(onward, [*PAGE, "_top"]).select(*PAGE, "top", F.col("_next").alias("next")))
-    return starts
+    held = rows.select(*PAGE, "row").join(starts.select(*PAGE, F.col("at.row").alias("row"), F.struct("at.x", "at.o").alias("start")), [*PAGE, "row"], "left")
+    return ordered.running(held, PAGE, "row", sums={"n": F.when(F.col("start").isNotNull(), 1).otherwise(0)})
 
 
 def lines(words: DataFrame) -> DataFrame:
     """(doc_id, page_no, line_no from 1, text): words within 4 units of the first word of the running line form a line.
 
-    Line starts are found on the distinct tops of a page; a word's line is the number of starts up to it. Nothing larger
-    than a line is collected, and a page of any length is spread over ranges of its words.
+    Line starts are found on the distinct tops of a page; a word counts the starts up to it by its row. Nothing larger than
+    a line is collected, and no step needs a page in one task. Words without a top are in no line.
     """
-    place = geo.reading_order("top", "x0", "ord")
-    heads = _line_starts(words).select(*PAGE, F.struct(F.struct("at.row", "at.x", "at.o").alias("at"), F.lit(0).alias("word"), F.lit(0).cast("bigint").alias("n")).alias("pos"),
-                                       F.lit(None).cast("string").alias("text"))
-    # Words that repeat in all three places are told apart by a number of their own.
-    told = words.where("top IS NOT NULL").select(*PAGE, F.struct(place.alias("at"), F.lit(1).alias("word"), F.monotonically_increasing_id().alias("n")).alias("pos"), "text")
-    numbered = ordered.running(heads.unionByName(told), PAGE, "pos", sums={"line": F.when(F.col("pos.word") == 0, 1).otherwise(0)}).where("pos.word = 1")
-    member = F.struct("pos.at.x", "pos.at.o", "text")
-    texts = numbered.groupBy(*PAGE, "line").agg(F.array_join(F.transform(F.array_sort(F.collect_list(member)), lambda w: w["text"]), " ").alias("text"))
+    placed = words.withColumn("row", F.bround("top")).join(_rows_with_starts(words), [*PAGE, "row"])
+    ahead = F.coalesce(F.struct(F.col("x0").alias("x"), F.col("ord").alias("o")) < F.col("start"), F.lit(False))
+    numbered = placed.select(*PAGE, (F.col("n") - ahead.cast("int")).alias("line"), F.struct("x0", "ord", "text").alias("word"))
+    texts = numbered.groupBy(*PAGE, "line").agg(F.array_join(F.transform(F.array_sort(F.collect_list("word")), lambda w: w["text"]), " ").alias("text"))
     kept = texts.select(*PAGE, "line", strip("text").alias("text")).where("text <> ''")
     return ordered.number_rows(kept, PAGE, ["line"], "line_no").select(*PAGE, "line_no", "text")
 
