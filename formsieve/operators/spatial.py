@@ -131,8 +131,12 @@ def _rows_with_starts(words: DataFrame) -> DataFrame:
     tops = materialize(words.where("top IS NOT NULL").groupBy(*PAGE, "top").agg(F.min(at).alias("at")))
     rows = tops.groupBy(*PAGE, F.col("at.row").alias("row")).agg(F.min("at").alias("at"))
     rows = materialize(ordered.running(rows, PAGE, "row", previous={"above": F.col("row")}))
-    sure = rows.where(F.col("above").isNull() | (F.col("row") - F.col("above") >= geo.LINE_TOLERANCE + 1)).select(*PAGE, "at")
-    steps = _next_starts(tops).join(sure.select(*PAGE, F.col("at").alias("next")), [*PAGE, "next"], "left_anti")
+    apart = F.col("above").isNull() | (F.col("row") - F.col("above") >= geo.LINE_TOLERANCE + 1)
+    sure, close = rows.where(apart).select(*PAGE, "at"), rows.where(~apart)
+    # Only tops of rows with a close neighbour need pointers; one that leaves such a run arrives at a sure start.
+    near = close.select(*PAGE, "row").unionByName(close.select(*PAGE, F.col("above").alias("row")))
+    asking = tops.withColumn("row", F.col("at.row")).join(near, [*PAGE, "row"], "left_semi").drop("row")
+    steps = _next_starts(asking).join(sure.select(*PAGE, F.col("at").alias("next")), [*PAGE, "next"], "left_anti")
     steps, starts = materialize(steps.select(*PAGE, "top", "next")), sure
     while not steps.isEmpty():
         ahead = starts.withColumn("top", F.col("at.top")).join(steps, [*PAGE, "top"]).select(*PAGE, F.col("next").alias("at"))
