@@ -256,7 +256,8 @@ def _(t: Inputs):
     return reconcile.compare_runs(t.sql(RUN_A), t.sql(RUN_B))
 
 
-INSPECT = [("form_a", i % 2, i, n, k) for i, (n, k) in enumerate([("Amount_A[0]", "/Tx"), ("Status_A", "/Tx"), ("Question_A", "/Tx"), ("Priority_A", "/Tx"), ("Check_AgencyIndicator_A", "/Btn"), ("Missing_A", "/Tx")])]
+# Both pages of the form list all fields.
+INSPECT = [("form_a", page, i, n, k) for page in (0, 1) for i, (n, k) in enumerate([("Amount_A[0]", "/Tx"), ("Status_A", "/Tx"), ("Question_A", "/Tx"), ("Priority_A", "/Tx"), ("Check_AgencyIndicator_A", "/Btn"), ("Missing_A", "/Tx")])]
 
 
 @query("rec10_inspector", f"""WITH f AS ({FIELDS}), m AS ({PAGES}), i AS (SELECT m.doc_id, m.page_no, x.name, x.ftype AS kind FROM m JOIN {values('x', 'template, tpage, ord, name, ftype', INSPECT)} ON m.template = x.template AND m.tpage = x.tpage)
