@@ -21,7 +21,9 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts tied by links of at least 0.8 Jaccard similarity of their five-word shingles."""
+    """One document of each group of texts tied by links of at least 0.8 Jaccard similarity of their five-word shingles.
+
+    SimHash fingerprints of the shingles make the first candidates, min-wise keys those that differ in more bits; the sets decide."""
     prepare(spark)
     return shingles.keep_one(docs, width=5, threshold=0.8)
 

@@ -1,8 +1,9 @@
-"""Near-duplicates by the Jaccard similarity of word shingles: candidates by min-wise keys, every link verified on the sets.
+"""Near-duplicates by the Jaccard similarity of word shingles: candidates by SimHash fingerprints of the shingles, then by
+min-wise keys for what the fingerprints' radius does not reach, every link verified on the sets.
 
 A pair of similarity s agrees in one key of `ROWS` minima with probability s^ROWS, so it has no key in common with
-probability (1 - s^ROWS)^KEYS: 0.00006 at 0.8, 0.000001 at 0.85. Bits of a SimHash are no keys for that: at 0.8 about 15 % of
-them differ, and keys long enough to tell texts apart would take hundreds of tables.
+probability (1 - s^ROWS)^KEYS: 0.00006 at 0.8, 0.000001 at 0.85. SimHash alone does not reach that far: at 0.8 about 15 % of the
+bits differ, and keys long enough to tell texts apart would take hundreds of tables. It ties close copies together.
 """
 from __future__ import annotations
 
@@ -14,9 +15,12 @@ from pyspark.sql import functions as F
 
 from .common import batches, lower_ascii, materialize, texts, word_pieces
 from .components import components
-from .simhash import CHUNK, SEED, keep_first
+from .simhash import CHUNK, SEED, fingerprint_of, keep_first
+from .simhash import links as fingerprint_links
 
 KEYS, ROWS = 32, 6
+#: Differing bits up to which fingerprints make candidates, and how many members in turn a bucket is compared with.
+RADIUS, LEADERS = 2, 2
 #: Shingles that meet all multipliers at once, and rows of (id, hash, hash) that may be broadcast.
 BLOCK, SENT = 2048, 500_000
 _rng = np.random.default_rng(SEED)
@@ -60,17 +64,17 @@ def min_keys(shingles: np.ndarray) -> list[int] | None:
 
 
 def _marked(docs: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
-    """(id, key, node, size, keys): `key` hashes the text, `node` its set of shingles."""
-    schema = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("node", pa.int64()), ("size", pa.int64()), ("keys", pa.list_(pa.int64()))])
+    """(id, key, node, size, fp, keys): `key` hashes the text, `node` its set of shingles, `fp` is the SimHash of these."""
+    schema = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("node", pa.int64()), ("size", pa.int64()), ("fp", pa.int64()), ("keys", pa.list_(pa.int64()))])
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [shingle_set(t, width) for t in texts(batch.column(2))]
         nodes = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in found], np.uint64).view(np.int64)
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes), pa.array([len(s) for s in found], pa.int64()),
-                                           pa.array([min_keys(s) for s in found], schema.field("keys").type)], schema=schema)
+                                           pa.array([fingerprint_of(s) for s in found], pa.int64()), pa.array([min_keys(s) for s in found], schema.field("keys").type)], schema=schema)
 
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("key"), F.col(text_col).cast("string").alias("t"))
-    return rows.mapInArrow(batches(work), "id long, key long, node long, size long, keys array<long>")
+    return rows.mapInArrow(batches(work), "id long, key long, node long, size long, fp long, keys array<long>")
 
 
 def _sets(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
@@ -146,38 +150,58 @@ def _prefix_pairs(placed: DataFrame, sets: DataFrame, threshold: float) -> DataF
     return x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & near).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
 
 
+def _alike(nodes: DataFrame) -> DataFrame:
+    """(a, b): candidates among `nodes` (node, fp) by SimHash. Of the nodes with one fingerprint each meets the least; those of
+    fingerprints within the radius meet by covering masks."""
+    least = materialize(nodes.groupBy("fp").agg(F.min("node").alias("lead"), F.count(F.lit(1)).alias("n")))
+    same = nodes.join(least.where("n > 1"), "fp").where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b"))
+    end = lambda c: least.select(F.col("fp").alias(c), F.col("lead").alias(f"{c}_lead"))
+    near = fingerprint_links(least.select("fp"), RADIUS).join(end("a"), "a").join(end("b"), "b").select(F.col("a_lead").alias("a"), F.col("b_lead").alias("b"))
+    return same.unionByName(near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _mixed(members: DataFrame, links: DataFrame) -> DataFrame:
+    """(t, k, node, size, root) of the members of buckets that hold more than one component of `links`."""
+    placed = members.join(materialize(components(links)), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = placed.groupBy("t", "k").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("t", "k")
+    return materialize(placed.join(several, ["t", "k"], "left_semi"))
+
+
 def near_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: float = 0.8) -> DataFrame:
     """(id, key, root): root is the same for rows tied by links of at least `threshold` Jaccard similarity of their shingles;
     key hashes the text. Texts of one set of shingles are one node, so copies are never paired.
 
-    The members of a bucket are first compared with the least of them, which ties most of a large group together in linear
-    work. The texts of buckets that hold more than one component after that are joined by `_prefix_pairs`, and all pairs it
-    finds are compared.
+    Nodes with equal or near SimHash fingerprints are compared first. The members of a min-wise bucket that still holds more
+    than one component are compared with one of them, then with another, `LEADERS` times: that ties most of a large group
+    together in linear work. The texts of buckets that hold more than one component after that are joined by
+    `_prefix_pairs`, and all pairs it finds are compared.
 
     A null or blank text has no shingle and no key: all of them are one node, as texts with one set are. A null id, repeated
     rows and ids, and other columns of any name are carried along or ignored; no rows give none.
     """
     marked = materialize(_marked(docs, id_col, text_col, width))
-    nodes = materialize(marked.groupBy("node").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("first"), F.min("size").alias("size"), F.any_value("keys").alias("keys")))
+    nodes = materialize(marked.groupBy("node").agg(F.min(F.struct(F.col("id").isNull(), "id", "key")).alias("first"), F.min("size").alias("size"),
+                                                   F.any_value("fp").alias("fp"), F.any_value("keys").alias("keys")))
     keyed = nodes.select("node", "size", F.posexplode("keys").alias("t", "k"))
-    shared = keyed.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("lead")).where("n > 1").drop("n")
-    members = materialize(keyed.join(shared, ["t", "k"]))
-    chosen = nodes.join(members.select("node").distinct(), "node", "left_semi")
+    shared = keyed.groupBy("t", "k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    members = materialize(keyed.join(shared, ["t", "k"], "left_semi"))
+    alike = materialize(_alike(nodes.where("size > 0").select("node", "fp")))
+    ends = alike.select(F.explode(F.array("a", "b")).alias("node"))
+    chosen = nodes.join(members.select("node").unionByName(ends).distinct(), "node", "left_semi")
     chosen = materialize(chosen.select("node", F.col("first")["id"].alias("i"), F.col("first")["key"].alias("k")))
     sets = materialize(_sets(docs, chosen, id_col, text_col, width))
 
-    sizes = nodes.select(F.col("node").alias("lead"), F.col("size").alias("lead_size"))
-    close = lambda a, b: F.least(a, b) + 1e-9 >= F.lit(threshold) * F.greatest(a, b)
-    pair = lambda a, b: (F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-    first = members.where("node <> lead").select("node", "size", "lead").distinct().join(sizes, "lead").where(close("size", "lead_size"))
-    links = materialize(_verified(materialize(first.select(*pair("node", "lead")).distinct()), sets, threshold))
-
-    roots = materialize(components(links))
-    placed = members.join(roots, "node", "left").select("t", "k", "node", "size", "lead", F.coalesce("root", "node").alias("root"))
-    leads = roots.select(F.col("node").alias("lead"), F.col("root").alias("lead_root"))
-    placed = materialize(placed.join(leads, "lead", "left").withColumn("lead_root", F.coalesce("lead_root", "lead")))
-    mixed = placed.where("root <> lead_root").select("t", "k").distinct()
-    placed = materialize(placed.join(mixed, ["t", "k"], "left_semi").select("node", "size", "root").distinct())
+    links = materialize(_verified(alike, sets, threshold))
+    close = F.least("size", "l.size") + 1e-9 >= F.lit(threshold) * F.greatest("size", "l.size")
+    placed = _mixed(members, links)
+    for turn in range(LEADERS):
+        # The turn's hash draws the leader, the same one for buckets that share members.
+        leads = placed.groupBy("t", "k").agg(F.min_by(F.struct("node", "size", "root"), F.xxhash64("node", F.lit(turn))).alias("l"))
+        first = placed.join(leads, ["t", "k"]).where((F.col("root") != F.col("l.root")) & close)
+        pairs = materialize(first.select(F.least("node", "l.node").alias("a"), F.greatest("node", "l.node").alias("b")).distinct())
+        links = materialize(links.unionByName(_verified(pairs, sets, threshold)))
+        placed = _mixed(placed.drop("root"), links)
+    placed = materialize(placed.select("node", "size", "root").distinct())
     open_pairs = materialize(_prefix_pairs(placed, sets, threshold))
     more = materialize(_verified(open_pairs.join(links, ["a", "b"], "left_anti"), sets, threshold))
 

@@ -66,6 +66,14 @@ def fingerprint(text: bytes | None, width: int = 3, seed: int = SEED) -> int:
     return votes.fingerprint()
 
 
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """Signed 64-bit SimHash of shingle hashes that are known already."""
+    votes = _Votes()
+    for at in range(0, len(hashes), CHUNK):
+        votes.add(hashes[at:at + CHUNK].tolist())
+    return votes.fingerprint()
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
     """(id, key, fp): one row per input row, `key` being the hash of its text. A null or blank text has fingerprint 0."""
     schema = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("fp", pa.int64())])

@@ -100,3 +100,18 @@ def test_large_group_is_not_compared_pair_by_pair(spark, monkeypatch):
     df = spark.createDataFrame(docs, "doc_id long, text string")
     assert sorted(r.doc_id for r in shingles.keep_one(df).collect()) == least_ids(docs)
     assert sum(compared) < 300 * 299 / 2 / 4
+
+
+def test_fingerprints_tie_close_copies_by_themselves(spark, monkeypatch):
+    """Without a bucket that is mixed, SimHash is all that makes candidates."""
+    rng = random.Random(5)
+    docs = []
+    for i in range(12):
+        base = [str(rng.randint(0, 10**6)) for _ in range(1500)]
+        docs.append((2 * i, " ".join(base)))
+        base[-1] = "other"
+        docs.append((2 * i + 1, " ".join(base)))
+    mixed = shingles._mixed
+    monkeypatch.setattr(shingles, "_mixed", lambda *a: mixed(*a).where(F.lit(False)))
+    kept = {r.doc_id for r in shingles.keep_one(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert kept >= set(range(0, 24, 2)) and len(kept) <= 14
