@@ -76,7 +76,7 @@ def _path(steps: tuple) -> str:
     return out[1:] if out.startswith(".") else out
 
 
-def _leaf_batches(max_depth: int | None, containers: bool) -> Callable:
+def _leaf_batches(max_depth: int | None, containers: bool, with_path: bool = True) -> Callable:
     """Arrow function: key columns and JSON text in, key columns and leaf columns out."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,7 +98,7 @@ def _leaf_batches(max_depth: int | None, containers: bool) -> Callable:
                 for n, (steps, leaf, kind) in enumerate(walk(value, max_depth, containers)):
                     source.append(row)
                     ords.append(n)
-                    paths.append(_path(steps))
+                    paths.append(_path(steps) if with_path else None)
                     values.append(leaf)
                     kinds.append(kind)
                     for s in steps:
@@ -118,14 +118,14 @@ def key_schema(df: DataFrame, keys: list[str]) -> str:
     return "".join(f"`{k}` {types[k]}, " for k in keys)
 
 
-def flatten(df: DataFrame, keys: list[str], json: str = "content", max_depth: int | None = None, containers: bool = False) -> DataFrame:
+def flatten(df: DataFrame, keys: list[str], json: str = "content", max_depth: int | None = None, containers: bool = False, with_path: bool = True) -> DataFrame:
     """(keys, ord, steps, path, value, vtype) for every leaf of the JSON text in column `json`, in document order.
 
     vtype: string, number, boolean, null, and object/array for empty containers. With `containers`, objects and arrays
     with content appear as well (vtype o/a). Content below `max_depth` levels, if that is given, stays one row of JSON text (vtype o/a).
-    Text that is not JSON gives no rows.
+    Text that is not JSON gives no rows. Without `with_path`, `path` is null.
     """
-    return df.select(*keys, json).mapInArrow(_leaf_batches(max_depth, containers), key_schema(df, keys) + _LEAF)
+    return df.select(*keys, json).mapInArrow(_leaf_batches(max_depth, containers, with_path), key_schema(df, keys) + _LEAF)
 
 
 def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,3 +182,97 @@ def rebuild(leaves: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, content): JSON text per key from its leaves. What a group gathers is one JSON value of the output."""
     rows = leaves.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("ord", "steps", "value", "vtype"))).alias("rows"))
     return rows.mapInArrow(_nest_batches, key_schema(leaves, keys) + "content string")
+
+
+def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the text leaves of a record, in document order; text that is not JSON goes."""
+    for batch in batches:
+        rows, texts, ends = [], [], [0]
+        for row, content in enumerate(batch.columns[-1].to_pylist()):
+            ok, value = parse(content)
+            if ok:
+                rows.append(row)
+                texts.extend(v for _, v in nodes(value) if isinstance(v, str))
+                ends.append(len(texts))
+        if rows:
+            listed = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(texts, pa.string()))
+            kept = batch.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*kept.columns, listed], names=[*batch.schema.names, "texts"])
+
+
+def _sifted(value, keep: Iterator[bool]):
+    """(whether anything is left, the value without texts that `keep` denies, nulls, and what is empty then)."""
+    if isinstance(value, dict):
+        inside = {k: x for k, (left, x) in [(k, _sifted(v, keep)) for k, v in value.items()] if left}
+        return bool(inside), inside
+    if isinstance(value, list):
+        inside = [x for left, x in [_sifted(v, keep) for v in value] if left]
+        return bool(inside), inside
+    return (next(keep) if isinstance(value, str) else value is not None), value
+
+
+def _rank(leaf: tuple) -> tuple:
+    """Order of the leaves (ord, steps, value, type) of several records: by position, then steps, value and type, nulls first."""
+    at, steps, text, kind = leaf
+    return at, [(0, "", s) if isinstance(s, int) else (1, s.encode(), 0) for s in steps], text.encode(), kind
+
+
+def _merged(records: list[tuple]) -> str | None:
+    """JSON text of all leaves that are left of the records (text, keep) of one key."""
+    found = []
+    for content, keep in records:
+        flags = iter(keep)
+        for at, (steps, v) in enumerate(nodes(parse(content)[1])):
+            if next(flags) if isinstance(v, str) else v is not None and not isinstance(v, (dict, list)):
+                found.append((at, steps, *text_of(v)))
+    rows = [{"steps": [{"key": None, "idx": s} if isinstance(s, int) else {"key": s, "idx": None} for s in steps], "value": text, "vtype": kind}
+            for _, steps, text, kind in sorted(found, key=_rank)]
+    return nest(rows) if rows else None
+
+
+def _sift_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (keys, text, keep) with equal keys next to each other in, (keys, content) out; a key may go on in the next batch."""
+    schema, key, held = None, None, []
+
+    def text() -> str | None:
+        if len(held) > 1:
+            return _merged(held)
+        content, keep = held[0]
+        try:
+            left, value = _sifted(parse(content)[1], iter(keep))
+        except RecursionError:  # deeper than the stack goes: by its leaves
+            return _merged(held)
+        return _dump(value) if left else None
+
+    def made(done: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*[(*k, t) for k, t in done if t is not None])
+        types = [schema.field(n).type for n in range(len(schema) - 2)] + [pa.string()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=[*schema.names[:-2], "content"])
+
+    for batch in batches:
+        schema, done = batch.schema, []
+        flags, ends = batch.columns[-1].flatten().to_pylist(), batch.columns[-1].offsets.to_pylist()
+        keys = zip(*(c.to_pylist() for c in batch.columns[:-2]))
+        for now, content, start, end in zip(keys, batch.columns[-2].to_pylist(), ends, ends[1:]):
+            if now != key:
+                if held:
+                    done.append((key, text()))
+                key, held = now, []
+            held.append((content, flags[start - ends[0]:end - ends[0]]))
+        if any(t is not None for _, t in done):
+            yield made(done)
+    if held and (last := text()) is not None:
+        yield made([(key, last)])
+
+
+def sift(df: DataFrame, keys: list[str], keep: Callable[[Column], Column], json: str = "content") -> DataFrame:
+    """(keys, content): JSON without the texts for which `keep` does not hold, without nulls and what is empty then; no row where
+    nothing is left. The leaves of records that share a key are one record.
+
+    Records are dealt and sorted by key; only their texts meet `keep`, as one list a record, and no leaf is shuffled.
+    """
+    records = df.select(*keys, F.col(json).alias("_json")).repartition(*keys).sortWithinPartitions(*keys)
+    schema = key_schema(df, keys)
+    listed = records.mapInArrow(_text_batches, schema + "_json string, texts array<string>")
+    judged = listed.select(*keys, "_json", F.transform("texts", lambda t: F.coalesce(keep(t), F.lit(False))).alias("keep"))
+    return judged.mapInArrow(_sift_batches, schema + "content string")

@@ -33,7 +33,7 @@ def candidates(responses: DataFrame, json: str = "content") -> DataFrame:
     Scalars, members of objects, and members of objects in arrays; scalars in arrays are not candidates. Deeper values
     stay JSON text (vtype o/a).
     """
-    nodes = leaves.flatten(responses, PAGE, json, max_depth=3, containers=True)
+    nodes = leaves.flatten(responses, PAGE, json, max_depth=3, containers=True, with_path=False)
     s = F.col("steps")
     k1, k2, k3 = F.get(s, F.lit(0)), F.get(s, F.lit(1)), F.get(s, F.lit(2))
     branch = (F.when((F.size(s) == 1) & k1["key"].isNotNull() & ~F.col("vtype").isin("o", "a", "object", "array"), "scalar")

@@ -70,7 +70,7 @@ def scrub_leaves(leaf_rows: DataFrame) -> DataFrame:
 
 def scrub_json(df: DataFrame, keys: list[str], json: str = "content") -> DataFrame:
     """(keys, content): scrubbed JSON; no row where nothing is left."""
-    return leaves.rebuild(scrub_leaves(leaves.flatten(df, keys, json)), keys)
+    return leaves.sift(df, keys, lambda text: survives_scrub(text, F.lit("string")), json)
 
 
 def checkbox_labels(tmpl_fields: DataFrame) -> DataFrame:

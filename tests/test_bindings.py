@@ -2,6 +2,9 @@
 import pytest
 
 import __spark_entry__ as entry
+from formsieve.operators import leaves, scrub
+from formsieve.plans import mapping_blocks, registry
+from formsieve.plans.registry import Inputs
 
 
 def write(spark, folder, name, rows, schema):
@@ -23,3 +26,35 @@ def test_inspector_lists_all_fields_of_either_page(spark, folder):
     for r in entry.queries()["rec10_inspector"](spark, folder).collect():
         got.setdefault(r.doc_id, set()).add(r.name)
     assert set(got) == set(range(0, 24, 2)) and {len(names) for names in got.values()} == {6}
+
+
+def scrubbed_by_leaves(df, keys):
+    """The leaves one by one, put together again."""
+    return leaves.rebuild(scrub.scrub_leaves(leaves.flatten(df, keys)), keys)
+
+
+def test_scrubbed_json_moves_records_not_leaves(spark):
+    texts = ['{"a":{"b":"PRIMARY","c":1.50,"t":true,"f":false},"l":["x","PRIMARY",["y",{"z":null}],{}],"é":"q\\"ü"}', '{"a":"PRIMARY","b":[]}', '"top"', "7", "[[[2]]]",
+             '{"a":{"b":"kept","d":"more"},"l":["w"],"n":12345678901234567890}', '{"a":1,"a":2}', "{", None, '{"a":"Is this a question?","b":"" }', '{"b":"one","a":"two"}']
+    rows = [(k % 7 if k % 9 else None, "p" if k % 2 else None, texts[k % len(texts)]) for k in range(300)] + [(100 + k, "p", t) for k, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, part string, content string").repartition(5)
+    got, want = scrub.scrub_json(df, ["doc_id", "part"]), scrubbed_by_leaves(df, ["doc_id", "part"])
+    assert got.dtypes == want.dtypes
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() > 15
+    assert "Aggregate" not in got._jdf.queryExecution().toString()
+    deep = "[" * 200 + '"x"' + "]" * 200
+    assert [r.content for r in scrub.scrub_json(spark.createDataFrame([(1, deep)], "k int, content string"), ["k"]).collect()] == [deep]
+
+
+def test_fields_of_one_file_reach_all_tasks(spark, tmp_path):
+    write(spark, tmp_path, "customer", [(k % 40, f"name {k}", "SEG") for k in range(50)], "c_custkey long, c_name string, c_mktsegment string")
+    inputs = Inputs(spark, str(tmp_path))
+    assert inputs.table("customer").rdd.getNumPartitions() == 1
+    fields = mapping_blocks.fields(inputs)
+    assert fields.rdd.getNumPartitions() >= 8 and fields.count() == 50 * 20
+    assert entry.queries()["map1_priority_pick"](spark, str(tmp_path)).count() == 40
+
+
+def test_parts_hold_a_bounded_number_of_rows(spark, folder, monkeypatch):
+    monkeypatch.setattr(registry, "PART_ROWS", 1)
+    assert Inputs(spark, folder).dealt("SELECT o_orderkey AS doc_id FROM {orders}").rdd.getNumPartitions() == 24
