@@ -42,7 +42,7 @@ def test_scrubbed_json_moves_records_not_leaves(spark):
     assert got.dtypes == want.dtypes
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() > 15
     assert "Aggregate" not in got._jdf.queryExecution().toString()
-    deep = "[" * 200 + '"x"' + "]" * 200
+    deep = "[" * 200 + '"kept value"' + "]" * 200
     assert [r.content for r in scrub.scrub_json(spark.createDataFrame([(1, deep)], "k int, content string"), ["k"]).collect()] == [deep]
 
 
