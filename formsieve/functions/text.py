@@ -28,7 +28,7 @@ def squeeze(c: Column | str) -> Column:
 
 def norm_dedup(c: Column | str) -> Column:
     """Equality across sources: lower case, no dollar signs or commas, single spaces."""
-    return F.trim(squeeze(F.translate(F.lower(col(c)), "$,", "")))
+    return F.trim(squeeze(F.replace(F.replace(F.lower(col(c)), F.lit("$"), F.lit("")), F.lit(","), F.lit(""))))
 
 
 def norm_raw(c: Column | str) -> Column:

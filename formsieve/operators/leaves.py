@@ -29,20 +29,27 @@ def _no_constant(name: str):
     raise ValueError(name)
 
 
+# Made once: json.loads and json.dumps make theirs anew for every record.
+_DECODER = json.JSONDecoder(object_pairs_hook=_unique, parse_constant=_no_constant)
+_ENCODER = json.JSONEncoder(ensure_ascii=False, separators=(",", ":"))
+
+
 def parse(text: str | None):
     """(True, value), or (False, None) for text that is not JSON or repeats a key inside an object."""
     try:
-        return True, json.loads(text, object_pairs_hook=_unique, parse_constant=_no_constant)
+        return True, _DECODER.decode(text)
     except (TypeError, ValueError, RecursionError):
         return False, None
 
 
 def _dump(value) -> str:
-    return json.dumps(value, ensure_ascii=False, separators=(",", ":"))
+    return _ENCODER.encode(value)
 
 
 def text_of(value) -> tuple[str | None, str]:
     """(text, type) of a node: JSON text of containers with content (type o/a), the plain value of leaves."""
+    if isinstance(value, str):
+        return value, "string"
     if isinstance(value, (dict, list)):
         kind = "object" if isinstance(value, dict) else "array"
         return (_dump(value), kind[0]) if value else ("{}" if kind == "object" else "[]", kind)
@@ -50,7 +57,7 @@ def text_of(value) -> tuple[str | None, str]:
         return None, "null"
     if isinstance(value, bool):
         return "true" if value else "false", "boolean"
-    return (value, "string") if isinstance(value, str) else (repr(value), "number")
+    return repr(value), "number"
 
 
 def nodes(value, max_depth: int | None = None, containers: bool = False) -> Iterator[tuple[tuple, object]]:
@@ -128,13 +135,86 @@ def flatten(df: DataFrame, keys: list[str], json: str = "content", max_depth: in
     return df.select(*keys, json).mapInArrow(_leaf_batches(max_depth, containers, with_path), key_schema(df, keys) + _LEAF)
 
 
+def _members(value) -> list[tuple[int, str, str, str | None, str, str]]:
+    """(ord, name, tooltip, text, type, branch) of the scalars of an object, the members of its objects, and the members of objects
+    in its arrays. `ord` counts the nodes down to the third level, the containers among them."""
+    n, out = 0, []
+
+    def inside(members: dict, name: str, tooltip: str, branch: str, opened: bool) -> None:
+        nonlocal n
+        for k, x in members.items():
+            n += 1
+            text, kind = (x, "string") if isinstance(x, str) else text_of(x)
+            out.append((n, name + k, tooltip + k, text, kind, branch))
+            if opened and isinstance(x, (dict, list)):
+                n += len(x)
+
+    for k, v in value.items() if isinstance(value, dict) else ():
+        n += 1
+        if isinstance(v, dict):
+            inside(v, f"vlm_{k}_", f"{k}.", "object", True)
+        elif isinstance(v, list):
+            for i, item in enumerate(v):
+                n += 1
+                if isinstance(item, dict):
+                    inside(item, f"vlm_{k}_{i}_", f"{k}[{i}].", "array", False)
+                elif isinstance(item, list):
+                    n += len(item)
+        else:
+            out.append((n, f"vlm_{k}", k, *text_of(v), "scalar"))
+    return out
+
+
+_MEMBER = ["ord", "name", "tooltip", "value", "vtype", "branch"]
+MEMBER = "ord bigint, name string, tooltip string, value string, vtype string, branch string"
+
+
+def _member_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys, source, found = batch.columns[:-1], [], []
+
+        def flush() -> pa.RecordBatch:
+            take, (ords, *texts) = pa.array(source, pa.int64()), zip(*found)
+            return pa.RecordBatch.from_arrays([k.take(take) for k in keys] + [pa.array(ords, pa.int64()), *(pa.array(t, pa.string()) for t in texts)],
+                                              names=batch.schema.names[:-1] + _MEMBER)
+
+        for row, text in enumerate(batch.columns[-1].to_pylist()):
+            ok, value = parse(text)
+            if ok:
+                found.extend(_members(value))
+                source.extend([row] * (len(found) - len(source)))
+            if len(found) >= ROWS_PER_BATCH:
+                yield flush()
+                source, found = [], []
+        if found:
+            yield flush()
+
+
+def members(df: DataFrame, keys: list[str], json: str = "content") -> DataFrame:
+    """(keys, ord, name, tooltip, value, vtype, branch) of the members of a JSON object that can be fields, in document order."""
+    return df.select(*keys, json).mapInArrow(_member_batches, key_schema(df, keys) + MEMBER)
+
+
+def _said(value) -> str:
+    """Every leaf with the keys that lead to it, in document order."""
+    out, stack = [], [("", value)]
+    while stack:
+        led, v = stack.pop()
+        if isinstance(v, dict) and v:
+            stack.extend([(f"{led}{k} ", x) for k, x in v.items()][::-1])
+        elif isinstance(v, list) and v:
+            stack.extend([(led, x) for x in v][::-1])
+        else:
+            out.append(led + (text_of(v)[0] or ""))
+    return " ".join(out)
+
+
 def _digest_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = []
         for text in batch.columns[-1].to_pylist():
             ok, value = parse(text)
-            texts.append(" ".join(" ".join([*(s for s in steps if isinstance(s, str)), leaf or ""])
-                                  for steps, leaf, _ in walk(value, None, False)) if ok else None)
+            texts.append(_said(value) if ok else None)
         yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*batch.schema.names[:-1], "digest"])
 
 

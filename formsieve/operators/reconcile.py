@@ -33,19 +33,7 @@ def candidates(responses: DataFrame, json: str = "content") -> DataFrame:
     Scalars, members of objects, and members of objects in arrays; scalars in arrays are not candidates. Deeper values
     stay JSON text (vtype o/a).
     """
-    nodes = leaves.flatten(responses, PAGE, json, max_depth=3, containers=True, with_path=False)
-    s = F.col("steps")
-    k1, k2, k3 = F.get(s, F.lit(0)), F.get(s, F.lit(1)), F.get(s, F.lit(2))
-    branch = (F.when((F.size(s) == 1) & k1["key"].isNotNull() & ~F.col("vtype").isin("o", "a", "object", "array"), "scalar")
-              .when((F.size(s) == 2) & k1["key"].isNotNull() & k2["key"].isNotNull(), "object")
-              .when((F.size(s) == 3) & k1["key"].isNotNull() & k2["idx"].isNotNull() & k3["key"].isNotNull(), "array"))
-    name = (F.when(branch == "scalar", F.concat_ws("_", F.lit("vlm"), k1["key"]))
-            .when(branch == "object", F.concat_ws("_", F.lit("vlm"), k1["key"], k2["key"]))
-            .otherwise(F.concat_ws("_", F.lit("vlm"), k1["key"], k2["idx"], k3["key"])))
-    tooltip = (F.when(branch == "scalar", k1["key"]).when(branch == "object", F.concat_ws(".", k1["key"], k2["key"]))
-               .otherwise(F.concat(k1["key"], F.lit("["), k2["idx"], F.lit("]."), k3["key"])))
-    return nodes.select(*PAGE, "ord", name.alias("name"), tooltip.alias("tooltip"), "value", "vtype", branch.alias("branch")).where(
-        "branch IS NOT NULL")
+    return leaves.members(responses, PAGE, json)
 
 
 def scrub_candidates(cands: DataFrame) -> DataFrame:

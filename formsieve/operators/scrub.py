@@ -51,7 +51,7 @@ def is_garbage(value: Column | str) -> Column:
         return let(norm_dedup(s), lambda n: (
             (s == "") | n.isin(rules.TEMPLATE_GARBAGE) | n.isin(rules.BOX_GLYPHS) | s.rlike(rules.NUMBERED_QUESTION)
             | (F.endswith(s, F.lit("?")) & (F.length(s) > rules.QUESTION_LONGER_THAN))
-            | (is_upper(s) & (F.length(s) > rules.CAPITALS_LONGER_THAN) & ~s.rlike(r"\d") & ~F.contains(s, F.lit(":")))
+            | ((F.length(s) > rules.CAPITALS_LONGER_THAN) & is_upper(s) & ~s.rlike(r"\d") & ~F.contains(s, F.lit(":")))
             | s.rlike(rules.CHOICE_PREFIX)))
 
     return F.coalesce(let(strip(value), rule), F.lit(False))

@@ -146,6 +146,25 @@ def test_gap_fills_against_sequential_rule(spark, seed):
     assert {(r["doc_id"], r["ord"]) for r in reconcile.gap_fills(p, c).collect()} == want
 
 
+def test_members_are_the_walk_without_writing_out_what_holds_them(spark, monkeypatch):
+    record = {"a": {"b": "x", "deep": {"c": [1, {"d": None}]}, "none": [], "": True}, "l": ["s", {"k": "v", "n": 2.5, "o": {}}, [3, 4], {}], "t": "u", "f": False, "e": {}}
+    want = []
+    for n, (steps, text, kind) in enumerate(leaves.walk(record, 3, True)):
+        shape = [type(s) for s in steps]
+        if shape == [str] and kind not in ("o", "a", "object", "array"):
+            want.append((n, f"vlm_{steps[0]}", steps[0], text, kind, "scalar"))
+        elif shape == [str, str]:
+            want.append((n, "vlm_{}_{}".format(*steps), "{}.{}".format(*steps), text, kind, "object"))
+        elif shape == [str, int, str]:
+            want.append((n, "vlm_{}_{}_{}".format(*steps), "{}[{}].{}".format(*steps), text, kind, "array"))
+    dumped, dump = [], leaves._dump
+    monkeypatch.setattr(leaves, "_dump", lambda v: dumped.append(v) or dump(v))
+    assert leaves._members(record) == want
+    assert dumped == [record["a"]["deep"]]
+    df = spark.createDataFrame([(1, 1, json.dumps(record)), (2, 1, "[1]"), (3, 1, '{"a":1,"a":2}'), (4, 1, None)], "doc_id int, page_no int, content string")
+    assert [tuple(r)[2:] for r in reconcile.candidates(df).orderBy("doc_id", "ord").collect()] == want
+
+
 def test_scrub_drops_empty_branches(spark):
     df = spark.createDataFrame([(1, '{"a":{"b":"PRIMARY","c":null},"d":[{"e":"real"},{"f":"signature"},false]}'), (2, '{"a":"Y/N"}')], "k int, content string")
     assert {r["k"]: r["content"] for r in scrub.scrub_json(df, ["k"]).collect()} == {1: '{"d":[{"e":"real"},false]}'}
