@@ -146,6 +146,14 @@ def test_gap_fills_against_sequential_rule(spark, seed):
     assert {(r["doc_id"], r["ord"]) for r in reconcile.gap_fills(p, c).collect()} == want
 
 
+def test_pieces_that_are_asked_for(spark):
+    asked = [["ny", "5", "a-b"], ["zz"], [], None]
+    texts = ["State of NY", "unit 5, a-b", "A b-c5", "plain", "", None, "an NYC\nny."]
+    df = spark.createDataFrame([(t, a) for t in texts for a in asked], "t string, a array<string>")
+    for r in df.select("a", reconcile.asked_pieces("t", "a").alias("got"), reconcile.short_pieces("t").alias("all")).collect():
+        assert set(r["got"] or []) == {p for p in r["all"] or [] if r["a"] is None or p in r["a"]}
+
+
 def test_members_are_the_walk_without_writing_out_what_holds_them(spark, monkeypatch):
     record = {"a": {"b": "x", "deep": {"c": [1, {"d": None}]}, "none": [], "": True}, "l": ["s", {"k": "v", "n": 2.5, "o": {}}, [3, 4], {}], "t": "u", "f": False, "e": {}}
     want = []
