@@ -58,3 +58,10 @@ def test_fields_of_one_file_reach_all_tasks(spark, tmp_path):
 def test_parts_hold_a_bounded_number_of_rows(spark, folder, monkeypatch):
     monkeypatch.setattr(registry, "PART_ROWS", 1)
     assert Inputs(spark, folder).dealt("SELECT o_orderkey AS doc_id FROM {orders}").rdd.getNumPartitions() == 24
+
+
+def test_customers_are_dealt_by_rows_before_they_unfold(spark, tmp_path, monkeypatch):
+    spark.range(24).selectExpr("id AS c_custkey", "'n' || id AS c_name", "'BUILDING' AS c_mktsegment").coalesce(1).write.parquet(str(tmp_path / "customer.parquet"))
+    monkeypatch.setattr(registry, "PART_ROWS", 1)
+    rows = mapping_blocks.fields(Inputs(spark, str(tmp_path)))
+    assert rows.rdd.getNumPartitions() == 24 and rows.select("doc_id").distinct().count() == 24
