@@ -6,17 +6,25 @@ large as the search range. Concatenation groups are the cells of the output, nev
 """
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
-from ..functions.text import after_colon, blank_to_null, squeeze, strip
+from ..functions.text import SPACES, after_colon, blank_to_null, squeeze, strip
 from ..rules import fields as rules
 from ..session import materialize
 from . import ordered
 
 BAND = 24.0
 PAGE = ["doc_id", "page_no"]
+# Words of one page that a task holds at most while it reads lines; a page with more is spread over tasks.
+PAGE_WORDS = 20_000
 
 
 def ordered_text(text: str = "text", row: str = "top", x0: str = "x0", ord_: str = "ord") -> Column:
@@ -147,12 +155,9 @@ def _rows_with_starts(words: DataFrame) -> DataFrame:
     return ordered.running(held, PAGE, "row", sums={"n": F.when(F.col("start").isNotNull(), 1).otherwise(0)})
 
 
-def lines(words: DataFrame) -> DataFrame:
-    """(doc_id, page_no, line_no from 1, text): words within 4 units of the first word of the running line form a line.
-
-    Line starts are found on the distinct tops of a page; a word counts the starts up to it by its row. Nothing larger than
-    a line is collected, and no step needs a page in one task. Words without a top are in no line.
-    """
+def _spread_lines(words: DataFrame) -> DataFrame:
+    """Lines of pages whose words lie apart or are many: line starts are found on the distinct tops of a page; a word counts
+    the starts up to it by its row. Nothing larger than a line is collected, and no step needs a page in one task."""
     placed = words.withColumn("row", F.bround("top")).join(_rows_with_starts(words), [*PAGE, "row"])
     ahead = F.coalesce(F.struct(F.col("x0").alias("x"), F.col("ord").alias("o")) < F.col("start"), F.lit(False))
     numbered = placed.select(*PAGE, (F.col("n") - ahead.cast("int")).alias("line"), F.struct("x0", "ord", "text").alias("word"))
@@ -161,6 +166,96 @@ def lines(words: DataFrame) -> DataFrame:
     return ordered.number_rows(kept, PAGE, ["line"], "line_no").select(*PAGE, "line_no", "text")
 
 
+def _line_starts(tops: np.ndarray) -> list[int]:
+    """Places, in reading order, at which the lines of a page start. A word before another is less than the tolerance below
+    it, so the first word that is far enough below a start is the first at which the running maximum is."""
+    far, starts, at = np.maximum.accumulate(tops).tolist(), [], 0
+    while at < len(far):
+        starts.append(at)
+        top = float(tops[at])
+        at = bisect_left(far, top + geo.LINE_TOLERANCE - abs(top) * 1e-15, at + 1)
+        while at < len(far) and far[at] - top < geo.LINE_TOLERANCE:
+            at += 1
+    return starts
+
+
+def _stretches(words: pa.RecordBatch) -> np.ndarray:
+    """Where neighbouring words are of different pages: the first word of each stretch."""
+    other = np.zeros(len(words), bool)
+    other[0] = True
+    for key in words.columns[:2]:
+        other[1:] |= pc.not_equal(key[1:], key[:-1]).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(other)
+
+
+def _stretch_lines(words: pa.RecordBatch) -> pa.RecordBatch:
+    """(page, line_no, text) of every stretch of words of one page, and for each a row of line number 0 without text; the
+    number is -1 where places are missing or not finite, and the lines do not count."""
+    first = _stretches(words)
+    top, x0, at = (words.column(c) for c in ("top", "x0", "ord"))
+    odd = pc.or_(pc.invert(pc.fill_null(pc.is_finite(top), False)), pc.or_(pc.invert(pc.fill_null(pc.is_finite(x0), False)), pc.is_null(at)))
+    odd_in = np.logical_or.reduceat(odd.to_numpy(zero_copy_only=False), first)
+    top, x0, at = (np.nan_to_num(c.fill_null(0).to_numpy(zero_copy_only=False)) for c in (top, x0, at))
+    stretch = np.repeat(np.arange(len(first)), np.diff(first, append=len(words)))
+    reading = np.lexsort((at, x0, np.rint(top), stretch))
+    tops = top[reading]
+    starts = np.concatenate([f + np.array(_line_starts(tops[f:end])) for f, end in zip(first, [*first[1:], len(words)])])
+    line = np.empty(len(words), np.int64)
+    line[reading] = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(words)))
+    place = np.lexsort((at, x0, line))
+    l, x, o = line[place], x0[place], at[place]
+    if ((l[1:] == l[:-1]) & (x[1:] == x[:-1]) & (o[1:] == o[:-1])).any():
+        place = pc.sort_indices(pa.table({"l": line, "x": x0, "o": at, "t": words.column("text")}),
+                                sort_keys=[(c, "ascending") for c in "lxot"]).to_numpy()
+    place = place[words.column("text").is_valid().to_numpy(zero_copy_only=False)[place]]
+    ends = np.searchsorted(line[place], np.arange(len(starts) + 1))
+    text = pc.utf8_trim(pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words.column("text").take(pa.array(place))), " "), SPACES)
+    kept = np.flatnonzero(pc.not_equal(text, "").to_numpy(zero_copy_only=False))
+    owner = stretch[starts[kept]]
+    number = np.arange(len(kept)) - np.searchsorted(owner, owner) + 1
+    rows = pa.array(np.concatenate([first, starts[kept]]))
+    return pa.RecordBatch.from_arrays(
+        [*(c.take(rows) for c in words.columns[:2]), pa.array(np.concatenate([np.where(odd_in, -1, 0), number]), pa.int64()),
+         pa.concat_arrays([pa.nulls(len(first), pa.string()), text.take(pa.array(kept))])], names=[*PAGE, "line_no", "text"])
+
+
+def _line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last page of a batch may go on in the next one, so it is held back, up to a number of words."""
+    held = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        words = batch if held is None else pa.concat_batches([held, batch])
+        done = int(_stretches(words)[-1])
+        held = words.slice(done) if len(words) - done <= PAGE_WORDS else None
+        if held is None:
+            done = len(words)
+        if done:
+            yield _stretch_lines(words.slice(0, done))
+    if held is not None:
+        yield _stretch_lines(held)
+
+
+def lines(words: DataFrame) -> DataFrame:
+    """(doc_id, page_no, line_no from 1, text): words within 4 units of the first word of the running line form a line.
+
+    Words of a page mostly lie next to each other, so lines are read where they lie, and no word is shuffled. Pages found in
+    more than one place (of several partitions, larger than a task may hold, or mixed with others) are read again, spread
+    over tasks. Words without a top or a page are in no line.
+    """
+    words = words.select(*PAGE, F.col("top").cast("double").alias("top"), F.col("x0").cast("double").alias("x0"), "ord", "text").where(
+        F.col("doc_id").isNotNull() & F.col("page_no").isNotNull() & F.col("top").isNotNull())
+    types = dict(words.dtypes)
+    read = words.mapInArrow(_line_batches, "".join(f"{k} {types[k]}, " for k in PAGE) + "line_no bigint, text string")
+    found = materialize(read)
+    places = found.where("line_no <= 0").groupBy(*PAGE).agg(F.count("*").alias("n"), F.min("line_no").alias("least"))
+    apart = materialize(places.where("n > 1 OR least < 0").select(*PAGE))
+    whole = found.where("line_no > 0")
+    if apart.isEmpty():
+        return whole
+    return whole.join(apart, PAGE, "left_anti").unionByName(_spread_lines(words.join(apart, PAGE, "left_semi")))
+
+
 def prefixed_lines(words: DataFrame, prefix: str = rules.OVERFLOW_PREFIX, mark: str = rules.OVERFLOW_MARK) -> DataFrame:
     """(doc_id, page_no, ord, text): words that start a coverage entry."""
     t = strip("text")

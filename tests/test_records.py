@@ -96,6 +96,23 @@ def test_lines_of_nothing(spark):
     assert [tuple(r) for r in spatial.lines(odd).collect()] == [(1, 1, 1, "b b")]
 
 
+def test_lines_shuffle_no_words_of_pages_that_lie_together(spark, monkeypatch):
+    rnd = random.Random(8)
+    tops = [rnd.choice([None, float("nan"), float("inf")]) if n % 97 == 0 else round(rnd.uniform(0, 60), 1) for n in range(900)]
+    rows = [(None if n % 211 == 0 else n // 90, "p", n % 60, rnd.choice(["a", "b", " ", "", "\u00e9\u2003", None]), rnd.choice([None, 1.0, 2.5, -0.0]) if n // 90 == 3 else float(rnd.randrange(9)), t)
+            for n, t in enumerate(tops)]
+    df = spark.createDataFrame(rows, "doc_id int, page_no string, ord int, text string, x0 double, top double")
+    read = lambda words: sorted(map(tuple, spatial.lines(words).collect()))
+    want = sorted(map(tuple, spatial._spread_lines(df).collect()))
+    assert read(df.coalesce(1)) == read(df.repartition(5)) == read(df.coalesce(1).sort("text")) == want and len(want) > 90
+    monkeypatch.setattr(spatial, "PAGE_WORDS", 4)
+    assert read(df.coalesce(1)) == want
+    monkeypatch.undo()
+    together = df.where("doc_id <> 3 AND top < 60 AND NOT isnan(top)").coalesce(1)
+    assert "Exchange" not in spatial.lines(together)._jdf.queryExecution().executedPlan().toString()
+    assert read(together) == sorted(map(tuple, spatial._spread_lines(together).collect()))
+
+
 def test_line_numbers_run_over_the_page(spark):
     words = [(1, 1, i, f"w{i}", 0.0, 0.0, float(top), 0.0) for i, top in enumerate([5, 9.5, 14, 40, 44.5, 90])]
     df = spark.createDataFrame(words, "doc_id int, page_no int, ord int, text string, x0 double, x1 double, top double, bottom double")
