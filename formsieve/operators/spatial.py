@@ -267,11 +267,12 @@ def prefixed_lines(words: DataFrame, prefix: str = rules.OVERFLOW_PREFIX, mark:
 def overflow_content(words: DataFrame, skip: list[str] | None = None) -> DataFrame:
     """Prefixed entries of a page; pages without any give their lines instead, headers dropped."""
     entries = prefixed_lines(words)
-    rest = lines(words.join(entries.select(*PAGE).distinct(), PAGE, "left_anti"))
-    last = rest.groupBy(*PAGE).agg(F.max("line_no").alias("_last"))
+    # Lines are read before pages with entries go, so that pages and lines are dealt, but no words.
+    read = materialize(lines(words))
+    rest = materialize(read.groupBy(*PAGE).agg(F.max("line_no").alias("_last")).join(entries.select(*PAGE).distinct(), PAGE, "left_anti"))
     # Page counters are dropped, except on the last line of a page.
     counter = (F.contains("text", F.lit("PAGE")) | F.contains("text", F.lit("OF"))) & (F.col("line_no") != F.col("_last"))
-    fallback = rest.join(last, PAGE).where(~counter & ~F.col("text").isin(rules.OVERFLOW_HEADERS if skip is None else skip))
+    fallback = read.join(rest, PAGE).where(~counter & ~F.col("text").isin(rules.OVERFLOW_HEADERS if skip is None else skip))
     return entries.select(*PAGE, F.lit("entry").alias("origin"), "text").unionByName(
         fallback.select(*PAGE, F.lit("line").alias("origin"), "text"))
 

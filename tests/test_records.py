@@ -113,6 +113,16 @@ def test_lines_shuffle_no_words_of_pages_that_lie_together(spark, monkeypatch):
     assert read(together) == sorted(map(tuple, spatial._spread_lines(together).collect()))
 
 
+def test_overflow_content_deals_no_words(spark):
+    words = [(d, p, n, t, float(n), 10.0 * (n // 2 + 1)) for d in range(6) for p in (1, 2) for n, t in enumerate(["a", "b", "PAGE", "1", "c", "OF" if p == 2 else "d"])]
+    words += [(d, 1, 9, "* Code x", 0.0, 90.0) for d in range(0, 6, 2)]
+    df = spark.createDataFrame(words, "doc_id int, page_no int, ord int, text string, x0 double, top double").coalesce(1)
+    got = spatial.overflow_content(df, skip=["a b"])
+    assert "hashpartitioning" not in got.drop("text")._jdf.queryExecution().executedPlan().toString()
+    want = [(d, 1, "entry", "* Code x") for d in range(0, 6, 2)] + [(d, 1, "line", "c d") for d in range(1, 6, 2)] + [(d, 2, "line", "c OF") for d in range(6)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_line_numbers_run_over_the_page(spark):
     words = [(1, 1, i, f"w{i}", 0.0, 0.0, float(top), 0.0) for i, top in enumerate([5, 9.5, 14, 40, 44.5, 90])]
     df = spark.createDataFrame(words, "doc_id int, page_no int, ord int, text string, x0 double, x1 double, top double, bottom double")
