@@ -15,6 +15,8 @@ ADAPTIVE = {
     "spark.sql.session.timeZone": "UTC",
     # Java's own case mapping: about ten times the speed of ICU's on page text.
     "spark.sql.icu.caseMappings.enabled": "false",
+    # The JVM never compiles a method above 8,000 bytes of code; a projection that would become one is generated in pieces.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
