@@ -1,7 +1,6 @@
 """Scoring a record against ground truth, leaf by leaf."""
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import reduce
 
@@ -10,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parse import compare_date, number
-from ..functions.text import SPACES, WS, norm_compare
+from ..functions.text import norm_compare
 from . import leaves
 
 # List items are matched by the first of these keys that the first expected item has.
@@ -19,7 +18,6 @@ ABSOLUTE, RELATIVE, LONG_TEXT = 1.0, 0.005, 30
 ANY_VALUE, NOT_SCORED = "*", "N/A"
 
 CONTAINER = ["o", "a"]
-WHITE = re.compile(f"{WS}+")
 
 
 def _truth(value: Column, vtype: Column) -> Column:
@@ -75,7 +73,7 @@ def _sort_text(item, key: str) -> str:
     value = item.get(key) if isinstance(item, dict) else None
     if not value:
         return ""
-    return WHITE.sub(" ", ("true" if value is True else leaves.text_of(value)[0]).strip(SPACES).lower())
+    return " ".join(("true" if value is True else leaves.text_of(value)[0]).lower().split())
 
 
 def _paired(expected: list, got: list, mode: str) -> tuple[list[tuple], list[int]]:

@@ -1,11 +1,13 @@
 """Leaves, comparison, classification, spatial reading and reconciliation on invented fixtures."""
 import json
 import random
+import re
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from formsieve.functions.text import SPACES
 from formsieve.operators import classify, compare, email, leaves, mapping, quality, reconcile, scrub, sov, spatial
 from formsieve.sources import readers, sinks
 from formsieve.streaming import continuous
@@ -123,6 +125,14 @@ def test_overflow_content_deals_no_words(spark):
     assert sorted(map(tuple, got.collect())) == sorted(want)
 
 
+def test_expressions_of_verdicts_are_compiled(spark):
+    rows = spark.createDataFrame([("a", "string", "A ", "string")], "gt_value string, gt_type string, out_value string, out_type string")
+    code = spark._jvm.PythonSQLUtils.explainString(compare.with_verdict(rows)._jdf.queryExecution(), "codegen")
+    largest = max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code))
+    assert largest > 8000 >= int(spark.conf.get("spark.sql.codegen.hugeMethodLimit"))
+    assert all(compare._sort_text({"Name": f"{a}X{a}y{a}"}, "Name") == "x y" for a in SPACES)
+
+
 def test_line_numbers_run_over_the_page(spark):
     words = [(1, 1, i, f"w{i}", 0.0, 0.0, float(top), 0.0) for i, top in enumerate([5, 9.5, 14, 40, 44.5, 90])]
     df = spark.createDataFrame(words, "doc_id int, page_no int, ord int, text string, x0 double, x1 double, top double, bottom double")
