@@ -266,7 +266,7 @@ def prefixed_lines(words: DataFrame, prefix: str = rules.OVERFLOW_PREFIX, mark:
 
 def overflow_content(words: DataFrame, skip: list[str] | None = None) -> DataFrame:
     """Prefixed entries of a page; pages without any give their lines instead, headers dropped."""
-    entries = prefixed_lines(words)
+    entries = materialize(prefixed_lines(words))
     # Lines are read before pages with entries go, so that pages and lines are dealt, but no words.
     read = materialize(lines(words))
     rest = materialize(read.groupBy(*PAGE).agg(F.max("line_no").alias("_last")).join(entries.select(*PAGE).distinct(), PAGE, "left_anti"))
