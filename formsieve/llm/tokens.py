@@ -16,25 +16,28 @@ import json
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
-from itertools import chain, repeat
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import folder_for, local_path, lower_ascii, materialize, texts
+from .common import LOWER, folder_for, local_path, materialize
 
 MAGIC = b"EFTOK1\0\0"
 HEADER = 8
 SAMPLE = 256
 #: Documents that are read in one piece.
 READ = 512
-#: Words whose ids a worker remembers (some 300 bytes each), and words per call of the tokenizer.
-REMEMBER, CALL = 600_000, 20_000
-#: Signs of which the tokenizer has to know one as a token of its own; it stands between words that are encoded together.
+#: Parts of words whose ids a worker remembers (some 300 bytes each), words that are looked up together, and parts per call of
+#: the tokenizer.
+REMEMBER, TOGETHER, CALL = 600_000, 300_000, 20_000
 #: Signs that are cut off behind a letter.
-SIGNS = b"!\"#$%&()*+,-./:;=?@[]^_`{|}~"
+SIGNS = "!\"#$%&()*+,-./:;=?@[]^_`{|}~"
+LOWER_BYTES = np.frombuffer(LOWER, np.uint8)
+#: Signs of which the tokenizer has to know one as a token of its own; it stands between words that are encoded together.
 MARKS = "☃★♥♪✨☀▶"
 
 
@@ -111,21 +114,35 @@ class EliasFano:
         return (high << np.uint64(self.low)) | (lows << np.arange(self.low, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
 
 
-def _stem(word: bytes) -> tuple[bytes, bytes]:
-    """The word in lower case without the ASCII signs behind its last letter, and those signs. A word that may hold a special
-    token or a short form ('s) stays as it is."""
-    if b"<" in word or b"'" in word:
-        return word, b""
-    low = lower_ascii(word)
-    plain = low.rstrip(SIGNS)
-    if plain and 97 <= plain[-1] <= 122:
-        return plain, low[len(plain):]
-    return low, b""
+def _parts(words: pa.LargeStringArray) -> pa.LargeStringArray:
+    """Of each word two parts: the word in lower case without the ASCII signs behind its last letter, and those signs. A word
+    that may hold a special token or a short form ('s) stays as it is, with empty signs. The parts are cuts of one buffer."""
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+    begin, size = offsets[:-1] - offsets[0], np.diff(offsets)
+    kept = pc.or_(pc.match_substring(words, "<"), pc.match_substring(words, "'")).to_numpy(zero_copy_only=False)
+    low = np.where(np.repeat(kept, size), data, LOWER_BYTES[data])
+    plain = pc.binary_length(pc.ascii_rtrim(words, characters=SIGNS)).to_numpy()
+    last = low[begin + np.maximum(plain, 1) - 1] if len(low) else np.zeros(len(words), np.uint8)
+    cut = ~kept & (plain > 0) & (last >= 97) & (last <= 122)
+    bounds = np.zeros(2 * len(words) + 1, np.int64)
+    bounds[1::2], bounds[2::2] = begin + np.where(cut, plain, size), begin + size
+    return pa.LargeStringArray.from_buffers(2 * len(words), pa.py_buffer(bounds), pa.py_buffer(low))
+
+
+def _joined(flat: np.ndarray, begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The runs of `count` elements from `begin` on, one after another."""
+    ends = np.cumsum(count)
+    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - count), count)]
 
 
 class Encoder:
     """Ids of whole texts from a tokenizer whose tokens never span white space: distinct words are encoded once and kept.
 
+    A word in capitals, or with signs behind its last letter, is made from what it is without them and from the signs: the
+    tokenizer lowers case, and it cuts between a letter and a sign. What is kept are these parts. Arrow finds the distinct
+    words and parts of many texts together, so that Python sees each of them once.
+
     The tokenizer's own normalizer and splitter see every word as it stands; a text that holds white space which the
     tokenizer knows and byte splitting does not is merely a longer word.
     """
@@ -133,51 +150,37 @@ class Encoder:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, int] = {}
         self.mark, self.mark_id = next(((c, ids[0]) for c in MARKS if len(ids := self.tokenizer.encode(c, add_special_tokens=False).ids) == 1), ("", -1))
         suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool) if suffix else None
         for token, number in vocabulary.items() if suffix else ():
             self.ends[number] = token.endswith(suffix)
-        self.flat, self.at, self.used = np.zeros(0, np.uint32), np.zeros(1, np.int64), np.zeros(0, bool)
+        self.known = {"": 0}
+        self.flat, self.at, self.used = np.zeros(0, np.uint32), np.zeros(2, np.int64), np.zeros(1, bool)
 
     def _forget(self) -> None:
-        """Drop words that did not come back since the last time; if nearly all did, drop all."""
+        """Drop parts that did not come back since the last time; if nearly all did, drop all but the empty one."""
         slots = np.fromiter(self.known.values(), np.int64, len(self.known))
         kept = self.used[slots]
         if kept.mean() > 0.6:
             kept[:] = False
+        kept[0] = True
         names = [w for w, k in zip(self.known, kept.tolist()) if k]
         begin = self.at[slots[kept]]
         count = self.at[slots[kept] + 1] - begin
-        ends = np.cumsum(count)
-        self.flat = self.flat[np.arange(int(count.sum())) + np.repeat(begin - (ends - count), count)]
-        self.at, self.known = np.concatenate(([0], ends)), dict(zip(names, range(len(names))))
+        self.flat = _joined(self.flat, begin, count)
+        self.at, self.known = np.concatenate(([0], np.cumsum(count))), dict(zip(names, range(len(names))))
         self.used = np.zeros(len(names), bool)
 
-    def learn(self, words: list[bytes]) -> None:
-        """Encode words that are new. A word in capitals, or with signs behind its last letter, is made from what it is
-        without them and from the signs: the tokenizer lowers case, and it cuts between a letter and a sign."""
-        cut = [_stem(w) for w in words]
-        new = [w for w in dict.fromkeys(part for pair in cut for part in pair) if w and w not in self.known]
-        made = [self._together([w.decode() for w in new[i:i + CALL]]) for i in range(0, len(new), CALL)]
-        base = len(self.at) - 1
-        flat = np.concatenate([self.flat, *(m[0] for m in made)])
-        at = np.concatenate((self.at, self.at[-1] + np.cumsum(np.concatenate([m[1] for m in made] or [np.zeros(0, np.int64)]))))
-        self.known.update(zip(new, range(base, base + len(new))))
-
-        other = [(w, stem, signs) for w, (stem, signs) in zip(words, cut) if signs or w not in self.known]
-        halves = np.array([(self.known[stem], self.known[signs] if signs else -1) for _, stem, signs in other], np.int64).reshape(-1, 2)
-        begin, count = at[halves], at[halves + 1] - at[halves]
-        count[halves < 0] = 0
-        sizes = count.ravel()
-        ends = np.cumsum(sizes)
-        more = flat[np.arange(int(sizes.sum())) + np.repeat(begin.ravel() - (ends - sizes), sizes)]
-        base = len(at) - 1
-        self.flat, self.at = np.concatenate((flat, more)), np.concatenate((at, at[-1] + ends[1::2]))
-        self.known.update(zip((w for w, _, _ in other), range(base, base + len(other))))
-        self.used = np.concatenate((self.used, np.zeros(len(self.at) - 1 - len(self.used), bool)))
+    def learn(self, parts: list[str]) -> None:
+        """Encode parts that are new."""
+        made = [self._together(parts[i:i + CALL]) for i in range(0, len(parts), CALL)]
+        base = len(self.known)
+        self.flat = np.concatenate([self.flat, *(m[0] for m in made)])
+        self.at = np.concatenate((self.at, self.at[-1] + np.cumsum(np.concatenate([m[1] for m in made]))))
+        self.known.update(zip(parts, range(base, base + len(parts))))
+        self.used = np.concatenate((self.used, np.zeros(len(parts), bool)))
 
     def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words and their numbers. The words go through the tokenizer as few texts.
@@ -218,46 +221,41 @@ class Encoder:
         found = [c if f is None else f for f, c in zip(found, cut)]
         return np.concatenate(found), np.array([len(f) for f in found], np.int64)
 
-    def encode(self, texts: Iterable[bytes | None], end_id: int) -> list[np.ndarray]:
-        """One id array per text, its end id included. Texts that are small together are looked up together."""
-        out, held, size = [], [], 0
-        for text in texts:
-            held.append((text or b"").split())
-            size += len(held[-1])
-            if size >= REMEMBER // 4:
-                out += self._batch(held, end_id)
-                held, size = [], 0
-        return out + self._batch(held, end_id)
-
-    def _batch(self, split: list[list[bytes]], end_id: int) -> list[np.ndarray]:
-        if not split:
-            return []
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        words = list(chain.from_iterable(split))
-        parts = [self._sized(words[i:i + REMEMBER // 4]) for i in range(0, len(words), REMEMBER // 4)]
-        ids = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.uint32)
-        ends = np.concatenate(([0], np.cumsum(np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.int64))))
-        last = ends[np.cumsum(counts)]
-        first = np.concatenate(([0], last[:-1]))
-        return [np.append(ids[a:b], np.uint32(end_id)) for a, b in zip(first.tolist(), last.tolist())]
-
-    def _sized(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: pa.Array | Iterable[bytes | None], end_id: int) -> list[np.ndarray]:
+        """One id array per text, its end id included."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(list(texts), pa.large_string())
+        split = pc.ascii_split_whitespace(column.cast(pa.large_string()).fill_null(""))
+        words, bounds = split.values, split.offsets.to_numpy()
+        parts = [self._sized(words.slice(i, TOGETHER)) for i in range(0, len(words), TOGETHER)]
+        ids = np.concatenate([np.zeros(0, np.uint32), *(p[0] for p in parts)])
+        ends = np.concatenate(([0], np.cumsum(np.concatenate([np.zeros(0, np.int64), *(p[1] for p in parts)]))))[bounds].tolist()
+        return [np.append(ids[a:b], np.uint32(end_id)) for a, b in zip(ends[:-1], ends[1:])]
+
+    def _sized(self, words: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words one after another, and how many each has."""
-        slots = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        coded = words.dictionary_encode()
+        parts = _parts(coded.dictionary).dictionary_encode()
+        slots = self._slots(parts.dictionary.to_numpy(zero_copy_only=False).tolist())[parts.indices.to_numpy()]
+        begin = self.at[slots]
+        count = self.at[slots + 1] - begin
+        flat, ends = _joined(self.flat, begin, count), np.concatenate(([0], np.cumsum(count)[1::2]))
+        at = coded.indices.to_numpy()
+        sizes = ends[at + 1] - ends[at]
+        return _joined(flat, ends[at], sizes), sizes
+
+    def _slots(self, parts: list[str]) -> np.ndarray:
+        """Where the ids of each part stand; those of new ones are made."""
+        slots = np.fromiter(map(self.known.get, parts, repeat(-1)), np.int64, len(parts))
         new = np.flatnonzero(slots < 0)
         if len(new):
             if len(self.known) > REMEMBER:
                 self._forget()
-                slots = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+                slots = np.fromiter(map(self.known.get, parts, repeat(-1)), np.int64, len(parts))
                 new = np.flatnonzero(slots < 0)
-            self.used[slots[slots >= 0]] = True
-            unseen = [words[i] for i in new.tolist()]
-            self.learn(list(set(unseen)))
-            slots[new] = np.fromiter(map(self.known.__getitem__, unseen), np.int64, len(unseen))
-        begin = self.at[slots]
-        count = self.at[slots + 1] - begin
-        ends = np.cumsum(count)
-        return self.flat[np.arange(ends[-1]) + np.repeat(begin - (ends - count), count)], count
+            slots[new] = np.arange(len(self.known), len(self.known) + len(new))
+            self.learn([parts[i] for i in new.tolist()])
+        self.used[slots] = True
+        return slots
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -305,7 +303,7 @@ def _write(folder: str, tokenizer: str, end_id: int, width: int, limit: int):
             return pa.RecordBatch.from_pydict({"shard": [(partition << 32) + part], "file": [name], "n_docs": [len(ids)], "n_tokens": [total]})
 
         for batch in stream:
-            for key, array in zip(batch.column(0).to_pylist(), encode.encode(texts(batch.column(1)), end_id)):
+            for key, array in zip(batch.column(0).to_pylist(), encode.encode(batch.column(1), end_id)):
                 ids.append(key)
                 arrays.append(array)
                 total += len(array)

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -37,6 +38,30 @@ def test_words_one_by_one_equal_whole_texts(monkeypatch):
         assert got.tolist() == encode.tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
 
 
+def test_a_word_is_looked_up_once_however_often_it_stands():
+    """Capitals and signs behind the last letter make no further word; a short form does."""
+    class Counting(dict):
+        asked = 0
+
+        def get(self, *args):
+            Counting.asked += 1
+            return super().get(*args)
+
+    encode = tokens.Encoder(PATH)
+    encode.known = Counting(encode.known)
+    texts = ["River, stone. RIVER  it's\t" * 500, "", "stone river! it's " * 300]
+    for text, got in zip(texts, encode.encode([t.encode() for t in texts], 2)):
+        assert got.tolist() == encode.tokenizer.encode(text, add_special_tokens=False).ids + [2]
+    assert Counting.asked <= 10
+
+
+def test_words_are_cut_behind_their_last_letter():
+    words = ["", "Stone,", "STONE", "it's.", "a<b>.", "...", "É,", "x1.", "né!?", "Ab-c--", "日a;"]
+    made = tokens._parts(pa.array(["none", *words], pa.large_string()).slice(1)).to_pylist()
+    assert list(zip(made[::2], made[1::2])) == [
+        ("", ""), ("stone", ","), ("stone", ""), ("it's.", ""), ("a<b>.", ""), ("...", ""), ("É,", ""), ("x1.", ""), ("né!?", ""), ("ab-c", "--"), ("日a", ";")]
+
+
 def test_files(spark):
     rng = random.Random(4)
     ids = rng.sample(range(-500, 5000), 150)
