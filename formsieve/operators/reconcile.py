@@ -6,6 +6,11 @@ values by the word-bounded pieces of the texts on the page. No two rows of a pag
 """
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -118,28 +123,80 @@ def gap_fills(primary: DataFrame, cands: DataFrame) -> DataFrame:
     return long_rows.unionByName(_unseen(open_rows, _first_seen(kept_texts, short_pieces("text")))).drop("norm")
 
 
-def gap_fills_legacy(primary: DataFrame, cands: DataFrame) -> DataFrame:
+# Stands between the texts of a page. No UTF-8 text holds it, so a value is found inside one text only.
+BETWEEN = "\ud800"
+
+
+def _changes(rows: pa.RecordBatch) -> np.ndarray:
+    """Whether the page changes from each row to the next one."""
+    found = np.zeros(max(len(rows) - 1, 0), bool)
+    for column in (rows.column(k) for k in PAGE):
+        empty = column.is_null().to_numpy(zero_copy_only=False)
+        other = pc.fill_null(pc.not_equal(column.slice(1), column.slice(0, len(found))), True).to_numpy(zero_copy_only=False)
+        found |= other & ~(empty[1:] & empty[:-1])
+    return found
+
+
+def _shown(ords: list[int], lows: list[str], texts: list[bool]) -> list[bool]:
+    """Of each value of a page whether a text at an earlier position contains it. One search per value, no pairs."""
+    page = BETWEEN.join([low for low, is_text in zip(lows, texts) if is_text])
+    out, end, here, last, find = [], 0, 0, None, page.find
+    for at, low, is_text in zip(ords, lows, texts):
+        if at != last:
+            end, here, last = end + here, 0, at
+        out.append(find(low, 0, end) >= 0)
+        if is_text:
+            here += len(low) + 1
+    return out
+
+
+def _unshown(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """The values of whole pages that no earlier text of their page contains. Rows without a key belong to no page."""
+    starts = [0, *(np.flatnonzero(_changes(rows)) + 1).tolist()]
+    homeless = pc.or_(*(rows.column(k).is_null() for k in PAGE)).to_numpy(zero_copy_only=False)
+    ords, lows, texts = (rows.column(c).to_numpy(zero_copy_only=False).tolist() for c in ("ord", "_low", "_text"))
+    keep: list[bool] = []
+    for a, b in zip(starts, [*starts[1:], len(rows)]):
+        keep += [False] * (b - a) if homeless[a] else _shown(ords[a:b], lows[a:b], texts[a:b])
+    return rows.filter(pc.and_(rows.column("_value"), pa.array(~np.array(keep, bool)))).drop_columns(["_low", "_text", "_value"])
+
+
+def _unshown_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by page and position in; a page may go on in the next batch."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        before = [held[-1].slice(len(held[-1]) - 1)] if held else []
+        cuts = np.flatnonzero(_changes(pa.concat_batches([*before, batch]))) + (0 if before else 1)
+        if len(cuts):
+            done = [x for x in (*held, batch.slice(0, int(cuts[-1]))) if len(x)]
+            held = [batch.slice(int(cuts[-1]))]
+            yield _unshown(pa.concat_batches(done))
+        else:
+            held.append(batch)
+    if held:
+        yield _unshown(pa.concat_batches(held))
+
+
+def gap_fills_legacy(primary: DataFrame, cands: DataFrame, parts: int | None = None) -> DataFrame:
     """Earlier rule: a value goes when it occurs anywhere inside a box text or an earlier model text of the page.
 
-    Substring containment is transitive, so dropped texts hide the same values as kept ones, and the first occurrence in
-    the page's texts, laid out in order, decides. One search per value, no pairs.
+    Substring containment is transitive, so dropped texts hide the same values as kept ones. Boxes and values are dealt to
+    their pages once, into `parts` parts if given, and lie there in order.
     """
     falsy = ((F.col("vtype") == "boolean") & (F.col("value") == "false")) | ((F.col("vtype") == "number") & (F.col("value").try_cast("double") == 0))
     empty = F.col("vtype").isin("null", "object", "array") | (F.coalesce("value", F.lit("")) == "") | falsy
     zero = (F.col("branch") == "array") & F.col("value").isin(rules.ZERO_TEXTS)
     null_text = (F.col("branch") == "scalar") & F.col("value").isin(rules.NULL_TEXTS)
-    rows = materialize(cands.where(~empty & ~zero & ~null_text))
-    # Positions are written in private-use digits, so that no value can match them.
-    mark, stop, digits = "\x01", "\x02", "".join(chr(0xE000 + d) for d in range(10))
-    texts = primary.where("v_str IS NOT NULL").select(*PAGE, F.lit(-1).cast("bigint").alias("ord"), F.col("v_str").alias("text")).unionByName(
-        rows.where("vtype = 'string'").select(*PAGE, "ord", F.col("value").alias("text")))
-    tagged = F.concat(F.lit(mark), F.translate((F.col("ord") + 1).cast("string"), "0123456789", digits), F.lit(stop), F.lower("text"))
-    pages = texts.select(*PAGE, F.struct("ord", tagged.alias("t")).alias("t")).groupBy(*PAGE).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list("t")), lambda t: t["t"]), "").alias("blob"))
-    at = F.instr("blob", F.lower("value"))
-    owner = F.translate(F.substring_index(F.substring_index(F.substr("blob", F.lit(1), at), mark, -1), stop, 1), digits, "0123456789")
-    checked = rows.join(pages, PAGE, "left").withColumn("_first", F.when(at > 0, owner.cast("bigint") - 1))
-    return checked.where("_first IS NULL OR _first >= ord").select(*cands.columns)
+    kept = cands.where(~empty & ~zero & ~null_text)
+    values = kept.select("*", F.lower("value").alias("_low"), (F.col("vtype") == "string").alias("_text"), F.lit(True).alias("_value"))
+    boxes = primary.where("v_str IS NOT NULL").select(
+        *PAGE, F.lit(-1).cast("bigint").alias("ord"), F.lower("v_str").alias("_low"), F.lit(True).alias("_text"), F.lit(False).alias("_value"))
+    rows = values.unionByName(boxes, allowMissingColumns=True)
+    dealt = rows.repartition(*([parts] if parts else []), *PAGE).sortWithinPartitions(*PAGE, "ord")
+    schema = ", ".join(f"`{c}` {t}" for c, t in rows.dtypes if c in cands.columns)
+    return dealt.mapInArrow(_unshown_batches, schema).select(*[F.col(c).cast(t) for c, t in cands.dtypes])
 
 
 def unconfirmed_amounts(kept: DataFrame, responses: DataFrame, json: str = "content", unparsed: DataFrame | None = None) -> DataFrame:

@@ -180,7 +180,7 @@ SELECT doc_id, name, value FROM s WHERE NOT EXISTS (SELECT 1 FROM pk WHERE pk.do
   AND NOT EXISTS (SELECT 1 FROM s e WHERE e.doc_id = s.doc_id AND e.n < s.n AND e.vtype = 'string' AND contains(lower(e.value), lower(s.value)))""")
 def _(t: Inputs):
     kept, _ = reconcile.split_primary(t.sql(FIELDS))
-    return reconcile.gap_fills_legacy(kept, reconcile.candidates(t.dealt(RESPONSES))).select("doc_id", "name", "value")
+    return reconcile.gap_fills_legacy(kept, reconcile.candidates(t.dealt(RESPONSES)), t.parts(t.table("orders"))).select("doc_id", "name", "value")
 
 
 VALUES_TEXT = "string_agg(' ' || lower(coalesce(value, '')) || ' ', ' ')"

@@ -36,8 +36,10 @@ class Inputs:
 
     def _spread(self, rows: DataFrame, *keys: str) -> DataFrame:
         """Rows dealt by their keys into parts of at most about `PART_ROWS`: bytes say little, repetitive rows shrink to next to nothing."""
-        parts = max(-(-rows.count() // PART_ROWS), self.spark.sparkContext.defaultParallelism)
-        return rows.repartition(parts, *keys)
+        return rows.repartition(self.parts(rows), *keys)
+
+    def parts(self, rows: DataFrame) -> int:
+        return max(-(-rows.count() // PART_ROWS), self.spark.sparkContext.defaultParallelism)
 
     def dealt(self, template: str, *keys: str) -> DataFrame:
         """Records dealt once by their key, at the head of a flow that works on each for long: a table of few row groups

@@ -382,3 +382,28 @@ def test_list_items_paired_by_key(spark):
     paired, surplus = compare._paired(gt, [{"Name": "b", "v": 2}, {"Name": "x"}, {"Name": "A", "v": 1}], "key")
     assert [(n, there, o) for n, _, there, o in paired] == [(0, True, {"Name": "A", "v": 1}), (1, True, {"Name": "b", "v": 2}), (2, False, None), (3, False, None)]
     assert surplus == [4]
+
+
+def test_legacy_gap_fills_deal_a_page_once(spark):
+    """Boxes and values meet by one deal without a join; pages go on over batches, rows without a key belong to no page."""
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(conf)
+    spark.conf.set(conf, "2")
+    try:
+        boxes = spark.createDataFrame([(1, 1, "Alpha Beta"), (1, 2, "gamma"), (2, 1, None), (None, 1, "delta")], "doc_id long, page_no int, v_str string")
+        cands = spark.createDataFrame([
+            (1, 1, 1, "beta", "string"), (1, 1, 2, "Zeta one", "string"), (1, 1, 3, "7", "number"), (1, 1, 4, "ZETA", "string"), (1, 1, 5, "a\x01b", "string"),
+            (1, 1, 6, "A\x01B", "string"), (1, 1, 7, "betazeta", "string"), (1, 1, 8, "", "string"), (1, 1, 9, "false", "boolean"),
+            (1, 2, 1, "beta", "string"), (1, 2, 1, "eta", "string"), (1, 2, 2, "et", "string"), (2, 1, 1, "7", "number"), (2, 1, 2, "70", "string"),
+            (2, 1, 3, "7", "string"), (None, 1, 1, "delta", "string"), (None, 1, 2, "delta", "string"), (3, None, 1, "x", "string"), (3, None, 2, "x", "string")],
+            "doc_id long, page_no int, ord long, value string, vtype string").selectExpr("*", "'n' AS name", "'t' AS tooltip", "'object' AS branch").select(
+            "doc_id", "page_no", "ord", "name", "tooltip", "value", "vtype", "branch")
+        found = reconcile.gap_fills_legacy(boxes, cands, 3)
+        assert found.dtypes == cands.dtypes
+        got = sorted(((r.doc_id or 0, r.page_no or 0, r.ord, r.value) for r in found.collect()))
+        assert got == [(0, 1, 1, "delta"), (0, 1, 2, "delta"), (1, 1, 2, "Zeta one"), (1, 1, 3, "7"), (1, 1, 5, "a\x01b"), (1, 1, 7, "betazeta"),
+                       (1, 2, 1, "beta"), (1, 2, 1, "eta"), (2, 1, 1, "7"), (2, 1, 2, "70"), (3, 0, 1, "x"), (3, 0, 2, "x")]
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "Aggregate" not in plan and plan.count("RepartitionByExpression") == 1
+    finally:
+        spark.conf.set(conf, was)
