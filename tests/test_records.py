@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from formsieve.functions.text import SPACES
 from formsieve.operators import classify, compare, email, leaves, mapping, quality, reconcile, scrub, sov, spatial
+from formsieve.rules import tables
 from formsieve.sources import readers, sinks
 from formsieve.streaming import continuous
 
@@ -407,3 +408,70 @@ def test_legacy_gap_fills_deal_a_page_once(spark):
         assert "Join" not in plan and "Aggregate" not in plan and plan.count("RepartitionByExpression") == 1
     finally:
         spark.conf.set(conf, was)
+
+
+CAND_SCHEMA = "doc_id long, page_no int, ord long, name string, tooltip string, value string, vtype string, branch string"
+
+
+def test_gap_fills_deal_packs_once(spark):
+    """Values go to their pages as lists, once, for the form and for the boxes alike; no join asks for more than the page."""
+    cands = spark.createDataFrame([(d, 1, o, f"n{o}", "t", v, "string", "object") for d in range(6) for o, v in enumerate(["long value", "NY", "ny", "yes", "c"])], CAND_SCHEMA)
+    page_map = spark.range(900).selectExpr("id AS doc_id", "1 AS page_no", "'f' AS template", "0 AS tpage")
+    labels = tables.frame(spark, "template string, tpage int, label string", [("f", 0, "yes")])
+    boxes = spark.range(900).selectExpr("id AS doc_id", "1 AS page_no", "0L AS ord", "IF(id = 0, 'long value', 'part c') AS v_str")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
+    try:
+        got = reconcile.gap_fills(boxes, scrub.drop_option_labels(cands, page_map, labels))
+        assert sorted((r.doc_id, r.ord) for r in got.collect()) == [(0, 1), (0, 4)] + [(d, o) for d in range(1, 6) for o in (0, 1)]
+        plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+        # One deal each of packs, of forms and of boxes by page.
+        assert len(re.findall(r"Exchange hashpartitioning\(doc_id#\S+, page_no#\S+, ", plan)) == len(re.findall(r"Exchange hashpartitioning\(doc_id", plan)) == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+
+
+def test_pages_of_gap_fills_go_on_over_batches(spark):
+    """Rows without a page are all kept; where one value per name stands, the last one of the page does."""
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(conf)
+    spark.conf.set(conf, "2")
+    try:
+        rows = [(1, 1, 0, "a", "State of NY"), (1, 1, 1, "b", "ny"), (1, 1, 2, "c", "x y"), (1, 1, 2, "d", "x"), (1, 1, 3, "c", "X"), (1, 1, 4, "c", "q"), (1, 2, 0, "a", "ny"),
+                (1, 2, 1, "a", "z"), (None, 1, 0, "a", "ny"), (None, 1, 1, "a", "ny"), (None, 1, 2, "b", "ny"), (None, 1, 3, "b", "o"), (2, None, 0, "a", "ny"), (2, None, 1, "a", "ny")]
+        cands = spark.createDataFrame([(d, p, o, n, "t", v, "string", "object") for d, p, o, n, v in rows], CAND_SCHEMA)
+        boxes = spark.createDataFrame([(1, 2, "Z"), (None, 1, "ny"), (1, 1, None)], "doc_id long, page_no int, v_str string")
+        show = lambda df: sorted((r.doc_id or 0, r.page_no or 0, r.ord, r.name) for r in df.collect())
+        every = [(0, 1, 0, "a"), (0, 1, 1, "a"), (0, 1, 2, "b"), (0, 1, 3, "b"), (1, 1, 0, "a"), (1, 1, 2, "c"), (1, 1, 2, "d"), (1, 1, 4, "c"), (1, 2, 0, "a"), (2, 0, 0, "a"), (2, 0, 1, "a")]
+        assert reconcile.gap_fills(boxes, cands).dtypes == cands.dtypes and show(reconcile.gap_fills(boxes, cands)) == every
+        assert show(reconcile.gap_fills(boxes, cands, one_per_name=True)) == [(0, 1, 1, "a"), (0, 1, 3, "b"), (1, 1, 0, "a"), (1, 1, 2, "d"), (1, 1, 4, "c"), (1, 2, 0, "a"), (2, 0, 1, "a")]
+    finally:
+        spark.conf.set(conf, was)
+
+
+def test_pieces_are_those_of_the_engine(spark):
+    rnd = random.Random(7)
+    odd = "ab 1_-$,.\n\tåßé́ͅⅳ²½٣ªµ中ー‍‿ⓐ\U0001f150\U0001d400😀·'’"
+    texts = ["", "ny", *("".join(rnd.choice(odd) for _ in range(rnd.randrange(1, 12))) for _ in range(400)), *(f"a{c}b {c} {c}{c}" for c in odd)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select(F.lower("t").alias("low"), reconcile.short_pieces("t").alias("p")).collect():
+        assert reconcile._cut(r.low) == set(r.p), repr(r.low)
+        assert all(reconcile._holds(r.low, p) for p in r.p)
+        assert all((p in r.p) == reconcile._holds(r.low, p) for n in (1, 2, 3) for p in (r.low[i:i + n] for i in range(len(r.low) - n + 1)))
+
+
+def test_many_short_values_of_a_page_are_looked_up_in_pieces():
+    asked = {f"{i:03d}" for i in range(100)}
+    texts = [(-1, "x 007 099"), (2, "a008 050-051"), (3, "007 050 052")]
+    few = {s: at for s in asked for at, low in reversed(texts) if reconcile._holds(low, s)}
+    assert len(asked) > reconcile.ASKED_AT_ONCE and reconcile._first_shown(asked, texts) == few == {"007": -1, "099": -1, "050": 2, "051": 2, "052": 3}
+
+
+def test_deep_values_keep_their_rows_without_a_join(spark):
+    """Candidates that share a place share what is left of them; deep ones without a page go."""
+    deep = [(1, 1, 0, "a", '{"x":"real","y":"PRIMARY"}'), (1, 1, 0, "b", '{"z":"more"}'), (1, 1, 1, "c", '["PRIMARY"]'), (None, 1, 2, "d", '["kept"]'), (1, 2, 0, "e", '[1,null]')]
+    cands = spark.createDataFrame([(d, p, o, n, "t", v, "o", "object") for d, p, o, n, v in deep] + [(1, 1, 5, "f", "t", "flat", "string", "object")], CAND_SCHEMA)
+    got = reconcile.scrub_candidates(cands)
+    assert got.columns == cands.columns and "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.page_no, r.ord, r.name, r.value) for r in got.collect()) == [
+        (1, 0, "a", '{"x":"real","z":"more"}'), (1, 0, "b", '{"x":"real","z":"more"}'), (1, 5, "f", "flat"), (2, 0, "e", "[1]")]
