@@ -475,3 +475,12 @@ def test_deep_values_keep_their_rows_without_a_join(spark):
     assert got.columns == cands.columns and "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
     assert sorted((r.page_no, r.ord, r.name, r.value) for r in got.collect()) == [
         (1, 0, "a", '{"x":"real","z":"more"}'), (1, 0, "b", '{"x":"real","z":"more"}'), (1, 5, "f", "flat"), (2, 0, "e", "[1]")]
+
+
+def test_merged_names_are_settled_with_the_page(spark):
+    """Of two paths with one name the later one stands, and no fill is shuffled for it."""
+    fields = spark.createDataFrame([(1, 1, 0, "A", "box", None, "text", "t", "bbox")], "doc_id long, page_no int, ord long, name string, v_str string, v_bool boolean, ftype string, tooltip string, source string")
+    responses = spark.createDataFrame([(1, 1, '{"a_b":{"c":"first"},"a":{"b_c":"second","d":true}}')], "doc_id long, page_no int, content string")
+    merged = reconcile.merge(fields, responses)[0]
+    assert sorted((r.name, r.v_str, r.v_bool, r.source) for r in merged.collect()) == [("A", "box", None, "bbox"), ("vlm_a_b_c", "second", None, "vlm"), ("vlm_a_d", None, True, "vlm")]
+    assert "max_by" not in merged._jdf.queryExecution().optimizedPlan().toString()
