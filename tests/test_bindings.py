@@ -1,4 +1,7 @@
 """Bindings on rows of their own: whole results, repeated and null keys."""
+import re
+
+import duckdb
 import pytest
 
 import __spark_entry__ as entry
@@ -65,3 +68,19 @@ def test_customers_are_dealt_by_rows_before_they_unfold(spark, tmp_path, monkeyp
     monkeypatch.setattr(registry, "PART_ROWS", 1)
     rows = mapping_blocks.fields(Inputs(spark, str(tmp_path)))
     assert rows.rdd.getNumPartitions() == 24 and rows.select("doc_id").distinct().count() == 24
+
+
+def test_merge_counts_deal_rows_by_page_only(spark, folder):
+    """Nothing is dealt by name on the way, and the counts are those of the reference SQL."""
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "600")
+    try:
+        got = entry.queries()["rec6_merge_counts"](spark, folder)
+        rows = sorted(map(tuple, got.collect()))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    assert "hashpartitioning(doc_id" in plan and not re.search(r"hashpartitioning\(doc_id#\d+L?, page_no#\d+, (name|norm)#", plan)
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW orders AS SELECT * FROM '{folder}/orders.parquet/*.parquet'")
+    assert rows == sorted(tuple(r) for r in duck.execute(entry.oracle_sql()["rec6_merge_counts"]).fetchall()) and len(rows) == 24
