@@ -7,7 +7,7 @@ large as the search range. Concatenation groups are the cells of the output, nev
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,15 +16,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as geo
-from ..functions.text import SPACES, after_colon, blank_to_null, squeeze, strip
+from ..functions.text import SPACES, after_colon, blank_to_null, let, squeeze, strip
 from ..rules import fields as rules
 from ..session import materialize
 from . import ordered
 
 BAND = 24.0
 PAGE = ["doc_id", "page_no"]
-# Words of one page that a task holds at most while it reads lines; a page with more is spread over tasks.
+# Words of one page that a task holds at most while it reads lines or marks; a page with more is spread over tasks.
 PAGE_WORDS = 20_000
+# Pairs of a word and a cross of one page that are compared at once.
+PAIRS_AT_ONCE = 1_000_000
 
 
 def ordered_text(text: str = "text", row: str = "top", x0: str = "x0", ord_: str = "ord") -> Column:
@@ -77,14 +79,11 @@ def right_of_label(words: DataFrame, labels: DataFrame, known: list[str] | None
     return per_mark.groupBy(*PAGE, "label").agg(F.min_by("value", "l_ord").alias("value"))
 
 
-def marked_labels(words: DataFrame, labels: list[str], y_tol: float = rules.MARK_Y_TOL,
-                  x_range: float = rules.MARK_X_RANGE) -> DataFrame:
-    """(doc_id, page_no, label): labels with an X mark beside a word that contains them."""
-    contained = F.filter(F.array(*[F.lit(x) for x in labels]), lambda l: F.contains(F.lower("text"), F.lower(l)))
-    found = words.select(*PAGE, F.explode(contained).alias("label"), F.col("x0").alias("l_x0"), F.col("top").alias("l_top"))
+def _spread_marks(found: DataFrame, crosses: DataFrame, y_tol: float, x_range: float) -> DataFrame:
+    """(page, label): labelled words meet crosses through a grid of cells, so no step needs a page in one task."""
+    found = found.select(*PAGE, F.explode("labels").alias("label"), F.col("x0").alias("l_x0"), F.col("top").alias("l_top"))
     found = found.withColumn("_y", F.explode(geo.cells(F.col("l_top") - y_tol, F.col("l_top") + y_tol, y_tol))).withColumn(
         "_x", F.explode(geo.cells(F.col("l_x0") - x_range, F.col("l_x0") + x_range, x_range)))
-    crosses = words.where(strip("text") == rules.MARK)
     edges = crosses.select(*PAGE, "top", F.explode(F.array("x0", "x1")).alias("edge")).select(
         *PAGE, "top", "edge", geo.cell(F.col("top"), y_tol).alias("_y"), geo.cell(F.col("edge"), x_range).alias("_x"))
     cond = [found[c] == edges[c] for c in [*PAGE, "_y", "_x"]] + [
@@ -92,6 +91,65 @@ def marked_labels(words: DataFrame, labels: list[str], y_tol: float = rules.MARK
     return found.join(edges, cond, "left_semi").select(*PAGE, "label").distinct()
 
 
+def _marked(x0: np.ndarray, top: np.ndarray, crosses: tuple[np.ndarray, np.ndarray, np.ndarray], y_tol: float, x_range: float) -> np.ndarray:
+    """Of each word whether one of the crosses (x0, x1, top) of its page is beside it; NaN is beside nothing."""
+    c_x0, c_x1, c_top = crosses
+    near, step = np.zeros(len(x0), bool), max(1, PAIRS_AT_ONCE // max(len(c_top), 1))
+    for a in range(0, len(x0), step):
+        x, y = x0[a:a + step, None], top[a:a + step, None]
+        near[a:a + step] = ((np.abs(c_top - y) < y_tol) & ((np.abs(c_x0 - x) < x_range) | (np.abs(c_x1 - x) < x_range))).any(axis=1)
+    return near
+
+
+def _mark_batches(y_tol: float, x_range: float) -> Callable:
+    """Arrow function: (page, x0, x1, top, cross, places of labels) in; (page, place of a label) out, and for every stretch of
+    words of one page a row of the place -1."""
+    def read(words: pa.RecordBatch) -> pa.RecordBatch:
+        first = _stretches(words)
+        ends = np.append(first[1:], len(words))
+        x0, x1, top = (words.column(c).to_numpy(zero_copy_only=False).astype(float) for c in ("x0", "x1", "top"))
+        cross = pc.fill_null(words.column("cross"), False).to_numpy(zero_copy_only=False)
+        listed, at = words.column("labels").flatten().to_numpy(), words.column("labels").offsets.to_numpy() - words.column("labels").offsets[0].as_py()
+        rows, places = [first], [np.full(len(first), -1)]
+        with np.errstate(invalid="ignore"):
+            for a, b in zip(first, ends):
+                c = a + np.flatnonzero(cross[a:b])
+                w = a + np.flatnonzero(at[a + 1:b + 1] > at[a:b])
+                if len(c) and len(w):
+                    w = w[_marked(x0[w], top[w], (x0[c], x1[c], top[c]), y_tol, x_range)]
+                    if len(w):
+                        places.append(np.unique(np.concatenate([listed[at[i]:at[i + 1]] for i in w])))
+                        rows.append(np.full(len(places[-1]), a))
+        take = pa.array(np.concatenate(rows))
+        return pa.RecordBatch.from_arrays([*(k.take(take) for k in words.columns[:2]), pa.array(np.concatenate(places), pa.int32())], names=[*PAGE, "place"])
+
+    return lambda batches: _held_pages(batches, read)
+
+
+def marked_labels(words: DataFrame, labels: list[str], y_tol: float = rules.MARK_Y_TOL,
+                  x_range: float = rules.MARK_X_RANGE) -> DataFrame:
+    """(doc_id, page_no, label): labels with an X mark beside a word that contains them.
+
+    Crosses and words with labels mostly lie next to each other, page by page, so pages are read where they lie and no word is
+    shuffled. Pages found in more than one place (of several partitions, larger than a task may hold, or mixed with others) are
+    read again, spread over tasks.
+    """
+    listed = F.array(*[F.lower(F.lit(x)) for x in labels])
+    held = let(F.lower("text"), lambda low: F.filter(F.transform(listed, lambda l, i: F.when(F.contains(low, l), i)), lambda i: i.isNotNull()))
+    words = words.select(*PAGE, *[F.col(c).cast("double").alias(c) for c in ("x0", "x1", "top")], F.coalesce(strip("text") == rules.MARK, F.lit(False)).alias("cross"),
+                         F.coalesce(held, F.array().cast("array<int>")).alias("labels")).where("doc_id IS NOT NULL AND page_no IS NOT NULL AND (cross OR size(labels) > 0)")
+    types = dict(words.dtypes)
+    found = materialize(words.mapInArrow(_mark_batches(y_tol, x_range), "".join(f"{k} {types[k]}, " for k in PAGE) + "place int"))
+    named = lambda place: F.element_at(F.array(*[F.lit(x) for x in labels]), place + 1)
+    whole = found.where("place >= 0").select(*PAGE, named(F.col("place")).alias("label"))
+    apart = materialize(found.where("place < 0").groupBy(*PAGE).agg(F.count("*").alias("n")).where("n > 1").select(*PAGE))
+    if apart.isEmpty():
+        return whole.distinct() if len(set(labels)) < len(labels) else whole
+    again = words.join(apart, PAGE, "left_semi")
+    spread = _spread_marks(again.where("size(labels) > 0").withColumn("labels", F.transform("labels", named)), again.where("cross"), y_tol, x_range)
+    return whole.join(apart, PAGE, "left_anti").unionByName(spread).distinct()
+
+
 def checked_options(words: DataFrame, options: list[tuple[str, str]]) -> DataFrame:
     """(doc_id, page_no, options array): names of the checked options in option order. options: (label, name)."""
     labels = F.array(*[F.lit(label) for label, _ in options])
@@ -219,8 +277,9 @@ def _stretch_lines(words: pa.RecordBatch) -> pa.RecordBatch:
          pa.concat_arrays([pa.nulls(len(first), pa.string()), text.take(pa.array(kept))])], names=[*PAGE, "line_no", "text"])
 
 
-def _line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The last page of a batch may go on in the next one, so it is held back, up to a number of words."""
+def _held_pages(batches: Iterator[pa.RecordBatch], read: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """`read` of batches of whole stretches. The last page of a batch may go on in the next one, so it is held back, up to a
+    number of words."""
     held = None
     for batch in batches:
         if not len(batch):
@@ -231,9 +290,13 @@ def _line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         if held is None:
             done = len(words)
         if done:
-            yield _stretch_lines(words.slice(0, done))
+            yield read(words.slice(0, done))
     if held is not None:
-        yield _stretch_lines(held)
+        yield read(held)
+
+
+def _line_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _held_pages(batches, _stretch_lines)
 
 
 def lines(words: DataFrame) -> DataFrame:

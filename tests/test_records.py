@@ -484,3 +484,47 @@ def test_merged_names_are_settled_with_the_page(spark):
     merged = reconcile.merge(fields, responses)[0]
     assert sorted((r.name, r.v_str, r.v_bool, r.source) for r in merged.collect()) == [("A", "box", None, "bbox"), ("vlm_a_b_c", "second", None, "vlm"), ("vlm_a_d", None, True, "vlm")]
     assert "max_by" not in merged._jdf.queryExecution().optimizedPlan().toString()
+
+
+WORD_SCHEMA = "doc_id int, page_no int, ord int, text string, x0 double, x1 double, top double, bottom double"
+
+
+def _beside(words, labels):
+    """Every word against every cross of its page."""
+    num = lambda v: float("nan") if v is None else v
+    near = lambda w, c: abs(num(c[6]) - num(w[6])) < 6 and any(abs(num(e) - num(w[4])) < 30 for e in (c[4], c[5]))
+    return {(w[0], w[1], label) for w in words for c in words for label in labels if w[3] and c[3] and w[0] is not None and w[1] is not None and
+            w[:2] == c[:2] and label.lower() in w[3].lower() and c[3].strip() == "X" and near(w, c)}
+
+
+@pytest.mark.parametrize("parts, most", [(1, 20_000), (5, 20_000), (1, 3)])
+def test_marks_are_those_beside_a_word(spark, monkeypatch, parts, most):
+    rnd = random.Random(parts + most)
+    monkeypatch.setattr(spatial, "PAGE_WORDS", most)
+    words = []
+    for d in [*range(12), None]:
+        for p in (1, 2, None):
+            for o in range(rnd.randrange(25)):
+                x0, top = rnd.choice([None, float("nan"), *[rnd.uniform(0, 200) for _ in range(20)]]), rnd.choice([None, *[rnd.uniform(0, 60) for _ in range(20)]])
+                words.append((d, p, o, rnd.choice(["X", " X ", "xX", "Yes", "no YES", "other", None, "maybe x"]), x0, None if x0 is None else x0 + rnd.choice([6.0, 40.0]), top, 0.0))
+    labels = ["yes", "No", "x", "absent"]
+    df = spark.createDataFrame(words, WORD_SCHEMA).coalesce(1)
+    df = df.repartition(parts, "ord") if parts > 1 else df
+    want = _beside(words, labels)
+    got = [tuple(r) for r in spatial.marked_labels(df, labels).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 20
+
+
+def test_marks_are_read_where_the_words_lie(spark, monkeypatch):
+    """No word is dealt or joined, be the batches ever so small; a label that is given twice counts once."""
+    words = [(d, p, o, t, x, x + 6.0, 10.0, 18.0) for d in range(6) for p in (1, 2) for o, (t, x) in enumerate([("Yes", 0.0), ("X", 20.0), ("far no", 100.0), ("word", 25.0)])]
+    df = spark.createDataFrame(words, WORD_SCHEMA).coalesce(1)
+    conf, joined = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    was = spark.conf.get(conf)
+    monkeypatch.setattr(type(df), "join", lambda self, other, *a, f=type(df).join, **k: joined.append(other) or f(self, other, *a, **k))
+    spark.conf.set(conf, "3")
+    try:
+        got = spatial.marked_labels(df, ["yes", "no", "yes"]).collect()
+    finally:
+        spark.conf.set(conf, was)
+    assert sorted(map(tuple, got)) == [(d, p, "yes") for d in range(6) for p in (1, 2)] and not joined
