@@ -528,3 +528,13 @@ def test_marks_are_read_where_the_words_lie(spark, monkeypatch):
     finally:
         spark.conf.set(conf, was)
     assert sorted(map(tuple, got)) == [(d, p, "yes") for d in range(6) for p in (1, 2)] and not joined
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_checked_options_shuffle_no_word(spark, monkeypatch, parts):
+    """Options come in their own order; words are joined only where a page lies in several places."""
+    words = [(d, 1, o, t, x, x + 6.0, 10.0, 18.0) for d in range(5) for o, (t, x) in enumerate([("No", 0.0), ("X", 20.0), ("Yes", 30.0), ("far", 200.0), (f"last {d}", 210.0)])]
+    df, joined = spark.createDataFrame(words, WORD_SCHEMA).repartition(parts, *(["ord"] if parts > 1 else [])), []
+    monkeypatch.setattr(type(df), "join", lambda self, other, *a, f=type(df).join, **k: joined.append(other) or f(self, other, *a, **k))
+    got = spatial.checked_options(df.sortWithinPartitions("doc_id", "ord"), [("yes", "Y"), ("last", "L"), ("no", "N")]).collect()
+    assert sorted((r.doc_id, r.options) for r in got) == [(d, ["Y", "N"]) for d in range(5)] and bool(joined) == (parts > 1)
